@@ -95,6 +95,12 @@ def salted_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     return joined.drop("__i", "__j", "__ri", "__rj", "__right_n", "__left_n", "__in_left", "__in_right")
 
 
+def dimension_join(df: DataFrame, dimension: DataFrame, on: str, max_rows: int = 100_000) -> DataFrame:
+    """Left join to a dimension table, broadcast once its size is checked, an ordinary join beyond that."""
+    fits = dimension.limit(max_rows + 1).count() <= max_rows
+    return df.join(F.broadcast(dimension) if fits else dimension, on, "left")
+
+
 def parent_lookup(df: DataFrame, parent_id: str, id_: str, bring: dict[str, str]) -> DataFrame:
     """Left self-join to the parent row; ``bring`` maps the parent's columns to new names."""
     parents = df.select(F.col(id_).alias("__parent"), *[F.col(s).alias(t) for s, t in bring.items()])

@@ -107,11 +107,6 @@ def _deletions(names: DataFrame, c: str, threshold: int) -> DataFrame:
     return rows.selectExpr(c, "xxhash64(v) AS rest")
 
 
-def _verified(pairs: DataFrame, threshold: int) -> DataFrame:
-    pairs = pairs.select("a", "b", F.levenshtein("a", "b", threshold).alias("distance"))
-    return pairs.where("distance >= 0")
-
-
 def name_pairs(left: Side, right: Side, threshold: int = THRESHOLD, min_length: int = MIN_LENGTH,
                hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """Distinct lower-case name pairs ``(a, b, distance)`` within ``threshold`` edits, without a cross join.
@@ -142,13 +137,17 @@ def name_pairs(left: Side, right: Side, threshold: int = THRESHOLD, min_length:
     by_segment = index.where("not hot").select("seg", "a").join(probe.where("not hot").select("seg", "b"), "seg")
 
     def neighbours(df: DataFrame, c: str) -> DataFrame:
-        # a few names grow to very many rows: keep adaptive execution from merging these partitions
+        # Each name grows to very many rows, so adaptive execution must not merge these partitions for
+        # being small.  It leaves an explicit repartitioning alone, provided that this is not the one
+        # the distinct already made.
         slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        names = df.where("hot").select(c).distinct().repartition(slices, c)
+        names = df.where("hot").select(c).distinct().repartition(slices, F.xxhash64(c))
         return _deletions(names, c, threshold)
 
     by_deletion = neighbours(index, "a").join(neighbours(probe, "b"), "rest")
-    return _verified(by_segment, threshold).unionByName(_verified(by_deletion, threshold)).distinct()
+    candidates = by_segment.select("a", "b").unionByName(by_deletion.select("a", "b"))
+    pairs = candidates.where(F.levenshtein("a", "b", threshold) >= 0).distinct()
+    return pairs.withColumn("distance", F.levenshtein("a", "b", threshold))
 
 
 def _expand(left: Side, right: Side, pairs: DataFrame, min_length: int) -> DataFrame:
