@@ -170,7 +170,7 @@ def standardize(df: DataFrame, address: str) -> DataFrame:
     text = F.upper(F.trim(F.regexp_replace(F.regexp_replace(address, "[.]", ""), "[ \t\r\n]+", " ")))
     text = F.regexp_replace(text, "# ?", "UNIT ")
     text = F.regexp_replace(text, "UNIT UNIT ", "UNIT ")
-    parts = F.filter(F.transform(F.split(text, ","), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(text, ","), lambda p: F.trim(p)), lambda p: p != "")
     step = df.select(*keep, parts.alias("__parts"))
     step = step.select(*keep, F.when(last.isin(*COUNTRIES), rest).otherwise(c("__parts")).alias("__parts"))
 
