@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from siltstone.functions.address import COLUMNS, standardize
 from siltstone.operators.joins import HOT_ROWS, salted_join
+from siltstone.sources.stage import stage
 
 
 def distinct_addresses(column: str, *frames: DataFrame) -> DataFrame:
@@ -40,9 +41,12 @@ def address_bridge(left: DataFrame, right: DataFrame, address: str, bridge: Data
     """Full outer join of two sources on the standard form of their addresses.
 
     The join key comes out as ``mapped_address``, taken from whichever side has it.  Blank addresses are
-    equal to each other and match; ``match_blank=False`` leaves such rows unmatched.
+    equal to each other and match; ``match_blank=False`` leaves such rows unmatched.  Both sides are
+    written once with their keys: the join looks at them more than once, and the long expression chain
+    behind a key is dear to plan under a join.
     """
-    lhs, rhs = with_standard_address(left, address, bridge), with_standard_address(right, address, bridge)
+    lhs = stage(with_standard_address(left, address, bridge), "addressed")
+    rhs = stage(with_standard_address(right, address, bridge), "addressed")
     key = F.col("mapped_address") if match_blank else F.nullif("mapped_address", F.lit(""))
     lhs, rhs = lhs.withColumn("__lk", key), rhs.withColumn("__rk", key).drop("mapped_address")
     joined = salted_join(lhs, rhs, "__lk", "__rk", "full", hot_rows)
