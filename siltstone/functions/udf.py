@@ -20,7 +20,7 @@ def map_parser(parse: Callable[[str], dict[str, str]], fallback: str, errors: tu
         except errors:
             return {fallback: text}
 
-    return F.udf(run, "map<string,string>")
+    return F.udf(run, "map<string,string>", useArrow=True)
 
 
 def parse_distinct(df: DataFrame, column: str, parser, fields: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,6 +12,8 @@ from siltstone.sources.stage import stage
 THRESHOLD = 2   # edits at most
 MIN_LENGTH = 6  # shorter names are never matched by distance
 HOT_BUCKET = 100_000  # names sharing one segment beyond which the segment is not joined on
+NEIGHBOURS = 200  # about the deletion neighbours of one name: the price of not joining on a segment
+BROADCAST_SEGMENTS = 1_000_000  # hot segments to broadcast at most, eight bytes each
 
 
 class Side(NamedTuple):
@@ -107,6 +110,37 @@ def _deletions(names: DataFrame, c: str, threshold: int) -> DataFrame:
     return rows.selectExpr(c, "xxhash64(v) AS rest")
 
 
+def _hot_segments(index: DataFrame, probe: DataFrame, hot_bucket: int) -> DataFrame:
+    """Segments not worth joining on: ``(seg, giant)``, written once.
+
+    A segment is hot when joining on it costs more candidates per name than the deletion neighbourhoods
+    would, and a giant when one side of it alone would fill a task.
+    """
+    na, nb = F.col("na"), F.col("nb")
+    counts = index.groupBy("seg").agg(F.count("*").alias("na")).join(
+        probe.groupBy("seg").agg(F.count("*").alias("nb")), "seg"
+    )
+    giant = (na > hot_bucket) | (nb > hot_bucket)
+    dense = na * nb > NEIGHBOURS * (na + nb)
+    return stage(counts.where(giant | dense).select("seg", giant.alias("giant")), "hot_segments")
+
+
+def _broadcastable(segs: DataFrame) -> DataFrame:
+    return F.broadcast(segs) if segs.count() <= BROADCAST_SEGMENTS else segs
+
+
+def _split_hot(hot: DataFrame) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
+    """Splits segment keys into cold and hot ones; giants are taken out before anything is shuffled."""
+    giants, rest = (_broadcastable(hot.where(c).select("seg")) for c in ("giant", "not giant"))
+
+    def split(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+        modest = keys.join(giants, "seg", "left_anti")
+        warm = keys.join(giants, "seg", "left_semi").unionByName(modest.join(rest, "seg", "left_semi"))
+        return modest.join(rest, "seg", "left_anti"), warm
+
+    return split
+
+
 def name_pairs(left: Side, right: Side, threshold: int = THRESHOLD, min_length: int = MIN_LENGTH,
                hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """Distinct lower-case name pairs ``(a, b, distance)`` within ``threshold`` edits, without a cross join.
@@ -122,29 +156,19 @@ def name_pairs(left: Side, right: Side, threshold: int = THRESHOLD, min_length:
     a_names, b_names = _names(left, "a", min_length), _names(right, "b", min_length)
     index = _segment_keys(a_names, "a", threshold, probing=False)
     probe = _segment_keys(b_names, "b", threshold, probing=True)
+    split = _split_hot(_hot_segments(index, probe, hot_bucket))
+    (cold_index, hot_index), (_, hot_probe) = split(index), split(probe)
+    by_segment = cold_index.join(probe, "seg")  # no hot key is left on one side, so none is joined on
 
-    # A segment is hot when joining on it costs more candidates per name than the neighbourhoods would,
-    # or when it alone would fill a task.
-    per_name = 200
-    na, nb = F.col("na"), F.col("nb")
-    shared = (
-        index.groupBy("seg").agg(F.count("*").alias("na"))
-        .join(probe.groupBy("seg").agg(F.count("*").alias("nb")), "seg")
-        .select("seg", ((na * nb > per_name * (na + nb)) | (na > hot_bucket) | (nb > hot_bucket)).alias("hot"))
-    )
-    index, probe = index.join(shared, "seg"), probe.join(shared, "seg")
-
-    by_segment = index.where("not hot").select("seg", "a").join(probe.where("not hot").select("seg", "b"), "seg")
-
-    def neighbours(df: DataFrame, c: str) -> DataFrame:
+    def neighbours(keys: DataFrame, c: str) -> DataFrame:
         # Each name grows to very many rows, so adaptive execution must not merge these partitions for
         # being small.  It leaves an explicit repartitioning alone, provided that this is not the one
         # the distinct already made.
-        slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        names = df.where("hot").select(c).distinct().repartition(slices, F.xxhash64(c))
+        slices = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        names = keys.select(c).distinct().repartition(slices, F.xxhash64(c))
         return _deletions(names, c, threshold)
 
-    by_deletion = neighbours(index, "a").join(neighbours(probe, "b"), "rest")
+    by_deletion = neighbours(hot_index, "a").join(neighbours(hot_probe, "b"), "rest")
     candidates = by_segment.select("a", "b").unionByName(by_deletion.select("a", "b"))
     pairs = candidates.where(F.levenshtein("a", "b", threshold) >= 0).distinct()
     return pairs.withColumn("distance", F.levenshtein("a", "b", threshold))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from siltstone.operators.match import exact_match, fuzzy_match, unmatched
 from siltstone.plans import commercial, party
+from siltstone.sources.tables import materialize
 
 
 class Curated:
@@ -20,13 +21,26 @@ class Curated:
     dataset is built once.
     """
 
-    TABLES = (
-        "location", "equipment", "opportunity", "site", "account", "customer", "employee", "opportunity_team_member",
-    )
+    TABLES = {
+        "location": "Distinct addresses of all sites with their standard form",
+        "equipment": "Generators of the ERP and of the control system",
+        "opportunity": "CRM opportunities",
+        "site": "Sites of the ERP and the control system, matched on standard addresses",
+        "account": "Top-level CRM accounts, control-system and ERP customers, matched by name and number",
+        "customer": "ERP customers and child CRM accounts, matched by number",
+        "employee": "CRM users with their managers and current ERP person records",
+        "opportunity_team_member": "Members of opportunity teams with names",
+    }
 
     def __init__(self, raw: Mapping[str, DataFrame]):
         self.raw = raw
 
+    def store(self, name: str, target: str, catalog_name: str | None = None) -> DataFrame:
+        """Write one dataset; datasets built later read the stored form."""
+        stored = materialize(getattr(self, name), target, catalog_name, "curated", self.TABLES.get(name))
+        self.__dict__[name] = stored
+        return stored
+
     # party
 
     @cached_property

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltstone.sources.files import delete
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder.  Only a local session without one gets a temporary folder."""
@@ -20,9 +22,18 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/siltstone/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path not used before in the shared folder."""
-    return f"{shared_dir(spark)}/siltstone/{label}-{uuid.uuid4().hex}"
+    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged.  Frames built on it cannot be read any more."""
+    delete(spark, _application_dir(spark))
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

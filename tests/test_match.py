@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from siltstone.operators.match import Side, exact_match, fuzzy_match, match_cascade, name_pairs, unmatched
 
 NAMES = st.lists(st.one_of(st.none(), st.text(alphabet="abB", min_size=3, max_size=11)), min_size=1, max_size=25)
-SLOW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+SLOW = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def distance(a, b):
@@ -26,7 +26,7 @@ def sides(spark, left, right):
     return Side(a, "aid", "an"), Side(b, "bid", "bn")
 
 
-@pytest.mark.parametrize("hot_bucket", [100_000, 3, 0])
+@pytest.mark.parametrize("hot_bucket", [100_000, 3])
 @SLOW
 @given(left=NAMES, right=NAMES)
 def test_fuzzy_match_equals_all_pairs(spark, hot_bucket, left, right):

@@ -332,6 +332,9 @@ ORACLE |= {
 }
 
 
+ORACLE["pipeline_site"] = ORACLE["curated_site"]
+
+
 def _raw(name: str, *pairs: str) -> None:
     ORACLE[f"raw_{name}"] = f"WITH {duckdb_cte(name)} SELECT {', '.join(pairs)} FROM {name}"
 

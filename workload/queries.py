@@ -14,6 +14,7 @@ from siltstone.operators.joins import dimension_join, parent_lookup, salted_join
 from siltstone.operators.project import normalize_headers, project, sql_over, to_contract
 from siltstone.plans import raw
 from siltstone.plans.curated import Curated
+from siltstone.plans.pipeline import build_curated, load_batch, load_erp
 from siltstone.sources.stage import scratch_path
 from siltstone.sources.tables import materialize, read_table
 from siltstone.streaming.ingest import LandingTable, csv_stream
@@ -454,6 +455,20 @@ def curated_query(name: str):
     return query
 
 
+def pipeline_site(spark, d):
+    """Sites all the way: CSV drops in two batches, streams, raw tables, stored curated tables."""
+    landing, out = scratch_path(spark, "erp-landing"), scratch_path(spark, "warehouse")
+    erp_tables = [name.removeprefix("erp_") for name in LANDING if name.startswith("erp_")]
+    for even in (0, 1):
+        for name in erp_tables:
+            rows = landed(spark, d, f"erp_{name}")
+            batch = rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(2)) == even)
+            batch.write.mode("append").options(header=True, ignoreTrailingWhiteSpace=False).csv(f"{landing}/{name}")
+        erp = load_erp(spark, landing, f"{out}/erp")
+    control = load_batch("control", {n: landed(spark, d, f"control_{n}") for n in ("sites", "states")}, f"{out}/control")
+    return _as_text(build_curated(erp | control, f"{out}/curated", ["site"]).site)
+
+
 def raw_query(landed_name: str):
     system, source = landed_name.split("_", 1)
 
@@ -507,6 +522,7 @@ QUERIES = {
     **{f"curated_{name}": curated_query(name) for name in (
         "account", "customer", "equipment", "location", "site", "opportunity", "opportunity_team_member",
     )},
+    "pipeline_site": pipeline_site,
     # the table of states is fixed at 25 rows; control_sites covers it
     **{f"raw_{name}": raw_query(name) for name in LANDING if name != "control_states"},
 }
