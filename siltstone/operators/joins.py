@@ -30,24 +30,37 @@ def _exact_counts(df: DataFrame, key: str, keys: list[Any]) -> dict[Any, int]:
     return {r.k: r.n for r in rows.collect()}
 
 
+def hot_counts(left: DataFrame, right: DataFrame, left_on: str, right_on: str, hot_rows: int = HOT_ROWS,
+               fraction: float = 0.01) -> dict[Any, tuple[int, int]]:
+    """Hot keys of either side with their exact row counts on both."""
+    keys = sorted(_frequent_keys(left, left_on, hot_rows, fraction) | _frequent_keys(right, right_on, hot_rows, fraction))
+    if not keys:
+        return {}
+    n_left, n_right = _exact_counts(left, left_on, keys), _exact_counts(right, right_on, keys)
+    return {k: (n_left.get(k, 0), n_right.get(k, 0)) for k in keys}
+
+
 def _null_slice(df: DataFrame, key: str) -> Column:
     """NULL keys never match, so they may go anywhere: spread them by row hash."""
     return F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SLICES))).otherwise(F.lit(0))
 
 
 def salted_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, how: str = "full",
-                hot_rows: int = HOT_ROWS, fraction: float = 0.01) -> DataFrame:
+                hot_rows: int = HOT_ROWS, fraction: float = 0.01,
+                hot: dict[Any, tuple[int, int]] | None = None) -> DataFrame:
     """``left.join(right, left_on == right_on, how)`` for ``inner``, ``left`` and ``full``, with hot keys split.
 
     A key with ``n`` rows on one side is cut into ``ceil(n / hot_rows)`` slices by row hash, and the
     other side's rows of that key are copied to each slice, so every matching pair meets in one cell.
     A copied row may find its own cell empty although the key matches in another; exact counts of the
     hot keys tell these false outer rows from true ones.  Without hot keys this is one plain join.
+    ``hot`` gives hot keys and their counts where they are known already.
     """
     if how not in ("inner", "left", "full"):
         raise ValueError(f"unsupported join type: {how}")
-    keys = sorted(_frequent_keys(left, left_on, hot_rows, fraction) | _frequent_keys(right, right_on, hot_rows, fraction))
-    if not keys:
+    if hot is None:
+        hot = hot_counts(left, right, left_on, right_on, hot_rows, fraction)
+    if not hot:
         if how == "inner":
             return left.join(right, left[left_on] == right[right_on], "inner")
         lhs = left.withColumn("__i", _null_slice(left, left_on))
@@ -56,11 +69,10 @@ def salted_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
         joined = lhs.join(rhs, (lhs[left_on] == rhs[right_on]) & (lhs["__i"] == rhs["__ri"]), how)
         return joined.drop("__i", "__ri")
 
-    n_left, n_right = _exact_counts(left, left_on, keys), _exact_counts(right, right_on, keys)
-    plan = [(k, n_left.get(k, 0), n_right.get(k, 0)) for k in keys]
     key_type = left.schema[left_on].dataType.simpleString()
-    hot = left.sparkSession.createDataFrame(plan, f"__k {key_type}, __nl bigint, __nr bigint")
-    hot = hot.select(
+    plan = left.sparkSession.createDataFrame(
+        [(k, nl, nr) for k, (nl, nr) in hot.items()], f"__k {key_type}, __nl bigint, __nr bigint"
+    ).select(
         "*",
         F.greatest(F.ceil(F.col("__nl") / hot_rows), F.lit(1)).alias("__sl"),
         F.greatest(F.ceil(F.col("__nr") / hot_rows), F.lit(1)).alias("__sr"),
@@ -68,7 +80,7 @@ def salted_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
 
     def cells(df: DataFrame, key: str, own: str, other: str, names: tuple[str, str, str, str]) -> DataFrame:
         mine, theirs, n_other, present = names
-        tagged = df.join(F.broadcast(hot), F.col(key) == F.col("__k"), "left")
+        tagged = df.join(F.broadcast(plan), F.col(key) == F.col("__k"), "left")
         slices = F.when(F.col(key).isNull(), F.lit(NULL_SLICES)).otherwise(F.coalesce(own, F.lit(1)))
         copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(other, F.lit(1)) - 1)
         return tagged.select(

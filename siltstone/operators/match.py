@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from siltstone.operators.joins import MAX_HOT_KEYS, salted_join
 from siltstone.sources.stage import stage
 
-THRESHOLD = 2   # edits at most
-MIN_LENGTH = 6  # shorter names are never matched by distance
-HOT_BUCKET = 100_000  # names sharing one segment beyond which the segment is not joined on
-NEIGHBOURS = 200  # about the deletion neighbours of one name: the price of not joining on a segment
-BROADCAST_SEGMENTS = 1_000_000  # hot segments to broadcast at most, eight bytes each
+NAMES_PER_TASK = 20_000  # when each grows to its deletion neighbourhood
+BROADCAST_SEGMENTS = 1_000_000  # dense segments to broadcast at most, eight bytes each
+
+
+class Rules(NamedTuple):
+    """When two names are close, and what the search for them may cost."""
+
+    threshold: int = 2            # edits at most
+    min_length: int = 6           # shorter names are never matched by distance
+    hot_bucket: int = 100_000     # names sharing one segment that fill a task
+    neighbour_cost: float = 1.0   # of one deletion neighbour, in candidates; 0 avoids every shared segment
 
 
 class Side(NamedTuple):
@@ -110,66 +117,88 @@ def _deletions(names: DataFrame, c: str, threshold: int) -> DataFrame:
     return rows.selectExpr(c, "xxhash64(v) AS rest")
 
 
-def _hot_segments(index: DataFrame, probe: DataFrame, hot_bucket: int) -> DataFrame:
-    """Segments not worth joining on: ``(seg, giant)``, written once.
+def _heavy_segments(index: DataFrame, probe: DataFrame, rules: Rules) -> DataFrame:
+    """Segments that need care: ``(seg, na, nb, dense, giant)``, written once.
 
-    A segment is hot when joining on it costs more candidates per name than the deletion neighbourhoods
-    would, and a giant when one side of it alone would fill a task.
+    A segment is dense when joining on it costs more candidates per name than the deletion neighbourhoods
+    would, about ``length ** threshold / threshold!`` each.  It is a giant when one side of it alone would
+    fill a task.
     """
+    a_counts = index.groupBy("seg").agg(F.count("*").alias("na"), F.max(F.length("a")).alias("len"))
+    b_counts = probe.groupBy("seg").agg(F.count("*").alias("nb"))
+    counts = a_counts.join(b_counts, "seg", "full").na.fill(0, ["na", "nb", "len"])
     na, nb = F.col("na"), F.col("nb")
-    counts = index.groupBy("seg").agg(F.count("*").alias("na")).join(
-        probe.groupBy("seg").agg(F.count("*").alias("nb")), "seg"
+    neighbours = F.pow("len", F.lit(rules.threshold)) / math.factorial(rules.threshold) * rules.neighbour_cost
+    heavy = counts.select(
+        "seg", "na", "nb", (na * nb > neighbours * (na + nb)).alias("dense"),
+        ((na > rules.hot_bucket) | (nb > rules.hot_bucket)).alias("giant"),
     )
-    giant = (na > hot_bucket) | (nb > hot_bucket)
-    dense = na * nb > NEIGHBOURS * (na + nb)
-    return stage(counts.where(giant | dense).select("seg", giant.alias("giant")), "hot_segments")
+    return stage(heavy.where("dense OR giant"), "heavy_segments")
+
 
+class _Segments:
+    """Takes segment keys apart; giants are taken out map-side, before anything is shuffled on them."""
 
-def _broadcastable(segs: DataFrame) -> DataFrame:
-    return F.broadcast(segs) if segs.count() <= BROADCAST_SEGMENTS else segs
+    def __init__(self, heavy: DataFrame):
+        found = heavy.groupBy("dense", "giant").agg(F.count("*").alias("n")).collect()  # four rows at most
+        self.dense = any(r.dense for r in found)
+        giants, rest = (sum(r.n for r in found if r.giant == g) for g in (True, False))
 
+        def segs(condition: str, size: int) -> DataFrame:
+            chosen = heavy.where(condition).select("seg")
+            return F.broadcast(chosen) if size <= BROADCAST_SEGMENTS else chosen
 
-def _split_hot(hot: DataFrame) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
-    """Splits segment keys into cold and hot ones; giants are taken out before anything is shuffled."""
-    giants, rest = (_broadcastable(hot.where(c).select("seg")) for c in ("giant", "not giant"))
+        self.dense_giants = segs("giant AND dense", giants)
+        self.idle_giants = segs("giant AND (dense OR na = 0 OR nb = 0)", giants)
+        self.dense_rest = segs("dense AND NOT giant", rest)
 
-    def split(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-        modest = keys.join(giants, "seg", "left_anti")
-        warm = keys.join(giants, "seg", "left_semi").unionByName(modest.join(rest, "seg", "left_semi"))
-        return modest.join(rest, "seg", "left_anti"), warm
+    def joinable(self, keys: DataFrame) -> DataFrame:
+        """Keys to join on: not the dense ones, nor giants without a partner."""
+        return keys.join(self.idle_giants, "seg", "left_anti").join(self.dense_rest, "seg", "left_anti")
 
-    return split
+    def dense_only(self, keys: DataFrame) -> DataFrame:
+        modest = keys.join(self.dense_giants, "seg", "left_anti").join(self.dense_rest, "seg", "left_semi")
+        return keys.join(self.dense_giants, "seg", "left_semi").unionByName(modest)
 
 
-def name_pairs(left: Side, right: Side, threshold: int = THRESHOLD, min_length: int = MIN_LENGTH,
-               hot_bucket: int = HOT_BUCKET) -> DataFrame:
-    """Distinct lower-case name pairs ``(a, b, distance)`` within ``threshold`` edits, without a cross join.
+def _neighbours(keys: DataFrame, c: str, threshold: int) -> DataFrame:
+    names = stage(keys.select(c).distinct(), "dense_names")
+    # Each name grows to hundreds of rows, so the size of the files is no guide to the work.
+    default = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(default, names.count() // NAMES_PER_TASK)
+    return _deletions(names.repartition(slices, c), c, threshold)
+
+
+def name_pairs(left: Side, right: Side, rules: Rules = Rules()) -> DataFrame:
+    """Distinct lower-case name pairs ``(a, b, distance)`` within the threshold, without a cross join.
 
     Two names within the threshold share an intact segment, so names are joined on segment keys and
-    verified.  A segment that very many names share would give nearly all pairs within it.  Such a
+    verified.  A segment that many names of both sides share would give all pairs within it.  Such a
     segment is not joined on; the names that have it are joined on their deletion neighbourhoods
     instead, where two names meet only if they are within ``2 * threshold`` edits of each other.
     A pair is found either way, so the result is whole.
     """
+    threshold, min_length = rules.threshold, rules.min_length
     if min_length <= 2 * threshold:
         raise ValueError("min_length must exceed twice the threshold, or segments could be empty")
     a_names, b_names = _names(left, "a", min_length), _names(right, "b", min_length)
     index = _segment_keys(a_names, "a", threshold, probing=False)
     probe = _segment_keys(b_names, "b", threshold, probing=True)
-    split = _split_hot(_hot_segments(index, probe, hot_bucket))
-    (cold_index, hot_index), (_, hot_probe) = split(index), split(probe)
-    by_segment = cold_index.join(probe, "seg")  # no hot key is left on one side, so none is joined on
-
-    def neighbours(keys: DataFrame, c: str) -> DataFrame:
-        # Each name grows to very many rows, so adaptive execution must not merge these partitions for
-        # being small.  It leaves an explicit repartitioning alone, provided that this is not the one
-        # the distinct already made.
-        slices = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        names = keys.select(c).distinct().repartition(slices, F.xxhash64(c))
-        return _deletions(names, c, threshold)
-
-    by_deletion = neighbours(hot_index, "a").join(neighbours(hot_probe, "b"), "rest")
-    candidates = by_segment.select("a", "b").unionByName(by_deletion.select("a", "b"))
+    heavy = _heavy_segments(index, probe, rules)
+    segments = _Segments(heavy)
+
+    # giants that are not dense have few partners on the other side: slice them
+    giants = heavy.where("giant AND NOT dense AND na > 0 AND nb > 0").orderBy(F.desc(F.col("na") + F.col("nb"))).limit(MAX_HOT_KEYS)
+    by_segment = salted_join(
+        segments.joinable(index), segments.joinable(probe).withColumnRenamed("seg", "probe_seg"), "seg", "probe_seg",
+        "inner", rules.hot_bucket,
+        hot={r.seg: (r.na, r.nb) for r in giants.collect()},
+    )
+    candidates = by_segment.select("a", "b")
+    if segments.dense:
+        a_near = _neighbours(segments.dense_only(index), "a", threshold)
+        b_near = _neighbours(segments.dense_only(probe), "b", threshold)
+        candidates = candidates.unionByName(a_near.join(b_near, "rest").select("a", "b"))
     pairs = candidates.where(F.levenshtein("a", "b", threshold) >= 0).distinct()
     return pairs.withColumn("distance", F.levenshtein("a", "b", threshold))
 
@@ -183,13 +212,12 @@ def _expand(left: Side, right: Side, pairs: DataFrame, min_length: int) -> DataF
     return joined.drop("a", "b").withColumnRenamed("distance", "levenshtein_distance")
 
 
-def fuzzy_match(left: Side, right: Side, threshold: int = THRESHOLD, min_length: int = MIN_LENGTH,
-                hot_bucket: int = HOT_BUCKET) -> DataFrame:
-    """Row pairs within ``threshold`` edits on lower-cased names, with ``levenshtein_distance``.
+def fuzzy_match(left: Side, right: Side, rules: Rules = Rules()) -> DataFrame:
+    """Row pairs within the threshold on lower-cased names, with ``levenshtein_distance``.
 
     Every pair is kept, also several per row.
     """
-    return _expand(left, right, name_pairs(left, right, threshold, min_length, hot_bucket), min_length)
+    return _expand(left, right, name_pairs(left, right, rules), rules.min_length)
 
 
 def _staged_names(side: Side, other: Side) -> Side:
@@ -197,8 +225,7 @@ def _staged_names(side: Side, other: Side) -> Side:
     return narrow.with_rows(stage(unmatched(narrow, other), "unmatched"))
 
 
-def match_cascade(left: Side, right: Side, threshold: int = THRESHOLD, min_length: int = MIN_LENGTH,
-                  hot_bucket: int = HOT_BUCKET) -> DataFrame:
+def match_cascade(left: Side, right: Side, rules: Rules = Rules()) -> DataFrame:
     """Exact pairs, then close pairs of the rest, then the unmatched rows of each side.
 
     ``match_quality`` is 0, the distance, or NULL.  What several branches share is written once: the ids
@@ -207,13 +234,13 @@ def match_cascade(left: Side, right: Side, threshold: int = THRESHOLD, min_lengt
     """
     rest_left, rest_right = left.with_rows(unmatched(left, right)), right.with_rows(unmatched(right, left))
     narrow_left, narrow_right = _staged_names(left, right), _staged_names(right, left)
-    pairs = stage(name_pairs(narrow_left, narrow_right, threshold, min_length, hot_bucket), "name_pairs")
+    pairs = stage(name_pairs(narrow_left, narrow_right, rules), "name_pairs")
 
     def still_unmatched(side: Side, narrow: Side, c: str) -> DataFrame:
-        guarded = narrow.with_rows(narrow.rows.where(_long_enough(narrow.name, min_length)))
+        guarded = narrow.with_rows(narrow.rows.where(_long_enough(narrow.name, rules.min_length)))
         return without_ids(side, _has_name_in(guarded, pairs.select(F.col(c).alias("name")).distinct()))
 
-    close = _expand(rest_left, rest_right, pairs, min_length)
+    close = _expand(rest_left, rest_right, pairs, rules.min_length)
     none = F.lit(None).cast("int")
     return (
         exact_match(left, right).withColumn("match_quality", F.lit(0))

@@ -73,11 +73,13 @@ def test_company_person_headers_in_any_case(spark):
     assert raw.company_person_changes(raw.raw_table("erp", "company_person", df)).columns == ["employee_id", "person_id", "full_name", "org_code", "status", "_obj_id", "_obj_version"]
 
 
-def test_stage_uses_the_configured_folder(spark, tmp_path, rows):
+def test_stage_uses_the_configured_folder(spark, rows):
     df = spark.range(5)
-    assert rows(stage(df, "x")) == rows(df)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path)) if spark.conf.isModifiable("spark.checkpoint.dir") else None
-    assert shared_dir(spark)
+    staged = stage(df, "x")
+    assert rows(staged) == rows(df)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert shared_dir(spark) == configured
+    assert all(configured.removeprefix("file:") in f for f in staged.inputFiles())
 
 
 def test_materialize(spark, rows):
