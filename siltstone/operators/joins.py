@@ -40,9 +40,15 @@ def hot_counts(left: DataFrame, right: DataFrame, left_on: str, right_on: str, h
     return {k: (n_left.get(k, 0), n_right.get(k, 0)) for k in keys}
 
 
+def _slot(df: DataFrame, slices: Column) -> Column:
+    """Where a row of a split key goes.  A re-run task places its rows as before.  The partition is part of
+    the hash because very many equal rows would otherwise all go to one place."""
+    return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), slices)
+
+
 def _null_slice(df: DataFrame, key: str) -> Column:
-    """NULL keys never match, so they may go anywhere: spread them by row hash."""
-    return F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SLICES))).otherwise(F.lit(0))
+    """NULL keys never match, so they may go anywhere: spread them."""
+    return F.when(F.col(key).isNull(), _slot(df, F.lit(NULL_SLICES))).otherwise(F.lit(0))
 
 
 def salted_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, how: str = "full",
@@ -50,7 +56,7 @@ def salted_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                 hot: dict[Any, tuple[int, int]] | None = None) -> DataFrame:
     """``left.join(right, left_on == right_on, how)`` for ``inner``, ``left`` and ``full``, with hot keys split.
 
-    A key with ``n`` rows on one side is cut into ``ceil(n / hot_rows)`` slices by row hash, and the
+    A key with ``n`` rows on one side is cut into ``ceil(n / hot_rows)`` slices, and the
     other side's rows of that key are copied to each slice, so every matching pair meets in one cell.
     A copied row may find its own cell empty although the key matches in another; exact counts of the
     hot keys tell these false outer rows from true ones.  Without hot keys this is one plain join.
@@ -85,7 +91,7 @@ def salted_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
         copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(other, F.lit(1)) - 1)
         return tagged.select(
             *[F.col(f"`{c}`") for c in df.columns],
-            F.pmod(F.xxhash64(*df.columns), slices).alias(mine),
+            _slot(df, slices).alias(mine),
             F.explode(copies).alias(theirs),
             F.coalesce("__nr" if own == "__sl" else "__nl", F.lit(0)).alias(n_other),
             F.lit(True).alias(present),

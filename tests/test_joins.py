@@ -1,5 +1,6 @@
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from siltstone.operators.hierarchy import Hierarchy, hierarchy_rollup
 from siltstone.operators.joins import dimension_join, duplicate_keys, parent_lookup, salted_join
@@ -26,6 +27,16 @@ def test_salted_join_splits_copies_and_one_sided_hot_keys(spark, rows):
         assert rows(got) == rows(a.join(b, a["k"] == b["r"], how))
 
 
+def test_copies_of_one_row_are_spread(spark):
+    """Equal rows of a hot key do not all land in one partition."""
+    copies = spark.range(0, 4000, 1, 8).select(F.lit("x").alias("k"), F.lit(1).alias("a"))
+    one = spark.createDataFrame([("x", 7)], "r string, b int")
+    joined = salted_join(copies, one, "k", "r", "full", hot_rows=100, fraction=1.0)
+    assert joined.count() == 4000
+    plan = joined.select("a", "b")._jdf.queryExecution().executedPlan().toString()
+    assert "spark_partition_id" in plan.lower()
+
+
 def test_salted_join_rejects_other_types(spark):
     df = spark.range(1).toDF("k")
     with pytest.raises(ValueError):

@@ -14,7 +14,7 @@ SIDES = """
     rest_a AS (SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM exact e WHERE e.c_custkey = a.c_custkey)),
     rest_b AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM exact e WHERE e.s_suppkey = b.s_suppkey)),
     close AS (SELECT * FROM (
-        SELECT *, CASE WHEN length(c_name) > 5 AND length(b_name) > 5 THEN levenshtein(lower(c_name), lower(b_name)) END AS distance
+        SELECT *, CASE WHEN length(c_name) > 5 AND length(b_name) > 5 THEN CAST(levenshtein(lower(c_name), lower(b_name)) AS INT) END AS distance
         FROM rest_a CROSS JOIN rest_b) WHERE distance <= 2)
 """
 
@@ -293,7 +293,7 @@ ORACLE |= {
         rest_a AS (SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM exact e WHERE e.sf_account_id = a.sf_account_id)),
         rest_b AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM exact e WHERE e.pc_customer_id = b.pc_customer_id)),
         close AS (SELECT * FROM (SELECT *, CASE WHEN length(sf_account_name) > 5 AND length(pc_customer_name) > 5
-            THEN levenshtein(lower(sf_account_name), lower(pc_customer_name)) END AS match_quality FROM rest_a CROSS JOIN rest_b) WHERE match_quality <= 2),
+            THEN CAST(levenshtein(lower(sf_account_name), lower(pc_customer_name)) AS INT) END AS match_quality FROM rest_a CROSS JOIN rest_b) WHERE match_quality <= 2),
         joined AS (SELECT *, 0 AS match_quality FROM exact UNION ALL BY NAME SELECT * FROM close
             UNION ALL BY NAME SELECT * FROM rest_a WHERE NOT EXISTS (SELECT 1 FROM close x WHERE x.sf_account_id = rest_a.sf_account_id)
             UNION ALL BY NAME SELECT * FROM rest_b WHERE NOT EXISTS (SELECT 1 FROM close x WHERE x.pc_customer_id = rest_b.pc_customer_id))
