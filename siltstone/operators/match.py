@@ -215,9 +215,13 @@ def _expand(left: Side, right: Side, pairs: DataFrame, min_length: int) -> DataF
 def fuzzy_match(left: Side, right: Side, rules: Rules = Rules()) -> DataFrame:
     """Row pairs within the threshold on lower-cased names, with ``levenshtein_distance``.
 
-    Every pair is kept, also several per row.
+    Every pair is kept, also several per row.  The distinct names are written once, since the search
+    reads them several times and the rows behind them may be dear.
     """
-    return _expand(left, right, name_pairs(left, right, rules), rules.min_length)
+    def names(side: Side) -> Side:
+        return side.with_rows(stage(side.rows.select(side.name).distinct(), "names"))
+
+    return _expand(left, right, name_pairs(names(left), names(right), rules), rules.min_length)
 
 
 def _staged_names(side: Side, other: Side) -> Side:

@@ -7,7 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
-from siltstone.operators.match import exact_match, fuzzy_match, unmatched
+from siltstone.operators.match import exact_match, fuzzy_match, unmatched, without_ids
 from siltstone.plans import commercial, party
 from siltstone.sources.tables import materialize
 
@@ -80,6 +80,16 @@ class Curated:
     def close_matches(self) -> DataFrame:
         return fuzzy_match(*party.account_sides(self.unmatched_accounts, self.unmatched_control_customers))
 
+    @cached_property
+    def remaining_accounts(self) -> DataFrame:
+        side, _ = party.account_sides(self.unmatched_accounts, self.unmatched_control_customers)
+        return without_ids(side, self.close_matches.select(F.col(side.id).alias("__id")).distinct())
+
+    @cached_property
+    def remaining_control_customers(self) -> DataFrame:
+        _, side = party.account_sides(self.unmatched_accounts, self.unmatched_control_customers)
+        return without_ids(side, self.close_matches.select(F.col(side.id).alias("__id")).distinct())
+
     @cached_property
     def matched_accounts(self) -> DataFrame:
         return party.matched_accounts(self.top_accounts, self.control_customers)
@@ -138,6 +148,18 @@ class Curated:
     def erp_sites(self) -> DataFrame:
         return commercial.erp_sites(self.raw["erp.equipment_functional_cfv"], self.erp_locations)
 
+    @cached_property
+    def ps_sites(self) -> DataFrame:
+        return self.erp_sites.where(F.col("identifier") == commercial.PS_SITES)
+
+    @cached_property
+    def opco_sites(self) -> DataFrame:
+        return self.erp_sites.where(F.col("identifier") == commercial.OPCO_SITES)
+
+    @cached_property
+    def pre_erp_sites(self) -> DataFrame:
+        return self.erp_sites.where(F.col("identifier") == commercial.PRE_IFS_SITES)
+
     @cached_property
     def site(self) -> DataFrame:
         return commercial.site(self.erp_sites, self.control_sites)

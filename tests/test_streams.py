@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from siltstone.operators.cdc import scd1_batch
 from siltstone.operators.project import project
 from siltstone.plans import raw
+from siltstone.plans.pipeline import load_erp
 from siltstone.sources.tables import materialize, relational_reader
 from siltstone.sources.stage import scratch_path, shared_dir, stage
 from siltstone.streaming.ingest import LandingTable, csv_stream
@@ -99,3 +100,20 @@ def test_relational_split_needs_all_bounds(spark):
     with pytest.raises(ValueError):
         relational_reader(spark, "jdbc:x", "t", split_on="id")
     relational_reader(spark, "jdbc:x", "t", {"user": "u"}, "id", 0, 100, 8)
+
+
+def test_erp_load_runs_again_without_change(spark, rows):
+    landing, target = scratch_path(spark, "erp-landing"), scratch_path(spark, "erp-raw")
+    columns = ["EMP_NO", "PERSON_ID", "Internal_Display_Name", "ORG_CODE", "EMPLOYEE_STATUS", "OBJID", "OBJVERSION"]
+    _csv(spark, [("1", "p1", "old", "o", "A", "x1", "001"), ("2", "p2", "two", "o", "A", "x2", "001")], columns, f"{landing}/company_person")
+    first = load_erp(spark, landing, target)
+    assert set(first) == {"erp.company_person", "erp.company_person_last_change"}
+    want = rows(first["erp.company_person_last_change"])
+    assert rows(load_erp(spark, landing, target)["erp.company_person_last_change"]) == want
+    _csv(spark, [("1", "p1", "new", "o", "A", "x1", "002"), ("2", "p2", "late", "o", "A", "x2", "000")], columns, f"{landing}/company_person")
+    latest = load_erp(spark, landing, target)
+    assert latest["erp.company_person"].count() == 4
+    assert rows(latest["erp.company_person_last_change"].select("_obj_id", "full_name")) == [("x1", "new"), ("x2", "two")]
+    again = load_erp(spark, landing, target, full_refresh=True)
+    assert rows(again["erp.company_person_last_change"]) == rows(latest["erp.company_person_last_change"])
+    assert again["erp.company_person"].count() == 4

@@ -303,6 +303,13 @@ ORACLE |= {
             southern_opco, created_date, last_modified_date, match_quality
         FROM joined FULL JOIN erp ON ifs_customer_no = ifs_customer_id
         WHERE NOT (ifs_customer_no IS NULL AND erp.ifs_customer_id IS NOT NULL AND category = 'Prospect')""",
+    "curated_remaining_accounts": f"""WITH {ACCOUNTS},
+        a AS (SELECT * FROM accounts WHERE parent_id IS NULL),
+        rest_a AS (SELECT * FROM a WHERE lower(sf_account_name) NOT IN (SELECT lower(customername) FROM control_customers)),
+        rest_b AS (SELECT * FROM control_customers WHERE lower(customername) NOT IN (SELECT lower(sf_account_name) FROM a))
+        SELECT * FROM rest_a WHERE NOT EXISTS (SELECT 1 FROM rest_b
+            WHERE length(sf_account_name) > 5 AND length(customername) > 5 AND levenshtein(lower(sf_account_name), lower(customername)) <= 2)""",
+    "curated_opco_sites": f"WITH {SITES} SELECT * FROM erp_sites WHERE identifier = 'OPCO_Sites'",
     "curated_equipment": f"""WITH {CFV}, {duckdb_cte('control_generators')}
         {_generators('PS_Generators', '''(ef."CF$_OBJ_CLASS" = 'PS' OR (ef."CF$_OBJ_CLASS" IS NULL AND ef."CF$_PROJECT_NO" IS NOT NULL))''')}
         UNION ALL BY NAME

@@ -520,6 +520,7 @@ QUERIES = {
     "employee_pipeline": curated_query("employee"),
     **{f"curated_{name}": curated_query(name) for name in (
         "account", "customer", "equipment", "location", "site", "opportunity", "opportunity_team_member",
+        "remaining_accounts", "opco_sites",
     )},
     "pipeline_site": pipeline_site,
     # the table of states is fixed at 25 rows; control_sites covers it
