@@ -231,22 +231,21 @@ OPPORTUNITIES = duckdb_cte("crm_opportunity") + """,
 CFV = duckdb_cte("erp_equipment_functional_cfv")
 
 
-def _generators(tag: str, condition: str) -> str:
-    return f"""
-        SELECT ef.OBJID AS dw_equipment_id, ef.MCH_CODE AS ifs_object_id, CAST(NULL AS INT) AS pc_site_id, ef.CONTRACT AS division,
-            ef.OBJ_LEVEL AS object_level, ef.SUP_MCH_CODE AS parent_object, sup.MCH_NAME AS description, ef."CF$_OBJ_CLASS" AS classification,
-            ef."CF$_OWNER" AS object_owner, ef."CF$_OWNERSHIP" AS ownership, ef.LOCATION_ID AS location_id,
-            sum(try_cast(ef."CF$_KW" AS DOUBLE)) AS total_power, count(ef.MCH_CODE) AS no_of_engines, ef."CF$_PROJECT_NO" AS project_id,
-            ef.OPERATIONAL_STATUS AS equipment_status,
-            CASE WHEN sup.OBJ_LEVEL = '120-Cust Location' THEN sup.MCH_CODE ELSE cust.MCH_CODE END AS customer_location,
-            CASE WHEN sup.OBJ_LEVEL = '120-Cust Location' THEN sup.MCH_NAME ELSE cust.MCH_NAME END AS customer_location_name,
-            '{tag}' AS identifier
-        FROM erp_equipment_functional_cfv ef
-        LEFT JOIN erp_equipment_functional_cfv sup ON ef.SUP_MCH_CODE = sup.MCH_CODE
-        LEFT JOIN erp_equipment_functional_cfv cust ON sup.SUP_MCH_CODE = cust.MCH_CODE AND cust.OBJ_LEVEL = '120-Cust Location'
-        WHERE ef.CONTRACT = '700' AND ef.OBJ_LEVEL = '780-GenSets' AND {condition}
-        GROUP BY ef.MCH_CODE, ef.OBJID, ef.CONTRACT, ef.OBJ_LEVEL, ef.SUP_MCH_CODE, sup.MCH_NAME, ef."CF$_OBJ_CLASS", ef."CF$_OWNER",
-            ef."CF$_OWNERSHIP", ef.LOCATION_ID, ef."CF$_PROJECT_NO", ef.OPERATIONAL_STATUS, sup.OBJ_LEVEL, sup.MCH_CODE, cust.MCH_CODE, cust.MCH_NAME"""
+GENERATORS = f"""{CFV},
+    gensets AS (SELECT * FROM erp_equipment_functional_cfv WHERE OBJ_LEVEL = '780-GenSets' AND CONTRACT = '700'),
+    tagged AS (
+        SELECT *, 'PS_Generators' AS identifier FROM gensets
+        WHERE "CF$_OBJ_CLASS" = 'PS' OR ("CF$_OBJ_CLASS" IS NULL AND "CF$_PROJECT_NO" IS NOT NULL)
+        UNION ALL
+        SELECT *, 'ERG_Generators' AS identifier FROM gensets
+        WHERE ("CF$_OBJ_CLASS" = 'ERG' OR ("CF$_OBJ_CLASS" IS NULL AND "CF$_PROJECT_NO" IS NULL)) AND OPERATIONAL_STATUS <> 'Scrapped'),
+    owners AS (SELECT MCH_CODE, MCH_NAME FROM erp_equipment_functional_cfv WHERE OBJ_LEVEL = '120-Cust Location'),
+    placed AS (SELECT g.*, up.MCH_CODE AS up_code, up.MCH_NAME AS up_name, up.OBJ_LEVEL AS up_level, o.MCH_CODE AS o_code, o.MCH_NAME AS o_name
+        FROM tagged g LEFT JOIN erp_equipment_functional_cfv up ON up.MCH_CODE = g.SUP_MCH_CODE
+        LEFT JOIN owners o ON o.MCH_CODE = up.SUP_MCH_CODE),
+    measured AS (SELECT * EXCLUDE ("CF$_KW", MCH_NAME, OBJVERSION), sum(try_cast("CF$_KW" AS DOUBLE)) AS total_power, count(MCH_CODE) AS no_of_engines
+        FROM placed GROUP BY ALL)
+"""
 
 
 def _erp_sites(tag: str, join: str, where: str) -> str:
@@ -310,11 +309,13 @@ ORACLE |= {
         SELECT * FROM rest_a WHERE NOT EXISTS (SELECT 1 FROM rest_b
             WHERE length(sf_account_name) > 5 AND length(customername) > 5 AND levenshtein(lower(sf_account_name), lower(customername)) <= 2)""",
     "curated_opco_sites": f"WITH {SITES} SELECT * FROM erp_sites WHERE identifier = 'OPCO_Sites'",
-    "curated_equipment": f"""WITH {CFV}, {duckdb_cte('control_generators')}
-        {_generators('PS_Generators', '''(ef."CF$_OBJ_CLASS" = 'PS' OR (ef."CF$_OBJ_CLASS" IS NULL AND ef."CF$_PROJECT_NO" IS NOT NULL))''')}
-        UNION ALL BY NAME
-        {_generators('ERG_Generators', '''(ef."CF$_OBJ_CLASS" = 'ERG' OR (ef."CF$_OBJ_CLASS" IS NULL AND ef."CF$_PROJECT_NO" IS NULL))
-            AND ef.OPERATIONAL_STATUS <> 'Scrapped' ''')}
+    "curated_equipment": f"""WITH {GENERATORS}, {duckdb_cte('control_generators')}
+        SELECT OBJID AS dw_equipment_id, MCH_CODE AS ifs_object_id, CAST(NULL AS INT) AS pc_site_id, CONTRACT AS division, OBJ_LEVEL AS object_level,
+            SUP_MCH_CODE AS parent_object, up_name AS description, "CF$_OBJ_CLASS" AS classification, "CF$_OWNER" AS object_owner,
+            "CF$_OWNERSHIP" AS ownership, LOCATION_ID AS location_id, total_power, no_of_engines, "CF$_PROJECT_NO" AS project_id,
+            OPERATIONAL_STATUS AS equipment_status, CASE WHEN up_level = '120-Cust Location' THEN up_code ELSE o_code END AS customer_location,
+            CASE WHEN up_level = '120-Cust Location' THEN up_name ELSE o_name END AS customer_location_name, identifier
+        FROM measured
         UNION ALL BY NAME
         SELECT SiteId AS pc_site_id, md5(CAST(GeneratorId AS VARCHAR)) AS dw_equipment_id, try_cast(GeneratorSize AS DOUBLE) AS total_power,
             '780-GenSets' AS object_level, 'PC' AS classification, 'PC_Generators' AS identifier FROM control_generators""",
