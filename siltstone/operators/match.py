@@ -142,6 +142,7 @@ class _Segments:
     def __init__(self, heavy: DataFrame):
         found = heavy.groupBy("dense", "giant").agg(F.count("*").alias("n")).collect()  # four rows at most
         self.dense = any(r.dense for r in found)
+        self.lopsided = any(r.giant and not r.dense for r in found)
         giants, rest = (sum(r.n for r in found if r.giant == g) for g in (True, False))
 
         def segs(condition: str, size: int) -> DataFrame:
@@ -192,7 +193,7 @@ def name_pairs(left: Side, right: Side, rules: Rules = Rules()) -> DataFrame:
     by_segment = salted_join(
         segments.joinable(index), segments.joinable(probe).withColumnRenamed("seg", "probe_seg"), "seg", "probe_seg",
         "inner", rules.hot_bucket,
-        hot={r.seg: (r.na, r.nb) for r in giants.collect()},
+        hot={r.seg: (r.na, r.nb) for r in giants.collect()} if segments.lopsided else {},
     )
     candidates = by_segment.select("a", "b")
     if segments.dense:

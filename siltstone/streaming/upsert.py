@@ -18,7 +18,8 @@ class LatestTable(Generations):
     of keys and not with the number of changes (a key may change at any time, so no watermark can
     expire it; use the RocksDB state store for large tables).  Every micro-batch writes the whole table
     to ``<generation>/versions/<batch id>``: a replayed batch overwrites its own version, readers see a
-    version only once it is complete, and the newest two are kept.
+    version only once it is complete, and the newest two are kept.  A batch costs a write of the table,
+    so let a run take all files at once unless the changes are too many for that.
     """
 
     def _versions(self, folder: str) -> list[int]:
