@@ -278,7 +278,7 @@ SITES = ",\n".join([
 ])
 
 ORACLE |= {
-    "employee_pipeline": f"WITH {EMPLOYEES} SELECT * FROM employee",
+    "curated_employee": f"WITH {EMPLOYEES} SELECT * FROM employee",
     "curated_customer": f"""WITH {ACCOUNTS}
         SELECT coalesce(sf_account_id, ifs_obj_id) AS dw_customer_id, sf_account_id, ifs_obj_id, ifs_customer_no, ifs_customer_name,
             sf_account_name AS sf_customer_name, category, segment, subsegment, southern_opco, street, city, state, zip, country, latitude,
@@ -340,7 +340,7 @@ ORACLE |= {
 }
 
 
-ORACLE["pipeline_site"] = ORACLE["curated_site"]
+ORACLE["site_from_files"] = ORACLE["curated_site"]
 
 
 def _raw(name: str, *pairs: str) -> None:

@@ -455,7 +455,7 @@ def curated_query(name: str):
     return query
 
 
-def pipeline_site(spark, d):
+def site_from_files(spark, d):
     """Sites all the way: CSV drops in two batches, streams, raw tables, stored curated tables."""
     landing, out = scratch_path(spark, "erp-landing"), scratch_path(spark, "warehouse")
     for even in (0, 1):
@@ -517,12 +517,12 @@ QUERIES = {
     "decimal_ratio": decimal_ratio,
     "scd1_batch": scd1_batch_,
     "scd1_stream": scd1_stream,
-    "employee_pipeline": curated_query("employee"),
+    "curated_employee": curated_query("employee"),
     **{f"curated_{name}": curated_query(name) for name in (
         "account", "customer", "equipment", "location", "site", "opportunity", "opportunity_team_member",
         "remaining_accounts", "opco_sites",
     )},
-    "pipeline_site": pipeline_site,
+    "site_from_files": site_from_files,
     # the table of states is fixed at 25 rows; control_sites covers it
     **{f"raw_{name}": raw_query(name) for name in LANDING if name != "control_states"},
 }
