@@ -6,7 +6,10 @@ import __spark_entry__ as entry_points
 from compare import check, connect
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+ALL_QUERIES, ALL_ORACLE = entry_points.queries(), entry_points.oracle_sql()
+#: The optional operators have their tests beside them.
+QUERIES = {name: ALL_QUERIES[name] for name in entry_points.QUERIES}
+ORACLE = {name: ALL_ORACLE[name] for name in entry_points.ORACLE}
 
 
 @pytest.fixture(scope="module")
