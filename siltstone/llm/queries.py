@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from siltstone.llm.packing import op1_best_fit_packing
+from siltstone.llm.simhash import op7_simhash_near_dedup
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op7_simhash_near_dedup": op7_simhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {}
