@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from siltstone.llm.decontaminate import OP10_SQL, op10_benchmark_decontamination
 from siltstone.llm.packing import op1_best_fit_packing
 from siltstone.llm.simhash import op7_simhash_near_dedup
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_benchmark_decontamination": OP10_SQL,
+}
