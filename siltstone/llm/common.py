@@ -114,21 +114,40 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _range_hash(codes: np.ndarray, powers: _Powers, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = powers.get(len(codes) + 1)
+def _sums(codes: np.ndarray, powers: _Powers) -> np.ndarray:
+    up, _ = powers.get(len(codes) + 1)
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum(codes * up[:-1], out=sums[1:])
+    return sums
+
+
+def _of_sums(sums: np.ndarray, powers: _Powers, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    _, down = powers.get(len(sums))
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def byte_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def range_sums(data: np.ndarray) -> np.ndarray:
+    """What `sums_hash` needs, computed once for all ranges of the same bytes."""
+    return _sums(_BYTE_CODES[data], _BYTE_POWERS)
+
+
+def sums_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte range, by its content alone."""
-    return _range_hash(_BYTE_CODES[data], _BYTE_POWERS, starts, ends)
+    return _of_sums(sums, _BYTE_POWERS, starts, ends)
+
+
+def byte_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return sums_hash(range_sums(data), starts, ends)
+
+
+def sequence_sums(words: np.ndarray) -> np.ndarray:
+    """What `sequence_hash` needs, computed once for all lengths."""
+    return _sums(words, _WORD_POWERS)
 
 
-def sequence_hash(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+def sequence_hash(sums: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """A 64-bit hash of the `length` word hashes from each start."""
-    return _range_hash(words, _WORD_POWERS, starts, starts + length)
+    return _of_sums(sums, _WORD_POWERS, starts, starts + length)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

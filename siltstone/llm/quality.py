@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.llm.common import SPACES, byte_hash, steps, table, word_spans
-from siltstone.llm.labelled import examples, fold
+from siltstone.llm.labelled import examples, fold, known
 
 #: Labelled documents that a model is trained on, at most.
 MAX_EXAMPLES = 20_000
@@ -157,7 +157,7 @@ def train(values: np.ndarray, labels: np.ndarray, trees: int = 80, depth: int =
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = FOLDS, held: int = HELD, most: int = MAX_EXAMPLES) -> Trees:
     """Trees trained on at most `most` labelled documents outside the held-out fold.  Only their statistics,
     one row an id, come to the driver.  Runs a job."""
-    chosen = examples(docs, labels, label, folds, held, most)
+    chosen = examples(docs, known(labels, label, folds, held, most))
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
