@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from siltstone.llm.decontaminate import OP10_SQL, op10_benchmark_decontamination
+from siltstone.llm.licenses import OP4_SQL, op4_license_scan
 from siltstone.llm.packing import op1_best_fit_packing
 from siltstone.llm.quality import op9_quality_classifier
 from siltstone.llm.simhash import op7_simhash_near_dedup
@@ -10,6 +11,7 @@ from siltstone.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_license_scan": op4_license_scan,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
@@ -17,5 +19,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_license_scan": OP4_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
