@@ -6,12 +6,14 @@ from siltstone.llm.decontaminate import OP10_SQL, op10_benchmark_decontamination
 from siltstone.llm.licenses import OP4_SQL, op4_license_scan
 from siltstone.llm.packing import op1_best_fit_packing
 from siltstone.llm.quality import op9_quality_classifier
+from siltstone.llm.secrets import op5_secret_scan
 from siltstone.llm.simhash import op7_simhash_near_dedup
 from siltstone.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_license_scan": op4_license_scan,
+    "op5_secret_scan": op5_secret_scan,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
