@@ -8,10 +8,12 @@ from siltstone.llm.packing import op1_best_fit_packing
 from siltstone.llm.quality import op9_quality_classifier
 from siltstone.llm.secrets import op5_secret_scan
 from siltstone.llm.simhash import op7_simhash_near_dedup
+from siltstone.llm.substrings import OP3_SQL, op3_substring_dedup
 from siltstone.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_license_scan": op4_license_scan,
     "op5_secret_scan": op5_secret_scan,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
@@ -21,6 +23,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_substring_dedup": OP3_SQL,
     "op4_license_scan": OP4_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
