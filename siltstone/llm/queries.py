@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from siltstone.llm.decontaminate import OP10_SQL, op10_benchmark_decontamination
 from siltstone.llm.licenses import OP4_SQL, op4_license_scan
+from siltstone.llm.neighbours import op2_nearest_neighbours
 from siltstone.llm.packing import op1_best_fit_packing
 from siltstone.llm.quality import op9_quality_classifier
 from siltstone.llm.secrets import op5_secret_scan
@@ -13,6 +14,7 @@ from siltstone.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_license_scan": op4_license_scan,
     "op5_secret_scan": op5_secret_scan,
