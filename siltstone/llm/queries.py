@@ -11,6 +11,7 @@ from siltstone.llm.secrets import op5_secret_scan
 from siltstone.llm.simhash import op7_simhash_near_dedup
 from siltstone.llm.substrings import OP3_SQL, op3_substring_dedup
 from siltstone.llm.toxicity import op8_toxicity
+from siltstone.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_license_scan": op4_license_scan,
     "op5_secret_scan": op5_secret_scan,
+    "op6_warc": op6_warc,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
@@ -27,5 +29,6 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": OP3_SQL,
     "op4_license_scan": OP4_SQL,
+    "op6_warc": OP6_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
