@@ -7,87 +7,102 @@ join, so ``salted_join`` splits hot keys itself for these.
 
 from __future__ import annotations
 
-from typing import Any
+import math
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+
+from siltstone.sources.stage import stage
 
 HOT_ROWS = 1_000_000  # rows of one key that fill a task
-MAX_HOT_KEYS = 64     # per side, the most frequent first; bounds what is collected and broadcast
-NULL_SLICES = 1024
+BROADCAST_KEYS = 1_000_000  # hot keys to broadcast at most; more are joined
 
 
-def _frequent_keys(df: DataFrame, key: str, hot_rows: int, fraction: float) -> set[Any]:
+def _keys_to_count(df: DataFrame, key: str, hot_rows: int, fraction: float) -> DataFrame:
     """Keys with about ``hot_rows`` rows or more.  The sample decides only which keys are salted."""
-    seen = df.select(F.col(key).alias("k")).where("k is not null")
+    seen = df.select(F.col(key).alias("__k")).where("__k is not null")
     if fraction < 1.0:
         seen = seen.sample(fraction, seed=11)
-    counts = seen.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") >= hot_rows * fraction)
-    return {r.k for r in counts.orderBy(F.desc("n")).limit(MAX_HOT_KEYS).collect()}
+    return seen.groupBy("__k").agg(F.count("*").alias("n")).where(F.col("n") >= hot_rows * fraction).select("__k")
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_KEYS else df
+
 
+def hot_keys(left: DataFrame, right: DataFrame, left_on: str, right_on: str, hot_rows: int = HOT_ROWS,
+             fraction: float = 0.01) -> DataFrame:
+    """Hot keys of either side with their exact row counts on both: ``(__k, __nl, __nr)``, written once.
 
-def _exact_counts(df: DataFrame, key: str, keys: list[Any]) -> dict[Any, int]:
-    rows = df.where(F.col(key).isin(keys)).groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n"))
-    return {r.k: r.n for r in rows.collect()}
+    There are at most ``rows / hot_rows`` of them a side, however many keys there are.
+    """
+    either = _keys_to_count(left, left_on, hot_rows, fraction).union(_keys_to_count(right, right_on, hot_rows, fraction))
+    keys = stage(either.distinct(), "hot_keys")
+    n = keys.count()
+
+    def counted(df: DataFrame, key: str, name: str) -> DataFrame:
+        chosen = df.select(F.col(key).alias("__k")).join(_small(keys, n), "__k", "left_semi")
+        return chosen.groupBy("__k").agg(F.count("*").alias(name))
 
+    if not n:
+        return keys.select("__k", F.lit(0).cast("bigint").alias("__nl"), F.lit(0).cast("bigint").alias("__nr"))
+    both = counted(left, left_on, "__nl").join(counted(right, right_on, "__nr"), "__k", "full")
+    return stage(both.na.fill(0, ["__nl", "__nr"]), "hot_counts")
 
-def hot_counts(left: DataFrame, right: DataFrame, left_on: str, right_on: str, hot_rows: int = HOT_ROWS,
-               fraction: float = 0.01) -> dict[Any, tuple[int, int]]:
-    """Hot keys of either side with their exact row counts on both."""
-    keys = sorted(_frequent_keys(left, left_on, hot_rows, fraction) | _frequent_keys(right, right_on, hot_rows, fraction))
-    if not keys:
-        return {}
-    n_left, n_right = _exact_counts(left, left_on, keys), _exact_counts(right, right_on, keys)
-    return {k: (n_left.get(k, 0), n_right.get(k, 0)) for k in keys}
+
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, MapType) or isinstance(kind, ArrayType) and _has_map(kind.elementType)
 
 
 def _slot(df: DataFrame, slices: Column) -> Column:
     """Where a row of a split key goes.  A re-run task places its rows as before.  The partition is part of
-    the hash because very many equal rows would otherwise all go to one place."""
-    return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), slices)
+    the hash because very many equal rows would otherwise all go to one place.  Maps have no hash."""
+    content = [F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)]
+    return F.pmod(F.xxhash64(*content, F.spark_partition_id()), slices)
 
 
-def _null_slice(df: DataFrame, key: str) -> Column:
-    """NULL keys never match, so they may go anywhere: spread them."""
-    return F.when(F.col(key).isNull(), _slot(df, F.lit(NULL_SLICES))).otherwise(F.lit(0))
+def _null_slices(df: DataFrame, key: str, hot_rows: int) -> int:
+    """NULL keys never match, so they may go anywhere: as many places as they fill."""
+    return math.ceil(df.where(F.col(f"`{key}`").isNull()).count() / hot_rows)
 
 
 def salted_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, how: str = "full",
-                hot_rows: int = HOT_ROWS, fraction: float = 0.01,
-                hot: dict[Any, tuple[int, int]] | None = None) -> DataFrame:
+                hot_rows: int = HOT_ROWS, fraction: float = 0.01, hot: DataFrame | None = None) -> DataFrame:
     """``left.join(right, left_on == right_on, how)`` for ``inner``, ``left`` and ``full``, with hot keys split.
 
     A key with ``n`` rows on one side is cut into ``ceil(n / hot_rows)`` slices, and the
     other side's rows of that key are copied to each slice, so every matching pair meets in one cell.
     A copied row may find its own cell empty although the key matches in another; exact counts of the
-    hot keys tell these false outer rows from true ones.  Without hot keys this is one plain join.
-    ``hot`` gives hot keys and their counts where they are known already.
+    hot keys tell these false outer rows from true ones.  NULL keys are spread likewise.  Without hot keys
+    this is one plain join.  ``hot`` gives hot keys and their counts, as ``hot_keys`` does, where they are
+    known.  Runs jobs that read the key columns of both sides, so pass written frames or cheap ones.
     """
     if how not in ("inner", "left", "full"):
         raise ValueError(f"unsupported join type: {how}")
     if hot is None:
-        hot = hot_counts(left, right, left_on, right_on, hot_rows, fraction)
-    if not hot:
-        if how == "inner":
-            return left.join(right, left[left_on] == right[right_on], "inner")
-        lhs = left.withColumn("__i", _null_slice(left, left_on))
-        rhs = right.withColumn("__ri", _null_slice(right, right_on))
-        # 0 on both sides for real keys
-        joined = lhs.join(rhs, (lhs[left_on] == rhs[right_on]) & (lhs["__i"] == rhs["__ri"]), how)
-        return joined.drop("__i", "__ri")
-
-    key_type = left.schema[left_on].dataType.simpleString()
-    plan = left.sparkSession.createDataFrame(
-        [(k, nl, nr) for k, (nl, nr) in hot.items()], f"__k {key_type}, __nl bigint, __nr bigint"
-    ).select(
+        hot = hot_keys(left, right, left_on, right_on, hot_rows, fraction)
+    n_hot = hot.count()
+    # only a full join keeps NULL keys of its right side; an inner join keeps none
+    left_nulls = _null_slices(left, left_on, hot_rows) if how != "inner" else 0
+    right_nulls = _null_slices(right, right_on, hot_rows) if how == "full" else 0
+    if not n_hot and max(left_nulls, right_nulls) <= 1:
+        lhs, rhs = left.withColumn("__left_key", F.col(f"`{left_on}`")), right.withColumn("__right_key", F.col(f"`{right_on}`"))
+        return lhs.join(rhs, F.col("__left_key") == F.col("__right_key"), how).drop("__left_key", "__right_key")
+
+    plan = hot.select(
         "*",
         F.greatest(F.ceil(F.col("__nl") / hot_rows), F.lit(1)).alias("__sl"),
         F.greatest(F.ceil(F.col("__nr") / hot_rows), F.lit(1)).alias("__sr"),
-    )  # at most 2 * MAX_HOT_KEYS rows
+    )
 
-    def cells(df: DataFrame, key: str, own: str, other: str, names: tuple[str, str, str, str]) -> DataFrame:
-        mine, theirs, n_other, present = names
-        tagged = df.join(F.broadcast(plan), F.col(key) == F.col("__k"), "left")
-        slices = F.when(F.col(key).isNull(), F.lit(NULL_SLICES)).otherwise(F.coalesce(own, F.lit(1)))
+    def cells(df: DataFrame, key: str, own: str, other: str, nulls: int, names: tuple[str, str, str, str, str]) -> DataFrame:
+        mine, theirs, n_other, present, kept_key = names
+        value = F.col(f"`{key}`")
+        tagged = df.join(_small(plan, n_hot), value == F.col("__k"), "left") if n_hot else df.withColumns(
+            {c: F.lit(None).cast("bigint") for c in ("__k", "__nl", "__nr", "__sl", "__sr")})
+        slices = F.when(value.isNull(), F.lit(max(nulls, 1))).otherwise(F.coalesce(own, F.lit(1)))
         copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(other, F.lit(1)) - 1)
         return tagged.select(
             *[F.col(f"`{c}`") for c in df.columns],
@@ -95,13 +110,14 @@ def salted_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
             F.explode(copies).alias(theirs),
             F.coalesce("__nr" if own == "__sl" else "__nl", F.lit(0)).alias(n_other),
             F.lit(True).alias(present),
+            value.alias(kept_key),
         )
 
-    lhs = cells(left, left_on, "__sl", "__sr", ("__i", "__j", "__right_n", "__in_left"))
-    rhs = cells(right, right_on, "__sr", "__sl", ("__rj", "__ri", "__left_n", "__in_right"))
+    lhs = cells(left, left_on, "__sl", "__sr", left_nulls, ("__i", "__j", "__right_n", "__in_left", "__left_key"))
+    rhs = cells(right, right_on, "__sr", "__sl", right_nulls, ("__rj", "__ri", "__left_n", "__in_right", "__right_key"))
     joined = lhs.join(
         rhs,
-        (lhs[left_on] == rhs[right_on]) & (lhs["__i"] == rhs["__ri"]) & (lhs["__j"] == rhs["__rj"]),
+        (F.col("__left_key") == F.col("__right_key")) & (F.col("__i") == F.col("__ri")) & (F.col("__j") == F.col("__rj")),
         how,
     )
     if how != "inner":
@@ -110,12 +126,15 @@ def salted_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
             | (F.col("__in_right").isNull() & (F.col("__right_n") == 0))
             | (F.col("__in_left").isNull() & (F.col("__left_n") == 0))
         )
-    return joined.drop("__i", "__j", "__ri", "__rj", "__right_n", "__left_n", "__in_left", "__in_right")
+    return joined.drop("__i", "__j", "__ri", "__rj", "__right_n", "__left_n", "__in_left", "__in_right", "__left_key", "__right_key")
 
 
-def dimension_join(df: DataFrame, dimension: DataFrame, on: str, max_rows: int = 100_000) -> DataFrame:
-    """Left join to a dimension table, broadcast once its size is checked, an ordinary join beyond that."""
-    fits = dimension.limit(max_rows + 1).count() <= max_rows
+def dimension_join(df: DataFrame, dimension: DataFrame, on: str, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Left join to a dimension table, broadcast once its size is checked in rows and bytes (as JSON text), an
+    ordinary join beyond that."""
+    some = dimension.limit(max_rows + 1).select(F.length(F.to_json(F.struct("*"))).alias("size"))
+    found = some.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
+    fits = found["n"] <= max_rows and found["bytes"] <= max_bytes
     return df.join(F.broadcast(dimension) if fits else dimension, on, "left")
 
 

@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from siltstone.operators.joins import MAX_HOT_KEYS, salted_join
+from siltstone.operators.joins import salted_join
 from siltstone.sources.stage import stage
 
 NAMES_PER_TASK = 20_000  # when each grows to its deletion neighbourhood
@@ -142,7 +142,6 @@ class _Segments:
     def __init__(self, heavy: DataFrame):
         found = heavy.groupBy("dense", "giant").agg(F.count("*").alias("n")).collect()  # four rows at most
         self.dense = any(r.dense for r in found)
-        self.lopsided = any(r.giant and not r.dense for r in found)
         giants, rest = (sum(r.n for r in found if r.giant == g) for g in (True, False))
 
         def segs(condition: str, size: int) -> DataFrame:
@@ -189,11 +188,12 @@ def name_pairs(left: Side, right: Side, rules: Rules = Rules()) -> DataFrame:
     segments = _Segments(heavy)
 
     # giants that are not dense have few partners on the other side: slice them
-    giants = heavy.where("giant AND NOT dense AND na > 0 AND nb > 0").orderBy(F.desc(F.col("na") + F.col("nb"))).limit(MAX_HOT_KEYS)
+    giants = heavy.where("giant AND NOT dense AND na > 0 AND nb > 0").select(
+        F.col("seg").alias("__k"), F.col("na").alias("__nl"), F.col("nb").alias("__nr"))
     by_segment = salted_join(
         segments.joinable(index), segments.joinable(probe).withColumnRenamed("seg", "probe_seg"), "seg", "probe_seg",
         "inner", rules.hot_bucket,
-        hot={r.seg: (r.na, r.nb) for r in giants.collect()} if segments.lopsided else {},
+        hot=giants,
     )
     candidates = by_segment.select("a", "b")
     if segments.dense:
@@ -225,31 +225,73 @@ def fuzzy_match(left: Side, right: Side, rules: Rules = Rules()) -> DataFrame:
     return _expand(left, right, name_pairs(names(left), names(right), rules), rules.min_length)
 
 
-def _staged_names(side: Side, other: Side) -> Side:
-    narrow = side.with_rows(side.rows.select(side.id, side.name))
-    return narrow.with_rows(stage(unmatched(narrow, other), "unmatched"))
+class _Cascade(NamedTuple):
+    """What the cascade knows of names and ids; all of it written and narrow, whatever the rows are."""
+
+    links: DataFrame   # lower-case name pairs (a, b, match_quality): 0 or the distance
+    left: DataFrame    # ids matched on the left (__id, exact): by an equal name, or by a close one only
+    right: DataFrame
+
+
+def _cascade(left: Side, right: Side, rules: Rules) -> _Cascade:
+    """Each source is read once, for its ids and names."""
+    def narrow(side: Side) -> DataFrame:
+        return stage(side.rows.select(F.col(side.id).alias("__id"), F.col(side.name).alias("__name")), "names")
+
+    def names(rows: DataFrame) -> DataFrame:
+        return rows.select(F.lower("__name").alias("name")).where("name is not null").distinct()
+
+    def ids(rows: DataFrame, found: DataFrame) -> DataFrame:
+        return rows.join(found, F.lower("__name") == F.col("name"), "left_semi").where("__id is not null").select("__id").distinct()
+
+    a, b = narrow(left), narrow(right)
+    exact = stage(names(a).join(names(b), "name", "left_semi"), "exact_names")
+    exact_a, exact_b = stage(ids(a, exact), "exact_ids"), stage(ids(b, exact), "exact_ids")
+    # a NULL id never counts as matched
+    rest_a, rest_b = stage(a.join(exact_a, "__id", "left_anti"), "rest"), stage(b.join(exact_b, "__id", "left_anti"), "rest")
+    pairs = stage(name_pairs(Side(rest_a, "__id", "__name"), Side(rest_b, "__id", "__name"), rules), "name_pairs")
+
+    def matched(exact_ids: DataFrame, rest: DataFrame, c: str) -> DataFrame:
+        guarded = rest.where(_long_enough("__name", rules.min_length))
+        close = ids(guarded, pairs.select(F.col(c).alias("name")).distinct())
+        return stage(exact_ids.withColumn("exact", F.lit(True)).unionByName(close.withColumn("exact", F.lit(False))), "matched_ids")
+
+    links = exact.select(F.col("name").alias("a"), F.col("name").alias("b"), F.lit(0).alias("match_quality")).unionByName(
+        pairs.select("a", "b", F.col("distance").alias("match_quality")))
+    return _Cascade(stage(links, "links"), matched(exact_a, rest_a, "a"), matched(exact_b, rest_b, "b"))
+
+
+def remaining(left: Side, right: Side, rules: Rules = Rules()) -> tuple[DataFrame, DataFrame]:
+    """The rows of each side whose id has neither an exact nor a close match.  Runs jobs on ids and names;
+    no row pairs are built."""
+    known = _cascade(left, right, rules)
+    return without_ids(left, known.left), without_ids(right, known.right)
 
 
 def match_cascade(left: Side, right: Side, rules: Rules = Rules()) -> DataFrame:
     """Exact pairs, then close pairs of the rest, then the unmatched rows of each side.
 
-    ``match_quality`` is 0, the distance, or NULL.  What several branches share is written once: the ids
-    and names of the rows left over by the exact match, and the close name pairs.  Both are narrow,
-    whatever the rows are.
+    ``match_quality`` is 0, the distance, or NULL.  Ids and names decide everything beforehand and are written;
+    then each side's rows are read once for the pairs of both kinds, and once for those left over.  Runs
+    jobs.
     """
-    rest_left, rest_right = left.with_rows(unmatched(left, right)), right.with_rows(unmatched(right, left))
-    narrow_left, narrow_right = _staged_names(left, right), _staged_names(right, left)
-    pairs = stage(name_pairs(narrow_left, narrow_right, rules), "name_pairs")
-
-    def still_unmatched(side: Side, narrow: Side, c: str) -> DataFrame:
-        guarded = narrow.with_rows(narrow.rows.where(_long_enough(narrow.name, rules.min_length)))
-        return without_ids(side, _has_name_in(guarded, pairs.select(F.col(c).alias("name")).distinct()))
-
-    close = _expand(rest_left, rest_right, pairs, rules.min_length)
+    known = _cascade(left, right, rules)
     none = F.lit(None).cast("int")
+
+    def linked(side: Side, ids: DataFrame, c: str) -> tuple[DataFrame, Column]:
+        """Rows with the name to link by, and whether a close link is open to them."""
+        state = ids.select(F.col("__id").alias(f"__{c}_id"), F.col("exact").alias(f"__{c}_exact"))
+        rows = side.rows.withColumn(f"__{c}", F.lower(side.name)).join(state, F.col(side.id) == F.col(f"__{c}_id"), "left")
+        return rows, _long_enough(side.name, rules.min_length) & ~F.coalesce(f"__{c}_exact", F.lit(False))
+
+    (lhs, left_open), (rhs, right_open) = linked(left, known.left, "a"), linked(right, known.right, "b")
+    lhs, rhs = lhs.withColumn("__a_open", left_open), rhs.withColumn("__b_open", right_open)
+    is_exact = F.col("match_quality") == 0
+    pairs = lhs.join(known.links, (F.col("__a") == F.col("a")) & (is_exact | F.col("__a_open")))
+    pairs = pairs.join(rhs, (F.col("b") == F.col("__b")) & (is_exact | F.col("__b_open")))
+    pairs = pairs.drop("a", "b", *[f"__{c}{x}" for c in "ab" for x in ("", "_id", "_exact", "_open")])
+    pairs = pairs.withColumn("levenshtein_distance", F.when(~is_exact, F.col("match_quality")))
     return (
-        exact_match(left, right).withColumn("match_quality", F.lit(0))
-        .unionByName(close.withColumn("match_quality", F.col("levenshtein_distance")), allowMissingColumns=True)
-        .unionByName(still_unmatched(rest_left, narrow_left, "a").withColumn("match_quality", none), allowMissingColumns=True)
-        .unionByName(still_unmatched(rest_right, narrow_right, "b").withColumn("match_quality", none), allowMissingColumns=True)
+        pairs.unionByName(without_ids(left, known.left).withColumn("match_quality", none), allowMissingColumns=True)
+        .unionByName(without_ids(right, known.right).withColumn("match_quality", none), allowMissingColumns=True)
     )

@@ -83,3 +83,47 @@ def test_rollup_does_not_build_the_rows_of_a_repeated_code(spark):
     nodes = spark.createDataFrame([("P", "L", "GRP", "p", None)] * 500 + [(f"c{i}", "P", "GEN", "c", 1.0) for i in range(500)], "code string, sup string, level string, name string, kw double")
     total = hierarchy_rollup(nodes.where("level = 'GEN'"), nodes, TREE, ["sup"], "kw", "code", "kw", "n").collect()
     assert [(r.kw, r.n) for r in total] == [(250_000.0, 250_000)]
+
+
+def test_every_hot_key_is_split(spark, rows):
+    """Two hundred keys, all over the limit of a task: no partition gets a whole one."""
+    many = spark.range(0, 200 * 60, 1, 8).select((F.col("id") % 200).alias("k"), F.col("id").alias("a"))
+    other = spark.range(200).select(F.col("id").alias("r"), (F.col("id") * 2).alias("b"))
+    joined = salted_join(many, other, "k", "r", "full", hot_rows=10, fraction=1.0)
+    assert rows(joined) == rows(many.join(other, many["k"] == other["r"], "full"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = salted_join(many, other, "k", "r", "full", hot_rows=10, fraction=1.0)
+        where = split.select("k", F.spark_partition_id().alias("part")).groupBy("k").agg(F.countDistinct("part").alias("places"))
+        assert where.count() == 200 and where.where("places < 2").count() == 0
+    finally:
+        for name in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_null_keys_are_spread_by_their_number(spark):
+    nulls = spark.range(0, 1000, 1, 8).select(F.lit(None).cast("int").alias("k"), F.col("id").alias("a"))
+    none = spark.createDataFrame([], "r int, b int")
+    split = salted_join(nulls, none, "k", "r", "full", hot_rows=100, fraction=1.0)
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert split.count() == 1000 and "__i" in plan
+    assert "__i" not in salted_join(nulls, none, "k", "r", "full", hot_rows=1000)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("hot_rows", [2, 1000])
+def test_salted_join_with_maps_and_dotted_names(spark, hot_rows):
+    a = spark.createDataFrame([(1, {"x": 1}, [{"y": 2}]), (1, None, None), (1, {}, []), (None, {"z": 3}, None)], "k int, m map<string,int>, l array<map<string,int>>").withColumnRenamed("m", "a.m")
+    b = spark.createDataFrame([(1, 5), (2, 6), (None, 7)], "r int, v int").withColumnRenamed("v", "b.v")
+    for how, n in (("inner", 3), ("left", 4), ("full", 6)):
+        joined = salted_join(a, b, "k", "r", how, hot_rows=hot_rows, fraction=1.0)
+        assert joined.columns == ["k", "a.m", "l", "r", "b.v"] and joined.count() == n
+
+
+def test_wide_dimensions_are_not_broadcast(spark):
+    facts, dim = spark.createDataFrame([(1, 5)], "a int, k int"), spark.createDataFrame([(5, "x" * 2000)], "k int, v string")
+    for most, sent in ((100, False), (10_000, True)):
+        plan = dimension_join(facts, dim, "k", max_bytes=most)._jdf.queryExecution().optimizedPlan().toString()
+        assert ("broadcast" in plan) == sent
