@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.plans import raw
 from siltstone.plans.curated import Curated
-from siltstone.sources.files import children
+from siltstone.sources.files import has_children
 from siltstone.sources.tables import materialize
 from siltstone.streaming.ingest import LandingTable, csv_stream
 from siltstone.streaming.upsert import LatestTable
@@ -22,20 +22,21 @@ def load_erp(spark: SparkSession, landing: str, target: str, full_refresh: bool
              max_files: int | None = None) -> dict[str, DataFrame]:
     """Drain the CSV folders ``landing/<table>`` into append tables and bring the latest-record table up to date.
 
-    Folders without files yet are skipped, and a run without new files changes nothing.
+    Files have the declared columns in their order; one that has not fails the run.  Folders without files yet
+    are skipped, and a run without new files changes nothing.
     """
     tables = {}
     for landed, (name, _) in raw.ERP.items():
         folder = f"{landing}/{landed}"
-        if not children(spark, folder):
+        if not has_children(spark, folder):
             continue
         table = LandingTable(spark, f"{target}/{name}")
-        table.run(raw.raw_table("erp", landed, csv_stream(spark, folder, max_files=max_files)), full_refresh)
+        stream = csv_stream(spark, folder, raw.declared_columns("erp", landed), max_files)
+        table.run(raw.raw_table("erp", landed, stream), full_refresh)
         tables[f"erp.{name}"] = table.read()
         if name == "company_person":
-            latest = LatestTable(spark, f"{target}/company_person_last_change")
-            changes = raw.company_person_changes(table.read_stream(max_files))
-            latest.run(changes, ["_obj_id"], "_obj_version", full_refresh)
+            latest = LatestTable(spark, f"{target}/company_person_last_change", ["_obj_id"], "_obj_version")
+            latest.run(raw.company_person_changes(table.read_stream(max_files)), full_refresh)
             tables["erp.company_person_last_change"] = latest.read()
     return tables
 

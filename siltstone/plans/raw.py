@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from siltstone.operators.project import normalize_headers, project
+from siltstone.operators.project import fields, normalize_headers, project
 
 # --- ERP: CSV files, all text on arrival ---------------------------------------------------------
 
@@ -254,6 +254,12 @@ CRM = {
 SYSTEMS = {"erp": ERP, "control": CONTROL, "crm": CRM}
 
 
+def declared_columns(system: str, landed: str) -> str:
+    """The columns of a landed file in their order, all as text."""
+    _, columns = SYSTEMS[system][landed]
+    return ", ".join(f"`{f.source}` string" for f in fields(columns))
+
+
 def raw_table(system: str, landed: str, df: DataFrame) -> DataFrame:
     """The raw form of one landed table."""
     _, columns = SYSTEMS[system][landed]

@@ -37,13 +37,15 @@ class LandingTable(Generations):
 
     def run(self, stream: DataFrame, full_refresh: bool = False) -> LandingTable:
         """Read everything that is new and stop.  Without new files this writes nothing."""
-        folder = self.folder(self.next_generation(full_refresh))
+        generation = self.next_generation(full_refresh)
+        folder = self.folder(generation)
         query = (
             stream.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", f"{folder}/checkpoint")
             .trigger(availableNow=True).start(f"{folder}/data")
         )
         query.awaitTermination()
+        self.finish(generation)
         return self
 
     def _data(self) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 
@@ -10,41 +11,68 @@ from siltstone.operators.cdc import scd1_batch
 from siltstone.sources.files import children, delete, exists
 from siltstone.streaming.generations import Generations
 
+COMPACT_AFTER = 32  # batches of changes that a read folds
+
 
 class LatestTable(Generations):
     """Type 1 history: one row per key, the highest sequence wins, late lower sequences change nothing.
 
-    The streaming aggregate holds the winning row of each key in its state, which grows with the number
-    of keys and not with the number of changes (a key may change at any time, so no watermark can
-    expire it; use the RocksDB state store for large tables).  Every micro-batch writes the whole table
-    to ``<generation>/versions/<batch id>``: a replayed batch overwrites its own version, readers see a
-    version only once it is complete, and the newest two are kept.  A batch costs a write of the table,
-    so let a run take all files at once unless the changes are too many for that.
+    Every micro-batch appends the winning row of each key it has to ``<generation>/changes/<batch id>``; it
+    reads nothing of the table and keeps no state.  A replayed batch overwrites its own folder.  A read folds
+    the changes, which gives the same rows in any order and split.  After ``COMPACT_AFTER`` batches a run
+    folds them once into ``<generation>/base/<last batch id>``.  Nothing that a reader may be reading is
+    deleted; ``vacuum`` does that.
     """
 
-    def _versions(self, folder: str) -> list[int]:
-        path = f"{folder}/versions"
+    def __init__(self, spark, root: str, keys: Sequence[str], sequence: str | Column, compact_after: int = COMPACT_AFTER):
+        super().__init__(spark, root)
+        self.keys, self.sequence, self.compact_after = keys, sequence, compact_after
+
+    def _written(self, folder: str, kind: str) -> list[int]:
+        path = f"{folder}/{kind}"
         done = (n for n in children(self.spark, path) if n.isdigit() and exists(self.spark, f"{path}/{n}/_SUCCESS"))
         return sorted(int(n) for n in done)
 
-    def run(self, changes: DataFrame, keys: Sequence[str], sequence: str | Column,
-            full_refresh: bool = False) -> LatestTable:
+    def _parts(self, folder: str) -> tuple[list[int], list[int]]:
+        """The newest base, if any, and the batches after it."""
+        base = self._written(folder, "base")[-1:]
+        return base, [n for n in self._written(folder, "changes") if not base or n > base[0]]
+
+    def run(self, changes: DataFrame, full_refresh: bool = False) -> LatestTable:
         """Apply everything that is new in the stream and stop."""
-        folder = self.folder(self.next_generation(full_refresh))
+        generation = self.next_generation(full_refresh)
+        folder = self.folder(generation)
 
-        def write_version(table: DataFrame, batch_id: int) -> None:
-            table.write.mode("overwrite").parquet(f"{folder}/versions/{batch_id}")
-            for old in self._versions(folder)[:-2]:
-                delete(self.spark, f"{folder}/versions/{old}")
+        def append(batch: DataFrame, batch_id: int) -> None:
+            winners = scd1_batch(batch, self.keys, self.sequence)
+            winners.write.mode("overwrite").parquet(f"{folder}/changes/{batch_id}")
 
         query = (
-            scd1_batch(changes, keys, sequence).writeStream.outputMode("complete")
-            .option("checkpointLocation", f"{folder}/checkpoint")
-            .foreachBatch(write_version).trigger(availableNow=True).start()
+            changes.writeStream.option("checkpointLocation", f"{folder}/checkpoint")
+            .foreachBatch(append).trigger(availableNow=True).start()
         )
         query.awaitTermination()
+        _, new = self._parts(folder)
+        if len(new) > self.compact_after:
+            self._fold(folder).write.mode("overwrite").parquet(f"{folder}/base/{new[-1]}")
+        self.finish(generation)
         return self
 
+    def _fold(self, folder: str) -> DataFrame:
+        base, new = self._parts(folder)
+        paths = [f"{folder}/base/{n}" for n in base] + [f"{folder}/changes/{n}" for n in new]
+        rows = reduce(DataFrame.unionByName, [self.spark.read.parquet(p) for p in paths])
+        return scd1_batch(rows, self.keys, self.sequence)
+
     def read(self) -> DataFrame:
-        folder = self.newest(self._versions)
-        return self.spark.read.parquet(f"{folder}/versions/{self._versions(folder)[-1]}")
+        return self._fold(self.newest(lambda folder: any(self._parts(folder))))
+
+    def vacuum(self) -> None:
+        """Delete what the newest base has taken in.  Readers that began before it lose their files."""
+        for generation in self._known():
+            folder = self.folder(generation)
+            base, _ = self._parts(folder)
+            for kind in ("base", "changes"):
+                for n in self._written(folder, kind):
+                    if base and n < base[0] + (kind == "changes"):
+                        delete(self.spark, f"{folder}/{kind}/{n}")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.operators.cdc import scd1_batch
-from siltstone.operators.project import project
+from siltstone.operators.project import fields, project
 from siltstone.plans import raw
 from siltstone.plans.pipeline import load_erp
 from siltstone.sources.tables import materialize, relational_reader
@@ -26,17 +26,59 @@ def test_batch_rules(spark, rows):
 
 @pytest.mark.parametrize("order", list(itertools.permutations(range(3)))[:4])
 def test_stream_equals_batch_for_any_file_order_and_split(spark, rows, order):
-    drop, latest = scratch_path(spark, "changes"), LatestTable(spark, scratch_path(spark, "latest"))
+    drop, latest = scratch_path(spark, "changes"), LatestTable(spark, scratch_path(spark, "latest"), ["k"], "seq", compact_after=1)
     parts = [CHANGES[0:3], CHANGES[3:6], CHANGES[6:]]
     for i in order:
         spark.createDataFrame(parts[i], SCHEMA).coalesce(1).write.mode("append").parquet(drop)
         stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(drop)
-        latest.run(stream, ["k"], "seq")
+        latest.run(stream)
     want = rows(scd1_batch(spark.createDataFrame(CHANGES, SCHEMA), ["k"], "seq"))
     assert rows(latest.read()) == want
-    latest.run(spark.readStream.schema(SCHEMA).parquet(drop), ["k"], "seq")
+    latest.run(spark.readStream.schema(SCHEMA).parquet(drop))
     assert rows(latest.read()) == want
-    assert rows(latest.run(spark.readStream.schema(SCHEMA).parquet(drop), ["k"], "seq", full_refresh=True).read()) == want
+    assert rows(latest.run(spark.readStream.schema(SCHEMA).parquet(drop), full_refresh=True).read()) == want
+    latest.vacuum()
+    assert rows(latest.read()) == want
+
+
+def test_few_changes_write_few_rows(spark, rows):
+    drop, root = scratch_path(spark, "changes"), scratch_path(spark, "latest")
+    latest = LatestTable(spark, root, ["k"], "seq")
+    stream = lambda: spark.readStream.schema("k long, seq long, v string").parquet(drop)
+    spark.range(5000).selectExpr("id AS k", "1L AS seq", "'old' AS v").write.mode("append").parquet(drop)
+    latest.run(stream())
+    spark.range(3).selectExpr("id AS k", "2L AS seq", "'new' AS v").write.mode("append").parquet(drop)
+    latest.run(stream())
+    assert spark.read.parquet(f"{root}/000001/changes/1").count() == 3
+    assert latest.read().count() == 5000 and latest.read().where("v = 'new'").count() == 3
+    plan = latest.read()._jdf.queryExecution().toString()
+    assert "StateStore" not in plan
+
+
+def _failing(stream, poison):
+    """The stream, with an error in the task that meets the value."""
+    return stream.withColumn("v", F.when(F.col("v") == poison, F.raise_error(F.lit("stop")).cast("string")).otherwise(F.col("v")))
+
+
+@pytest.mark.parametrize("kind", ["append", "latest"])
+@pytest.mark.parametrize("poison", ["a", "b"])
+def test_failed_refresh_leaves_the_old_rows(spark, rows, kind, poison):
+    """A refresh that fails in its first or in a later batch is not seen; the next run ends it."""
+    drop, root = scratch_path(spark, "files"), scratch_path(spark, "table")
+    table = LandingTable(spark, root) if kind == "append" else LatestTable(spark, root, ["k"], "seq")
+    stream = lambda: spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(drop)
+    for row in (("k1", "1", "a"), ("k2", "1", "b")):
+        spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(drop)
+        table.run(stream())
+    want = rows(table.read())
+    assert len(want) == 2
+    with pytest.raises(Exception, match="stop"):
+        table.run(_failing(stream(), poison), full_refresh=True)
+    assert rows(table.read()) == want
+    spark.createDataFrame([("k3", "1", "c")], SCHEMA).coalesce(1).write.mode("append").parquet(drop)
+    table.run(stream())
+    assert rows(table.read()) == sorted([*want, ("k3", "1", "c")], key=repr)
+    assert table.newest(lambda folder: True).endswith("000002")
 
 
 def _csv(spark, rows_, columns, path):
@@ -102,6 +144,26 @@ def test_relational_split_needs_all_bounds(spark):
     relational_reader(spark, "jdbc:x", "t", {"user": "u"}, "id", 0, 100, 8)
 
 
+def test_erp_load_lists_no_files(spark, monkeypatch):
+    """The driver asks whether a folder has files, not which."""
+    from siltstone.sources import files
+
+    landing, target = scratch_path(spark, "erp-landing"), scratch_path(spark, "erp-raw")
+    _csv(spark, [("n", "1", "c", None, "o", "v")], [f.source for f in fields(raw.ERP_CUSTOMER_INFO)], f"{landing}/customer_info")
+    listed, plain = [], files.children
+    for module in ("siltstone.sources.files", "siltstone.streaming.generations", "siltstone.streaming.upsert"):
+        monkeypatch.setattr(f"{module}.children", lambda s, path: listed.append(path) or plain(s, path))
+    assert load_erp(spark, landing, target)["erp.customer_info"].count() == 1
+    assert not [path for path in listed if path.startswith(landing)]
+
+
+def test_erp_files_must_have_the_declared_columns(spark):
+    landing = scratch_path(spark, "erp-landing")
+    _csv(spark, [("1", "n")], ["CUSTOMER_ID", "Name"], f"{landing}/customer_info")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        load_erp(spark, landing, scratch_path(spark, "erp-raw"))
+
+
 def test_erp_load_runs_again_without_change(spark, rows):
     landing, target = scratch_path(spark, "erp-landing"), scratch_path(spark, "erp-raw")
     columns = ["EMP_NO", "PERSON_ID", "Internal_Display_Name", "ORG_CODE", "EMPLOYEE_STATUS", "OBJID", "OBJVERSION"]
