@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 COLUMNS = ("address_line_1", "address_line_2", "city", "state", "postal_code", "mapped_address")
 
-# Postal abbreviations, each followed by the spellings it replaces.
+# Postal abbreviations (states with territories and military codes), each followed by the spellings it replaces.
 STREET_WORDS = """
 ALY ALLEY
 AVE AVENUE AV
@@ -131,10 +131,20 @@ WA WASHINGTON
 WV WEST VIRGINIA
 WI WISCONSIN
 WY WYOMING
+AS AMERICAN SAMOA
+GU GUAM
+MP NORTHERN MARIANA ISLANDS
+PR PUERTO RICO
+VI VIRGIN ISLANDS
+AA ARMED FORCES AMERICAS
+AE ARMED FORCES EUROPE
+AP ARMED FORCES PACIFIC
 """
 COUNTRIES = ("US", "USA", "UNITED STATES", "UNITED STATES OF AMERICA")
 ZIP = "(?:^| )([0-9]{5})(?:-?[0-9]{4})?$"
-STREET_START = "^([0-9]+[A-Z]?(-[0-9]+)?|PO BOX) +[^ ]"
+# house number, post-office box, or military box; then something
+STREET_START = "^([0-9]+[A-Z]?(-[0-9]+)?|PO BOX|(PSC|CMR|UNIT) [0-9]+ BOX) +[^ ]"
+POST_BOX = "(^|[ ,])(P ?O|POST OFFICE) BOX "
 
 
 def abbreviations(table: str) -> dict[str, str]:
@@ -148,8 +158,11 @@ def state_codes() -> dict[str, str]:
     return {key: code for code, name in pairs for key in (code, name)}
 
 
-UNIT_START = "^(" + "|".join(w for line in UNIT_WORDS.strip().splitlines() for w in line.split()) + ") "
-UNIT_SPLIT = f"^(.*?[^ ]) ({UNIT_START[2:-2]}) (.+)$"
+_UNITS = "|".join(w for line in UNIT_WORDS.strip().splitlines() for w in line.split())
+UNIT_START = f"^({_UNITS}) "
+# a unit word right after the house number is the name of the street
+UNIT_SPLIT = f"^([^ ]+ .*?[^ ]|[^ ]+ [^ ]) ({_UNITS}) (.+)$"
+UNIT_NUMBER = f"(^|[ ,])({_UNITS}) ?# ?"
 
 
 def _lookup(table: dict[str, str]) -> Column:
@@ -168,8 +181,10 @@ def standardize(df: DataFrame, address: str) -> DataFrame:
     rest = F.slice(c("__parts"), F.lit(1), F.greatest(F.size("__parts") - 1, F.lit(0)))
 
     text = F.upper(F.trim(F.regexp_replace(F.regexp_replace(address, "[.]", ""), "[ \t\r\n]+", " ")))
+    text = F.regexp_replace(text, UNIT_NUMBER, "$1$2 ")
     text = F.regexp_replace(text, "# ?", "UNIT ")
     text = F.regexp_replace(text, "UNIT UNIT ", "UNIT ")
+    text = F.regexp_replace(text, POST_BOX, "$1PO BOX ")
     parts = F.filter(F.transform(F.split(text, ","), lambda p: F.trim(p)), lambda p: p != "")
     step = df.select(*keep, parts.alias("__parts"))
     step = step.select(*keep, F.when(last.isin(*COUNTRIES), rest).otherwise(c("__parts")).alias("__parts"))

@@ -42,8 +42,8 @@ def parse_bool(c: str | Column, strict: bool = True) -> Column:
 
 
 def bool_text(c: str | Column) -> Column:
-    """``'True'`` for a true boolean, ``'False'`` for false and for NULL."""
-    return F.when(_col(c), "True").otherwise("False")
+    """``'True'`` for a true boolean or the number 1, ``'False'`` for anything else and for NULL."""
+    return F.when(_col(c).cast("double") == 1, "True").otherwise("False")
 
 
 def map_fields(c: str | Column, fields: Sequence[str]) -> list[Column]:

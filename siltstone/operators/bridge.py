@@ -37,13 +37,14 @@ def with_standard_address(df: DataFrame, address: str, bridge: DataFrame | None
 
 
 def address_bridge(left: DataFrame, right: DataFrame, address: str, bridge: DataFrame | None = None,
-                   match_blank: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+                   match_blank: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Full outer join of two sources on the standard form of their addresses.
 
-    The join key comes out as ``mapped_address``, taken from whichever side has it.  Blank addresses are
-    equal to each other and match; ``match_blank=False`` leaves such rows unmatched.  Both sides are
-    written once with their keys: the join looks at them more than once, and the long expression chain
-    behind a key is dear to plan under a join.
+    The join key comes out as ``mapped_address``, taken from whichever side has it.  Blank addresses match
+    nothing and stay as unmatched rows of their side.  ``match_blank=True`` takes them for equal, which gives
+    every blank row of one side with every one of the other.  Runs jobs: both sides are written once with
+    their keys, since the join looks at them more than once, and the long expression chain behind a key is
+    dear to plan under a join.
     """
     lhs = stage(with_standard_address(left, address, bridge), "addressed")
     rhs = stage(with_standard_address(right, address, bridge), "addressed")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from siltstone.functions.columns import hashed_id, joined_text, sentinel_to_null, surrogate_key, survivorship
 from siltstone.operators.bridge import address_bridge, address_table
 from siltstone.operators.hierarchy import Hierarchy, hierarchy_rollup, resolved_owner
-from siltstone.operators.joins import HOT_ROWS, dimension_join
+from siltstone.operators.joins import HOT_ROWS, dimension_join, salted_join
 from siltstone.operators.project import project, to_contract
 from siltstone.plans import contracts
 
@@ -23,6 +23,8 @@ PS_SITES, OPCO_SITES, PRE_IFS_SITES = "PS_Sites", "OPCO_Sites", "Pre_IFS_Sites"
 
 EQUIPMENT_TREE = Hierarchy("mch_code", "sup_mch_code", "obj_level", "mch_name", LOCATION_LEVEL)
 
+# Source columns and their names here.
+
 # child column -> equipment column; also the grouping of the roll-up
 GENERATOR_COLUMNS = """
 mch_code -> ifs_object_id
@@ -166,12 +168,13 @@ def _site_tag() -> Column:
     )
 
 
-def erp_sites(equipment_functional_cfv: DataFrame, locations: DataFrame) -> DataFrame:
+def erp_sites(equipment_functional_cfv: DataFrame, locations: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Sites of the three kinds with their addresses.
 
-    The kinds exclude each other by division and class, so one tagged pass with one join serves all.
-    Project sites take any address of their location; the others only its primary physical one.  Sites
-    of the third kind are kept without an address.
+    The kinds exclude each other by division and class, so one pass tags them.  Project sites take any address
+    of their location, in an inner join, whose hot partitions are split on either side.  The others take only
+    its primary physical one, and those of the third kind are kept without an address; a location with very
+    many addresses is split by the salted join.  Runs jobs that read the location ids.
     """
     sites = equipment_functional_cfv.where(F.col("obj_level") == LOCATION_LEVEL)
     sites = sites.withColumn("identifier", _site_tag()).where("identifier IS NOT NULL")
@@ -179,17 +182,20 @@ def erp_sites(equipment_functional_cfv: DataFrame, locations: DataFrame) -> Data
         F.col("location_id").alias("__location"), "address1", "city", "state", "zip_code", "country_code", "clean_address",
         ((F.col("location_specific_address") == "TRUE") & (F.col("primary_address") == "TRUE")).alias("__primary"),
     )
-    on = (sites["location_id"] == addresses["__location"]) & (F.col("__primary") | (F.col("identifier") == OPCO_SITES))
-    joined = sites.join(addresses, on, "left")
-    return project(
-        joined.where(F.col("__location").isNotNull() | (F.col("identifier") == PRE_IFS_SITES)), SITE_COLUMNS
-    )
+    project_sites = sites.where(F.col("identifier") == OPCO_SITES)
+    located = project_sites.join(addresses, project_sites["location_id"] == addresses["__location"])
+    primary = salted_join(
+        sites.where(F.col("identifier") != OPCO_SITES), addresses.where("__primary"), "location_id", "__location", "left", hot_rows)
+    primary = primary.where(F.col("__location").isNotNull() | (F.col("identifier") == PRE_IFS_SITES))
+    return project(located.unionByName(primary), SITE_COLUMNS)
 
 
 def site(erp: DataFrame, control: DataFrame, bridge: DataFrame | None = None, keep_unlocated: bool = False,
-         match_blank: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+         match_blank: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """ERP and control-system sites matched on their standard addresses, ERP values first.
 
+    Sites with a blank address match none, unless ``match_blank``; see ``address_bridge``.
+
     A site without an address record has no key to match on and is left out, unless ``keep_unlocated``.
     ``bridge`` is a stored ``location`` table; without it the standard form is computed in place.
     """

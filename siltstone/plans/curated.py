@@ -7,8 +7,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
-from siltstone.operators.match import exact_match, fuzzy_match, unmatched, without_ids
+from siltstone.operators.match import exact_match, fuzzy_match, unmatched
 from siltstone.plans import commercial, party
+from siltstone.sources.stage import staging
 from siltstone.sources.tables import materialize
 
 
@@ -36,8 +37,17 @@ class Curated:
         self.raw = raw
 
     def store(self, name: str, target: str, catalog_name: str | None = None) -> DataFrame:
-        """Write one dataset; datasets built later read the stored form."""
-        stored = materialize(getattr(self, name), target, catalog_name, "curated", self.TABLES.get(name))
+        """Write one dataset; datasets built later read the stored form.
+
+        What was staged for it is deleted, and what it was built from is built again if asked for.
+        """
+        before = set(self.__dict__)
+        with staging() as drop:
+            built = getattr(self, name)
+            stored = materialize(built, target, catalog_name, "curated", self.TABLES.get(name))
+            drop(built.sparkSession)
+        for other in set(self.__dict__) - before:
+            del self.__dict__[other]
         self.__dict__[name] = stored
         return stored
 
@@ -80,15 +90,17 @@ class Curated:
     def close_matches(self) -> DataFrame:
         return fuzzy_match(*party.account_sides(self.unmatched_accounts, self.unmatched_control_customers))
 
+    @cached_property
+    def _remaining(self) -> tuple[DataFrame, DataFrame]:
+        return party.remaining_accounts(self.top_accounts, self.control_customers)
+
     @cached_property
     def remaining_accounts(self) -> DataFrame:
-        side, _ = party.account_sides(self.unmatched_accounts, self.unmatched_control_customers)
-        return without_ids(side, self.close_matches.select(F.col(side.id).alias("__id")).distinct())
+        return self._remaining[0]
 
     @cached_property
     def remaining_control_customers(self) -> DataFrame:
-        _, side = party.account_sides(self.unmatched_accounts, self.unmatched_control_customers)
-        return without_ids(side, self.close_matches.select(F.col(side.id).alias("__id")).distinct())
+        return self._remaining[1]
 
     @cached_property
     def matched_accounts(self) -> DataFrame:

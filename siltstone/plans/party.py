@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from siltstone.functions.columns import hashed_id, surrogate_key
 from siltstone.operators.joins import HOT_ROWS, parent_lookup, salted_join
-from siltstone.operators.match import Side, match_cascade
+from siltstone.operators.match import Side, match_cascade, remaining
 from siltstone.operators.project import project, to_contract
 from siltstone.plans import contracts
 from siltstone.sources.stage import stage
 
+# Source columns and their names here.
 USERS = """
 user_id__c -> user_id
 employee_number -> emp_no
@@ -89,6 +90,11 @@ def matched_accounts(top: DataFrame, control: DataFrame) -> DataFrame:
     return match_cascade(*account_sides(top, control))
 
 
+def remaining_accounts(top: DataFrame, control: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Top-level accounts and control-system customers without a match."""
+    return remaining(*account_sides(top, control))
+
+
 def _erp_only(crm_key: str, erp_key: str) -> Column:
     return F.col(crm_key).isNull() & F.col(erp_key).isNotNull()
 
@@ -105,7 +111,7 @@ def account(matched: DataFrame, erp: DataFrame, hot_rows: int = HOT_ROWS) -> Dat
         "person_id", "segment", "subsegment", "southern_opco", "created_date", "last_modified_date", "match_quality",
     )
     joined = salted_join(
-        stage(kept, "matched_accounts"), erp.drop("ifs_created_date"),
+        stage(kept, "matched_accounts"), stage(erp.drop("ifs_created_date"), "erp_customers"),
         "ifs_customer_no", "ifs_customer_id", "full", hot_rows,
     )
     joined = joined.where(~(_erp_only("ifs_customer_no", "ifs_customer_id") & (F.col("category") == "Prospect")))
@@ -132,15 +138,19 @@ def customer(children: DataFrame, erp: DataFrame, hot_rows: int = HOT_ROWS) -> D
     ERP rows without an account are dropped when their category is Customer or NULL (as in ``account``).
     """
     crm = children.withColumnsRenamed({"sf_account_name": "sf_customer_name", "created_date": "sf_created_date"})
-    joined = salted_join(erp, crm, "ifs_customer_id", "ifs_customer_no", "full", hot_rows)
+    joined = salted_join(stage(erp, "erp_customers"), stage(crm, "child_accounts"), "ifs_customer_id", "ifs_customer_no", "full", hot_rows)
     joined = joined.where(~(F.col("sf_account_id").isNull() & (F.col("category") == "Customer")))
     keyed = joined.withColumn("dw_customer_id", surrogate_key("sf_account_id", "ifs_obj_id"))
     return to_contract(keyed.drop("ifs_customer_id"), contracts.CUSTOMER)
 
 
-def employee(users: DataFrame, company_person: DataFrame) -> DataFrame:
-    """CRM users with the person id of their manager and the ERP's current person record."""
+def employee(users: DataFrame, company_person: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """CRM users with the person id of their manager and the ERP's current person record.
+
+    A person id with very many records is split.  Runs jobs: both sides are written once.
+    """
     people = users.drop("full_name")
     managed = parent_lookup(people, "manager_id", "user_id", {"person_id": "manager_person_id"})
-    joined = managed.join(company_person.drop("_obj_id", "_obj_version"), "person_id", "left").drop("user_id")
+    records = company_person.drop("_obj_id", "_obj_version").withColumnRenamed("person_id", "__person")
+    joined = salted_join(stage(managed, "managed"), stage(records, "persons"), "person_id", "__person", "left", hot_rows).drop("user_id", "__person")
     return to_contract(joined.withColumn("dw_employee_id", hashed_id("emp_no")), contracts.EMPLOYEE)

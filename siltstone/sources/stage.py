@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,9 +28,27 @@ def _application_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/siltstone/{spark.sparkContext.applicationId}"
 
 
+#: Paths given out while a ``staging`` block is open, innermost last.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def staging() -> Iterator[Callable[[SparkSession], None]]:
+    """Inside the block, remember what is staged; the function it gives deletes that."""
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield lambda spark: [delete(spark, path) for path in paths] and None
+    finally:
+        _OPEN.remove(paths)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path not used before in the shared folder."""
-    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    for paths in _OPEN:
+        paths.append(path)
+    return path
 
 
 def drop_staged(spark: SparkSession) -> None:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltstone.sources.files import delete, rename
+
 
 def read_table(spark: SparkSession, name: str, fmt: str = "parquet") -> DataFrame:
     """A catalog table, or files where the name is a path."""
@@ -37,6 +40,8 @@ def materialize(df: DataFrame, target: str, name: str | None = None, quality: st
                 cluster_by: tuple[str, ...] = ()) -> DataFrame:
     """Write the frame to ``target`` and read it back.
 
+    The rows are written beside the target first and take its place when all of them are there, so a failed
+    write leaves the old table.
     With ``name`` it is also registered in the catalog, with ``quality`` and ``description`` as table
     properties.  ``cluster_by`` sorts within files, which is what order a stored table can keep.
     Column comments travel in the file schema.
@@ -44,13 +49,17 @@ def materialize(df: DataFrame, target: str, name: str | None = None, quality: st
     spark = df.sparkSession
     if cluster_by:
         df = df.sortWithinPartitions(*cluster_by)
-    writer = df.write.mode("overwrite").format("parquet")
+    beside = f"{target.rstrip('/')}__{uuid.uuid4().hex}"
+    writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    writer.save(beside)
+    delete(spark, target)
+    rename(spark, beside, target)
     if name is None:
-        writer.save(target)
         return spark.read.schema(df.schema).parquet(target)
-    writer.option("path", target).saveAsTable(name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, target, "parquet")  # columns and partitions as written
     given = {"quality": quality, "description": description}
     properties = ", ".join(
         "'{}' = '{}'".format(k, v.replace("\\", "\\\\").replace("'", "\\'")) for k, v in given.items() if v is not None

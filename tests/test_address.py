@@ -32,6 +32,30 @@ def test_parts_that_may_be_missing(spark):
     ]
 
 
+def test_units_boxes_territories_and_military(spark):
+    """Expected parts written by hand."""
+    cases = {
+        "12 Main St Suite #4, Reno, NV, 89501": ("12 MAIN ST", "STE 4", "RENO", "NV", "89501"),
+        "12 Main St Ste 4, Reno, NV, 89501": ("12 MAIN ST", "STE 4", "RENO", "NV", "89501"),
+        "12 Main St Apt. # 2, Reno, NV, 89501": ("12 MAIN ST", "APT 2", "RENO", "NV", "89501"),
+        "12 Main St, Apartment #2, Reno, Nevada 89501": ("12 MAIN ST", "APT 2", "RENO", "NV", "89501"),
+        "1 Calle Sol, San Juan, PR 00901": ("1 CALLE SOL", None, "SAN JUAN", "PR", "00901"),
+        "1 Calle Sol, San Juan, Puerto Rico, 00901-1234, USA": ("1 CALLE SOL", None, "SAN JUAN", "PR", "00901"),
+        "5 Marine Drive, Tamuning, Guam 96913": ("5 MARINE DR", None, "TAMUNING", "GU", "96913"),
+        "P O Box 7, Reno, NV, 89501": ("PO BOX 7", None, "RENO", "NV", "89501"),
+        "P.O. Box 7, Reno, NV, 89501": ("PO BOX 7", None, "RENO", "NV", "89501"),
+        "Post Office Box 7, Reno, NV, 89501": ("PO BOX 7", None, "RENO", "NV", "89501"),
+        "PSC 802 Box 74, APO, AE 09499": ("PSC 802 BOX 74", None, "APO", "AE", "09499"),
+        "Unit 2050 Box 4190, APO AP 96278": ("UNIT 2050 BOX 4190", None, "APO", "AP", "96278"),
+        "CMR 480 Box 100, FPO, AA, 34099": ("CMR 480 BOX 100", None, "FPO", "AA", "34099"),
+        "5 Building Street, Dayton, OH, 45401": ("5 BUILDING ST", None, "DAYTON", "OH", "45401"),
+        "5 Building St Bldg 3, Dayton, OH, 45401": ("5 BUILDING ST", "BLDG 3", "DAYTON", "OH", "45401"),
+    }
+    got = mapped(spark, list(cases))
+    assert {text: g[:5] for text, g in zip(cases, got, strict=True)} == cases
+    assert [g[:6] for g in mapped(spark, [g[5] for g in got])] == got
+
+
 @pytest.mark.parametrize("text", ["", "Highway junction, TX, 75001", "1 Rue de la Paix, Paris", "12345", "US", ", ,", "10 Main St, K1A 0B1, CA"])
 def test_what_is_no_address_stays_as_it_is(spark, text):
     assert mapped(spark, [text]) == [(text, None, None, None, None, text)]
@@ -57,6 +81,6 @@ def test_bridge_forms_agree(spark, rows):
     table = address_table("addr", left, right)
     for bridge in (None, table):
         for hot_rows in (1, 1000):
-            assert rows(address_bridge(left, right, "addr", bridge, hot_rows=hot_rows).select("mapped_address", "a", "b")) == want
-    unblanked = rows(address_bridge(left, right, "addr", match_blank=False).select("mapped_address", "a", "b"))
+            assert rows(address_bridge(left, right, "addr", bridge, True, hot_rows).select("mapped_address", "a", "b")) == want
+    unblanked = rows(address_bridge(left, right, "addr").select("mapped_address", "a", "b"))
     assert [r for r in unblanked if r[0] == ""] == [("", 2, None), ("", None, 12)]

@@ -35,7 +35,7 @@ LANDING = {
             CASE WHEN c_custkey % 4 = 3 THEN concat('A', c_nationkey) END AS ParentId,
             concat('U', c_custkey % 120) AS OwnerId, c_mktsegment AS Segment__c,
             CASE WHEN c_custkey % 2 = 0 THEN concat('sub ', c_mktsegment) END AS Subsegment__c,
-            c_acctbal < 0 AS SoCo_Opco__c, concat(c_custkey % 40 + 1, ' Main Street') AS ShippingStreet,
+            c_acctbal < 0 AS SoCo_Opco__c, concat(c_custkey + 1, ' Main Street') AS ShippingStreet,
             """ + _by_nation(CITY, "c_nationkey") + """ AS ShippingCity,
             """ + _by_nation(STATE, "c_nationkey") + """ AS ShippingStateCode,
             concat('1', lpad(CAST(c_nationkey AS STRING), 4, '0')) AS ShippingPostalCode,
@@ -81,22 +81,23 @@ LANDING = {
         FROM {supplier}""",
     "control_states": """
         SELECT n_nationkey AS stateid, """ + _by_nation(STATE, "n_nationkey") + """ AS stateabbreviation FROM {nation}""",
+    # three of four sites stand where a customer does, in another spelling
     "control_sites": """
         SELECT CAST(s_suppkey AS INT) AS SiteId, concat('Plant ', s_suppkey) AS SiteName,
-            CASE WHEN s_suppkey % 20 > 0 THEN concat(s_suppkey % 40 + 1, ' ',
-                CASE s_suppkey % 3 WHEN 0 THEN 'building' WHEN 1 THEN 'MACHINERY' ELSE 'Furniture' END,
-                CASE s_suppkey % 4 WHEN 0 THEN ' St' WHEN 1 THEN ' Street,' ELSE ' STREET' END,
-                CASE WHEN s_suppkey % 6 = 0 THEN ' Ste 4' ELSE '' END) END AS SiteAddress1,
-            CASE WHEN s_suppkey % 20 > 0 THEN """ + _by_nation(CITY, "s_nationkey") + """ END AS SiteCity,
-            CASE WHEN s_suppkey % 20 > 0 THEN concat('1', lpad(CAST(s_nationkey AS STRING), 4, '0')) END AS SiteZip,
-            CASE WHEN s_suppkey % 20 > 0 THEN s_nationkey END AS SiteStateId,
+            CASE WHEN s_suppkey % 20 > 0 THEN concat(coalesce(c_custkey, s_suppkey) + 1, ' ',
+                CASE WHEN c_custkey IS NULL THEN 'Works' WHEN s_suppkey % 2 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END,
+                CASE s_suppkey % 3 WHEN 0 THEN ' St' WHEN 1 THEN ' Street,' ELSE ' STREET' END,
+                CASE WHEN c_custkey % 6 = 0 THEN ' Ste #4' WHEN c_custkey % 6 = 1 THEN ' unit 9' ELSE '' END) END AS SiteAddress1,
+            CASE WHEN s_suppkey % 20 > 0 THEN """ + _by_nation(CITY, "coalesce(c_nationkey, s_nationkey)") + """ END AS SiteCity,
+            CASE WHEN s_suppkey % 20 > 0 THEN concat('1', lpad(CAST(coalesce(c_nationkey, s_nationkey) AS STRING), 4, '0')) END AS SiteZip,
+            CASE WHEN s_suppkey % 20 > 0 THEN coalesce(c_nationkey, s_nationkey) END AS SiteStateId,
             s_suppkey % 2 = 0 AS MobileSite, s_suppkey % 3 = 0 AS AssetOwned, s_suppkey % 5 = 0 AS SiteContract,
             s_suppkey % 7 = 0 AS SiteLive, s_suppkey % 11 = 0 AS ControlsDisabled, s_suppkey % 13 = 0 AS DisabledSite,
             CAST('2024-01-02 03:04:05' AS TIMESTAMP) AS SiteLiveDate, CAST(NULL AS TIMESTAMP) AS ControlsDisabledDate,
             CAST('2024-02-03 04:05:06' AS TIMESTAMP) AS DisabledDate, concat('PR', s_suppkey) AS ProjectCode,
             CASE WHEN s_suppkey % 2 = 1 THEN concat('IP', s_suppkey) END AS IfsProjectCode,
             CAST(s_suppkey AS INT) AS CustomerId, s_suppkey % 17 = 0 AS FuelMgmt
-        FROM {supplier}""",
+        FROM {supplier} LEFT JOIN {customer} ON c_custkey = s_suppkey * 2 AND s_suppkey % 4 > 0""",
     "control_generators": """
         SELECT CAST(p_partkey AS INT) AS GeneratorId, CAST(p_partkey * 2 AS INT) AS EquipmentId, p_size AS UnitId,
             CAST(p_partkey % 8 AS INT) AS GeneratorNumber, CAST(p_partkey % 25 AS INT) AS GeneratorManufacturerId,
@@ -151,7 +152,7 @@ LANDING = {
         FROM {customer}""",
     "erp_location_party_address_pub": """
         SELECT concat('LOC', c_custkey) AS location_id, concat('Desc ', c_custkey) AS description, concat('ID', c_custkey) AS identity,
-            CASE WHEN c_custkey % 20 > 0 THEN concat(c_custkey % 40 + 1, ' ', c_mktsegment,
+            CASE WHEN c_custkey % 20 > 0 THEN concat(c_custkey + 1, ' ', c_mktsegment,
                 CASE c_custkey % 3 WHEN 0 THEN ' Street' WHEN 1 THEN ' st.' ELSE ' ST ' END,
                 CASE WHEN c_custkey % 6 = 0 THEN ' Suite 4' WHEN c_custkey % 6 = 1 THEN ' # 9' ELSE '' END) END AS address1,
             CASE WHEN c_custkey % 20 > 0 THEN """ + _by_nation(CITY, "c_nationkey") + """ END AS city,

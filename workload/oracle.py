@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from siltstone.functions.address import COUNTRIES, STATES, STREET_START, STREET_WORDS, UNIT_SPLIT, UNIT_START, UNIT_WORDS, ZIP
-from siltstone.functions.address import abbreviations, state_codes
 from workload.landing import duckdb_cte
 
 SIDES = """
@@ -23,49 +21,41 @@ def sides(select: str) -> str:
     return f"WITH {SIDES} {select}"
 
 
-def _map(table: dict[str, str]) -> str:
-    return "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in table.items()) + "}"
-
-
-def _words(text: str, table: dict[str, str]) -> str:
-    return f"array_to_string(list_transform(string_split({text}, ' '), lambda w: coalesce({_map(table)}[w], w)), ' ')"
-
-
-def standardized(source: str, column: str = "clean_address") -> str:
-    """CTEs ending in ``std``: the rows of ``source`` with the standard address columns."""
-    countries = ", ".join(f"'{c}'" for c in COUNTRIES)
-    movable = f"(len(p) > 1 AND NOT regexp_matches(p[-1], '{UNIT_START}'))"
-    return f"""
-    s0 AS (SELECT *, upper(trim(regexp_replace(regexp_replace({column}, '[.]', '', 'g'), '[ \t\r\n]+', ' ', 'g'))) AS t FROM {source}),
-    s1 AS (SELECT * EXCLUDE (t), regexp_replace(regexp_replace(t, '# ?', 'UNIT ', 'g'), 'UNIT UNIT ', 'UNIT ', 'g') AS t FROM s0),
-    s2 AS (SELECT * EXCLUDE (t), list_filter(list_transform(string_split(t, ','), lambda x: trim(x)), lambda x: x <> '') AS p FROM s1),
-    s3 AS (SELECT * EXCLUDE (p), CASE WHEN p[-1] IN ({countries}) THEN p[:-2] ELSE p END AS p FROM s2),
-    s4 AS (SELECT *, coalesce(regexp_extract(p[-1], '{ZIP}', 1), '') AS z, trim(regexp_replace(p[-1], '{ZIP}', '')) AS lo FROM s3),
-    s5 AS (SELECT * EXCLUDE (p, lo), CASE WHEN z = '' THEN p WHEN lo = '' THEN p[:-2] ELSE list_append(p[:-2], lo) END AS p FROM s4),
-    s6 AS (SELECT *, CASE WHEN {movable} THEN {_map(state_codes())}[p[-1]] END AS whole,
-        CASE WHEN {movable} THEN {_map(state_codes())}[regexp_extract(p[-1], '^(.+) ([A-Z]{{2}})$', 2)] END AS tail FROM s5),
-    s7 AS (SELECT * EXCLUDE (p, whole, tail), coalesce(whole, tail) AS st,
-        CASE WHEN whole IS NOT NULL THEN p[:-2] WHEN tail IS NOT NULL THEN list_append(p[:-2], regexp_replace(p[-1], ' [A-Z]{{2}}$', '')) ELSE p END AS p FROM s6),
-    s8 AS (SELECT * EXCLUDE (p), CASE WHEN {movable} THEN p[-1] END AS town,
-        array_to_string(CASE WHEN {movable} THEN p[:-2] ELSE p END, ' ') AS street_text FROM s7),
-    s9 AS (SELECT *, regexp_matches(street_text, '{UNIT_SPLIT}') AS has_unit FROM s8),
-    s10 AS (SELECT *, CASE WHEN has_unit THEN regexp_extract(street_text, '{UNIT_SPLIT}', 1) ELSE street_text END AS l1,
-        CASE WHEN has_unit THEN regexp_extract(street_text, '{UNIT_SPLIT}', 2) || ' ' || regexp_extract(street_text, '{UNIT_SPLIT}', 3) END AS l2 FROM s9),
-    s11 AS (SELECT *, z <> '' AND regexp_matches(l1, '{STREET_START}') AS valid FROM s10),
-    s12 AS (SELECT * EXCLUDE (l1, l2, town, st, z, street_text, has_unit, valid),
-        CASE WHEN valid THEN {_words('l1', abbreviations(STREET_WORDS))} ELSE {column} END AS address_line_1,
-        CASE WHEN valid AND l2 IS NOT NULL THEN {_words('l2', abbreviations(UNIT_WORDS))} END AS address_line_2,
-        CASE WHEN valid THEN town END AS std_city, CASE WHEN valid THEN st END AS std_state, CASE WHEN valid THEN z END AS postal_code FROM s11),
-    std AS (SELECT *, concat_ws(', ', address_line_1, address_line_2, std_city, std_state, postal_code) AS mapped_address FROM s12)
-    """
+def _place(n: str) -> str:
+    """City and state of a nation, as the landed tables have them; the state spelt as in a standard address."""
+    return f"""CASE {n} % 5 WHEN 0 THEN 'SPRINGFIELD' WHEN 1 THEN 'DAYTON' WHEN 2 THEN 'AUSTIN' WHEN 3 THEN 'FRESNO' ELSE 'ALBANY' END AS std_city,
+        CASE {n} % 5 WHEN 0 THEN 'IL' WHEN 1 THEN 'OH' WHEN 2 THEN 'TX' WHEN 3 THEN 'CA' ELSE 'NY' END AS std_state,
+        concat('1', lpad(CAST({n} AS VARCHAR), 4, '0')) AS postal_code"""
+
+
+#: Standard addresses without any parsing, from the keys that the landed addresses are made of.  A customer's
+#: with key % 20 = 0 are blank, and those with key % 13 = 0 have a foreign code, so they stay as they are.
+EXPECTED = f"""
+    units AS (SELECT * FROM (VALUES (0, 'STE 4'), (1, 'UNIT 9')) u(six, unit)),
+    left_parts AS (
+        SELECT concat('LOC', c_custkey) AS location_id, c_custkey % 20 > 0 AND c_custkey % 13 > 0 AS valid,
+            concat(c_custkey + 1, ' ', c_mktsegment, ' ST') AS line1, unit AS line2, {_place('c_nationkey')}
+        FROM customer LEFT JOIN units ON c_custkey % 6 = six),
+    right_parts AS (
+        SELECT s_suppkey AS site_id, s_suppkey % 20 > 0 AS valid,
+            concat(coalesce(c_custkey, s_suppkey) + 1, ' ', coalesce(c_mktsegment, 'WORKS'), ' ST') AS line1, unit AS line2,
+            {_place('coalesce(c_nationkey, s_nationkey)')}
+        FROM supplier LEFT JOIN customer ON c_custkey = s_suppkey * 2 AND s_suppkey % 4 > 0 LEFT JOIN units ON c_custkey % 6 = six),
+    std AS (
+        SELECT DISTINCT clean_address, CASE WHEN valid THEN line1 ELSE clean_address END AS address_line_1,
+            CASE WHEN valid THEN line2 END AS address_line_2, CASE WHEN valid THEN std_city END AS std_city,
+            CASE WHEN valid THEN std_state END AS std_state, CASE WHEN valid THEN postal_code END AS postal_code,
+            CASE WHEN valid THEN concat_ws(', ', line1, line2, std_city, std_state, postal_code) ELSE clean_address END AS mapped_address
+        FROM (SELECT clean_address, p.* FROM left_streets JOIN left_parts p USING (location_id)
+            UNION ALL SELECT clean_address, p.* FROM right_streets JOIN right_parts p USING (site_id)))
+"""
 
 
 STREETS = duckdb_cte("erp_location_party_address_pub", "control_sites", "control_states") + """,
     left_streets AS (SELECT location_id, concat_ws(', ', address1, city, nullif(state, 'NULL'), zip_code, country_code) AS clean_address
         FROM erp_location_party_address_pub),
     right_streets AS (SELECT SiteId AS site_id, concat_ws(', ', SiteAddress1, SiteCity, stateabbreviation, SiteZip) AS clean_address
-        FROM control_sites LEFT JOIN control_states ON SiteStateId = stateid),
-    all_streets AS (SELECT clean_address FROM left_streets UNION SELECT clean_address FROM right_streets)
+        FROM control_sites LEFT JOIN control_states ON SiteStateId = stateid)
 """
 
 TURNS = """turns AS (SELECT concat_ws('-', conv_id, turn) AS node, concat_ws('-', conv_id, turn - 1) AS parent, role,
@@ -138,14 +128,14 @@ ORACLE = {
         SELECT l_orderkey, l_linenumber, l_partkey, o_orderpriority, c_name, n_name FROM lineitem
         JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
     "outer_three_valued": """
-        WITH debtors AS (SELECT CASE WHEN c_custkey % 13 > 0 THEN c_custkey END AS cust, c_name FROM customer WHERE c_acctbal < 0),
+        WITH debtors AS (SELECT CASE WHEN c_custkey % 13 > 0 THEN c_custkey END AS cust, c_name FROM customer),
         urgent AS (SELECT CASE WHEN o_custkey % 17 > 0 THEN o_custkey END AS order_cust, nullif(o_orderstatus, 'P') AS status, count(*) AS n
             FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY ALL)
         SELECT cust, c_name, order_cust, status, n FROM debtors FULL JOIN urgent ON cust = order_cust
         WHERE NOT (cust IS NULL AND order_cust IS NOT NULL AND status = 'F')""",
     "survivorship_outer": """
-        WITH c AS (SELECT c_custkey % 500 AS slot, max(c_name) AS name, count(*) AS n_customers FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY 1),
-        s AS (SELECT s_suppkey * 3 % 500 AS slot, max(s_name) AS supplier_name, count(*) AS n_suppliers FROM supplier GROUP BY 1)
+        WITH c AS (SELECT CAST(floor(c_custkey / 2) AS BIGINT) AS slot, max(c_name) AS name, count(*) AS n_customers FROM customer GROUP BY 1),
+        s AS (SELECT CAST(s_suppkey * 3 AS BIGINT) AS slot, max(s_name) AS supplier_name, count(*) AS n_suppliers FROM supplier GROUP BY 1)
         SELECT slot, coalesce(name, supplier_name) AS name, n_customers, n_suppliers FROM c FULL JOIN s USING (slot)""",
     "exact_match": sides("SELECT *, 0 AS match_quality FROM exact"),
     "unmatched_left": sides("SELECT * FROM rest_a"),
@@ -166,21 +156,23 @@ ORACLE = {
         SELECT c_custkey, concat_ws(', ', nullif(c_mktsegment, 'BUILDING'), CASE WHEN c_custkey % 3 > 0 THEN n_name END,
             CASE WHEN c_custkey % 2 > 0 THEN r_name END) AS clean_address
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
-    "address_standardize": f"""WITH {STREETS}, {standardized('all_streets')}
+    "address_standardize": f"""WITH {STREETS}, {EXPECTED}
         SELECT clean_address, address_line_1, address_line_2, std_city AS city, std_state AS state, postal_code, mapped_address FROM std""",
-    "address_bridge": f"""WITH {STREETS}, {standardized('all_streets')},
+    "address_bridge": f"""WITH {STREETS}, {EXPECTED},
         l AS (SELECT location_id, mapped_address FROM left_streets JOIN std USING (clean_address)),
         r AS (SELECT site_id, mapped_address FROM right_streets JOIN std USING (clean_address))
-        SELECT mapped_address, location_id, site_id FROM l FULL JOIN r USING (mapped_address)""",
+        SELECT coalesce(l.mapped_address, r.mapped_address) AS mapped_address, location_id, site_id
+        FROM l FULL JOIN r ON nullif(l.mapped_address, '') = r.mapped_address""",
     "map_extract": """
         WITH s AS (SELECT p_partkey, p_name, string_split(p_name, ' ') AS w FROM part)
         SELECT p_partkey, p_name, CASE WHEN w[1] <> 'old' THEN w[1] END AS size, CASE WHEN w[1] <> 'old' THEN w[2] ELSE p_name END AS noun,
             CAST(NULL AS VARCHAR) AS colour FROM s""",
     "parse_bool": """
         WITH t AS (SELECT doc_id, quality = 1 AS quality,
-            CASE WHEN toxic = 1 OR doc_id % 2 = 0 THEN NULL ELSE false END AS toxic FROM labels)
+            CASE WHEN toxic = 1 OR doc_id % 2 = 0 THEN NULL ELSE false END AS toxic, quality + doc_id % 2 AS number FROM labels)
         SELECT doc_id, quality, toxic, CASE WHEN toxic THEN 'True' ELSE 'False' END AS toxic_text,
-            CASE WHEN quality THEN 'True' ELSE 'False' END AS quality_text FROM t""",
+            CASE WHEN quality THEN 'True' ELSE 'False' END AS quality_text,
+            CASE WHEN number = 1 THEN 'True' ELSE 'False' END AS number_text FROM t""",
     "decimal_ratio": """
         SELECT l_orderkey, l_linenumber, l_partkey, CAST(CAST(l_discount * 100 AS DECIMAL(5,2)) / 100 AS DECIMAL(9,6)) AS fraction FROM lineitem""",
     "scd1_batch": """
@@ -262,8 +254,9 @@ SITES = ",\n".join([
         concat_ws(', ', address1, city, nullif(state, 'NULL'), zip_code, country_code) AS clean_address FROM erp_location_party_address_pub)""",
     """pc AS (SELECT s.*, stateabbreviation, concat_ws(', ', SiteAddress1, SiteCity, stateabbreviation, SiteZip) AS clean_address
         FROM control_sites s LEFT JOIN control_states ON SiteStateId = stateid)""",
-    "all_streets AS (SELECT clean_address FROM loc UNION SELECT clean_address FROM pc)",
-    standardized("all_streets"),
+    "left_streets AS (SELECT location_id, clean_address FROM loc)",
+    "right_streets AS (SELECT SiteId AS site_id, clean_address FROM pc)",
+    EXPECTED.strip(),
     "erp_sites AS (" + " UNION ALL ".join([
         _erp_sites("PS_Sites", "LEFT JOIN loc l ON ef.LOCATION_ID = l.location_id", """ef.CONTRACT = '700' AND ef."CF$_OBJ_CLASS" = 'ERG'
             AND l.location_specific_address = 'TRUE' AND l.primary_address = 'TRUE' AND ef.OPERATIONAL_STATUS <> 'Scrapped'"""),
@@ -319,17 +312,17 @@ ORACLE |= {
         UNION ALL BY NAME
         SELECT SiteId AS pc_site_id, md5(CAST(GeneratorId AS VARCHAR)) AS dw_equipment_id, try_cast(GeneratorSize AS DOUBLE) AS total_power,
             '780-GenSets' AS object_level, 'PC' AS classification, 'PC_Generators' AS identifier FROM control_generators""",
-    "curated_location": f"""WITH {STREETS}, {standardized('all_streets')}
+    "curated_location": f"""WITH {STREETS}, {EXPECTED}
         SELECT clean_address, address_line_1, address_line_2, std_city AS city, std_state AS state, postal_code, mapped_address FROM std""",
     "curated_site": f"""WITH {SITES}
         SELECT coalesce(ifs_obj_id, md5(CAST(SiteId AS VARCHAR))) AS dw_site_id, ifs_site_id, ifs_obj_id, SiteId AS pc_site_id,
-            coalesce(site_name, SiteName) AS site_name, mapped_address, coalesce(street, SiteAddress1) AS street, coalesce(city, SiteCity) AS city,
+            coalesce(site_name, SiteName) AS site_name, coalesce(e.mapped_address, p.mapped_address) AS mapped_address, coalesce(street, SiteAddress1) AS street, coalesce(city, SiteCity) AS city,
             state, stateabbreviation AS state_abbreviation, coalesce(zip, SiteZip) AS zip, country, location_id, ifs_customer_no,
             CustomerId AS pc_customer_id, division, object_level, identifier, coalesce(IfsProjectCode, ProjectCode) AS project_id,
             SiteStateId AS state_id, MobileSite AS mobile_site, AssetOwned AS asset_owned, SiteContract AS site_contract, SiteLive AS site_live,
             ControlsDisabled AS controls_disabled, DisabledSite AS disabled_site, CAST(SiteLiveDate AS VARCHAR) AS site_live_date,
             CAST(ControlsDisabledDate AS VARCHAR) AS controls_disabled_date, CAST(DisabledDate AS VARCHAR) AS disabled_date, FuelMgmt AS fuel_mgmt
-        FROM e FULL JOIN p USING (mapped_address)""",
+        FROM e FULL JOIN p ON nullif(e.mapped_address, '') = p.mapped_address""",
     "curated_opportunity": f"WITH {OPPORTUNITIES} SELECT * FROM opportunity",
     "curated_opportunity_team_member": f"""WITH {OPPORTUNITIES}, {EMPLOYEES}, {duckdb_cte('crm_opportunityteammember')}
         SELECT t.Id AS opportunity_team_member_id, u.IFS_PERSON_ID__c AS person_id, e.full_name AS team_member_name,
@@ -343,6 +336,64 @@ ORACLE |= {
 ORACLE["site_from_files"] = ORACLE["curated_site"]
 
 
+def _matched(select: str) -> str:
+    return f"""WITH {ACCOUNTS},
+        a AS (SELECT * FROM accounts WHERE parent_id IS NULL),
+        b AS (SELECT customerid AS pc_customer_id, customername AS pc_customer_name FROM control_customers),
+        exact AS (SELECT * FROM a JOIN b ON lower(sf_account_name) = lower(pc_customer_name)),
+        rest_a AS (SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM exact e WHERE e.sf_account_id = a.sf_account_id)),
+        rest_b AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM exact e WHERE e.pc_customer_id = b.pc_customer_id)),
+        close AS (SELECT * FROM (SELECT *, CASE WHEN length(sf_account_name) > 5 AND length(pc_customer_name) > 5
+            THEN CAST(levenshtein(lower(sf_account_name), lower(pc_customer_name)) AS INT) END AS distance FROM rest_a CROSS JOIN rest_b) WHERE distance <= 2),
+        left_a AS (SELECT * FROM rest_a WHERE NOT EXISTS (SELECT 1 FROM close x WHERE x.sf_account_id = rest_a.sf_account_id)),
+        left_b AS (SELECT * FROM rest_b WHERE NOT EXISTS (SELECT 1 FROM close x WHERE x.pc_customer_id = rest_b.pc_customer_id))
+        {select}"""
+
+
+def _generators(tag: str) -> str:
+    return f"""WITH {GENERATORS}
+        SELECT MCH_CODE AS ifs_object_id, OBJID AS dw_equipment_id, CONTRACT AS division, OBJ_LEVEL AS object_level, SUP_MCH_CODE AS parent_object,
+            "CF$_OBJ_CLASS" AS classification, "CF$_OWNER" AS object_owner, "CF$_OWNERSHIP" AS ownership, LOCATION_ID AS location_id,
+            "CF$_PROJECT_NO" AS project_id, OPERATIONAL_STATUS AS equipment_status, identifier, up_name AS description, total_power, no_of_engines,
+            CASE WHEN up_level = '120-Cust Location' THEN up_code ELSE o_code END AS customer_location,
+            CASE WHEN up_level = '120-Cust Location' THEN up_name ELSE o_name END AS customer_location_name
+        FROM measured WHERE identifier = '{tag}'"""
+
+
+_CONTROL_SITES = """SiteId AS site_id, SiteName AS site_name, SiteAddress1 AS site_address1, SiteCity AS site_city, SiteZip AS site_zip,
+    SiteStateId AS state_id, MobileSite AS mobile_site, AssetOwned AS asset_owned, SiteContract AS site_contract, SiteLive AS site_live,
+    ControlsDisabled AS controls_disabled, DisabledSite AS disabled_site, CAST(SiteLiveDate AS VARCHAR) AS site_live_date,
+    CAST(ControlsDisabledDate AS VARCHAR) AS controls_disabled_date, CAST(DisabledDate AS VARCHAR) AS disabled_date, ProjectCode AS project_code,
+    IfsProjectCode AS ifs_project_code, CustomerId AS customer_id, FuelMgmt AS fuel_mgmt"""
+
+ORACLE |= {
+    "curated_users": f"""WITH {duckdb_cte('crm_user')} SELECT UserID__c AS user_id, EmployeeNumber AS emp_no, IFS_PERSON_ID__c AS person_id,
+        Name AS full_name, ManagerId AS manager_id, RoleID__c AS role_id, IsActive AS active FROM crm_user""",
+    "curated_erp_customers": f"WITH {ACCOUNTS} SELECT * FROM erp",
+    "curated_control_customers": f"""WITH {duckdb_cte('control_customers')}
+        SELECT customerid AS pc_customer_id, customername AS pc_customer_name FROM control_customers""",
+    "curated_crm_accounts": f"WITH {ACCOUNTS} SELECT * FROM accounts",
+    "curated_top_accounts": f"WITH {ACCOUNTS} SELECT * FROM accounts WHERE parent_id IS NULL",
+    "curated_exact_matches": _matched("SELECT * FROM exact"),
+    "curated_unmatched_accounts": _matched("SELECT * FROM rest_a"),
+    "curated_unmatched_control_customers": _matched("SELECT * FROM rest_b"),
+    "curated_close_matches": _matched("SELECT * RENAME (distance AS levenshtein_distance) FROM close"),
+    "curated_remaining_control_customers": _matched("SELECT * FROM left_b"),
+    "curated_matched_accounts": _matched("""SELECT *, 0 AS match_quality, CAST(NULL AS INT) AS levenshtein_distance FROM exact
+        UNION ALL BY NAME SELECT * RENAME (distance AS match_quality), distance AS levenshtein_distance FROM close
+        UNION ALL BY NAME SELECT * FROM left_a UNION ALL BY NAME SELECT * FROM left_b"""),
+    "curated_erp_locations": f"WITH {SITES} SELECT * RENAME (OBJID AS _obj_id, OBJVERSION AS _obj_version) FROM loc",
+    "curated_control_sites": f"WITH {SITES} SELECT {_CONTROL_SITES}, stateabbreviation AS state_abbreviation, clean_address FROM pc",
+    "curated_control_generators": f"""WITH {duckdb_cte('control_generators')}
+        SELECT SiteId AS pc_site_id, md5(CAST(GeneratorId AS VARCHAR)) AS dw_equipment_id, try_cast(GeneratorSize AS DOUBLE) AS total_power,
+            '780-GenSets' AS object_level, 'PC' AS classification, 'PC_Generators' AS identifier FROM control_generators""",
+    "curated_ps_generators": _generators("PS_Generators"),
+    "curated_erg_generators": _generators("ERG_Generators"),
+    "curated_ps_sites": f"WITH {SITES} SELECT * FROM erp_sites WHERE identifier = 'PS_Sites'",
+    "curated_pre_erp_sites": f"WITH {SITES} SELECT * FROM erp_sites WHERE identifier = 'Pre_IFS_Sites'",
+}
+
+
 def _raw(name: str, *pairs: str) -> None:
     ORACLE[f"raw_{name}"] = f"WITH {duckdb_cte(name)} SELECT {', '.join(pairs)} FROM {name}"
 
@@ -368,6 +419,7 @@ _raw("control_sites", "SiteId AS site_id", "SiteName AS site_name", "SiteAddress
      "CAST(SiteLiveDate AS VARCHAR) AS site_live_date", "CAST(ControlsDisabledDate AS VARCHAR) AS controls_disabled_date",
      "CAST(DisabledDate AS VARCHAR) AS disabled_date", "ProjectCode AS project_code", "IfsProjectCode AS ifs_project_code",
      "CustomerId AS customer_id", "FuelMgmt AS fuel_mgmt")
+_raw("control_states", "stateid AS state_id", "stateabbreviation AS state_abbreviation")
 _raw("control_generators", "GeneratorId AS generator_id", "EquipmentId AS equipment_id", "UnitId AS unit_id", "GeneratorNumber AS generator_number",
      "GeneratorManufacturerId AS generator_manufacturer_id", "GeneratorSize AS generator_size", "SiteId AS site_id")
 _raw("control_generatormanufacturers", "generatormanufacturerid AS generator_manufacturer_id", "generatormanufacturername AS generator_manufacturer_name")
@@ -394,3 +446,5 @@ _raw("crm_product2", "Id AS id", "Name AS name", "ProductCode AS product_code",
      "Product_Subcategory__c AS product_subcategory__c", "Description AS description", "IsActive AS is_active", "CPQ_Product__c AS cpq_product__c",
      "LGK__IsConfigurable__c AS lgk__is_configurable__c", "CAST(CreatedDate AS VARCHAR) AS created_date",
      "CAST(LastModifiedDate AS VARCHAR) AS last_modified_date")
+
+ORACLE |= {name.replace("raw_", "stream_"): text for name, text in ORACLE.items() if name.startswith("raw_erp_")}

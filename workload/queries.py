@@ -129,10 +129,12 @@ def parse_bool_(spark, d):
         F.when(F.col("quality") == 1, F.element_at(F.array(F.lit("true"), F.lit("T"), F.lit("1")), (F.col("doc_id") % 3 + 1).cast("int")))
         .otherwise(F.element_at(F.array(F.lit("False"), F.lit("f"), F.lit("0")), (F.col("doc_id") % 3 + 1).cast("int"))).alias("quality"),
         F.when(F.col("toxic") == 1, "yes").when(F.col("doc_id") % 2 == 0, " false").otherwise("f").alias("toxic"),
+        (F.col("quality") + F.col("doc_id") % 2).alias("number"),
     )
     return text.select(
         "doc_id", parse_bool("quality").alias("quality"), parse_bool("toxic", strict=False).alias("toxic"),
         bool_text(parse_bool("toxic", strict=False)).alias("toxic_text"), bool_text(parse_bool("quality")).alias("quality_text"),
+        bool_text("number").alias("number_text"),
     )
 
 
@@ -160,7 +162,7 @@ def _split_name(text: str) -> dict[str, str]:
 def map_extract(spark, d):
     part = table(spark, d, "part")
     parsed = parse_distinct(part, "p_name", map_parser(_split_name, "noun", (ValueError,)), ["size", "noun", "colour"])
-    return part.select("p_partkey", "p_name").join(parsed, "p_name")
+    return part.select("p_partkey", "p_name").join(parsed, "p_name", "left")  # a NULL text stays
 
 
 # --- datasets: declaration, contract, SQL, sinks ----------------------------------------------------
@@ -325,17 +327,17 @@ def _urgent(spark, d) -> DataFrame:
 
 
 def outer_three_valued(spark, d):
-    debtors = table(spark, d, "customer").where("c_acctbal < 0").select(
+    customers = table(spark, d, "customer").select(
         F.when(F.col("c_custkey") % 13 > 0, F.col("c_custkey")).alias("cust"), "c_name")
-    joined = salted_join(debtors, _urgent(spark, d), "cust", "order_cust", "full")
+    joined = salted_join(customers, _urgent(spark, d), "cust", "order_cust", "full")
     kept = joined.where(~(F.col("cust").isNull() & F.col("order_cust").isNotNull() & (F.col("status") == "F")))
     return kept.select("cust", "c_name", "order_cust", "status", "n")
 
 
 def survivorship_outer(spark, d):
-    c = table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").groupBy((F.col("c_custkey") % 500).alias("slot")).agg(
+    c = table(spark, d, "customer").groupBy(F.floor(F.col("c_custkey") / 2).alias("slot")).agg(
         F.max("c_name").alias("name"), F.count("*").alias("n_customers"))
-    s = table(spark, d, "supplier").groupBy((F.col("s_suppkey") * 3 % 500).alias("slot")).agg(
+    s = table(spark, d, "supplier").groupBy((F.col("s_suppkey") * 3).cast("bigint").alias("slot")).agg(
         F.max("s_name").alias("supplier_name"), F.count("*").alias("n_suppliers"))
     return survivorship(c.join(s, "slot", "outer"), {"name": ["name", "supplier_name"]})
 
@@ -404,13 +406,13 @@ def scd1_stream(spark, d):
     drop = scratch_path(spark, "persons-csv")
     persons = landed(spark, d, "erp_company_person")
     landing = LandingTable(spark, scratch_path(spark, "company_person"))
-    latest = LatestTable(spark, scratch_path(spark, "company_person_last_change"))
+    latest = LatestTable(spark, scratch_path(spark, "company_person_last_change"), ["_obj_id"], "_obj_version")
     # later versions arrive first
     late = F.col("OBJVERSION") < "000000000500"
     for rows in (persons.where(~late), persons.where(late)):
         rows.write.mode("append").option("header", True).csv(drop)
         landing.run(raw.raw_table("erp", "company_person", csv_stream(spark, drop)))
-        latest.run(raw.company_person_changes(landing.read_stream()), ["_obj_id"], "_obj_version")
+        latest.run(raw.company_person_changes(landing.read_stream()))
     return latest.read()
 
 
@@ -460,14 +462,30 @@ def site_from_files(spark, d):
     landing, out = scratch_path(spark, "erp-landing"), scratch_path(spark, "warehouse")
     for even in (0, 1):
         for name in ("equipment_functional_cfv", "location_party_address_pub"):
-            rows = landed(spark, d, f"erp_{name}")
-            batch = rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(2)) == even)
-            batch.write.mode("append").options(header=True, ignoreTrailingWhiteSpace=False).csv(f"{landing}/{name}")
+            _drop_files(spark, d, landing, name, even)
         erp = load_erp(spark, landing, f"{out}/erp")
     control = load_batch("control", {n: landed(spark, d, f"control_{n}") for n in ("sites", "states")}, f"{out}/control")
     return _as_text(build_curated(erp | control, f"{out}/curated", ["site"]).site)
 
 
+def _drop_files(spark: SparkSession, sf_dir: str, landing: str, name: str, even: int) -> None:
+    """Half of a landed ERP table as CSV files."""
+    rows = landed(spark, sf_dir, f"erp_{name}")
+    half = rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(2)) == even)
+    half.write.mode("append").options(header=True, ignoreTrailingWhiteSpace=False).csv(f"{landing}/{name}")
+
+
+def erp_stream(name: str):
+    """A raw ERP table from two file drops, each drained by a run of its stream."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        landing, out = scratch_path(spark, "erp-landing"), scratch_path(spark, "erp")
+        for even in (0, 1):
+            _drop_files(spark, sf_dir, landing, name, even)
+            tables = load_erp(spark, landing, out)
+        return _as_text(tables[f"erp.{name}"])
+    return query
+
+
 def raw_query(landed_name: str):
     system, source = landed_name.split("_", 1)
 
@@ -520,9 +538,11 @@ QUERIES = {
     "curated_employee": curated_query("employee"),
     **{f"curated_{name}": curated_query(name) for name in (
         "account", "customer", "equipment", "location", "site", "opportunity", "opportunity_team_member",
-        "remaining_accounts", "opco_sites",
+        "remaining_accounts", "opco_sites", "users", "erp_customers", "control_customers", "crm_accounts", "top_accounts", "exact_matches",
+        "unmatched_accounts", "unmatched_control_customers", "close_matches", "remaining_control_customers", "matched_accounts",
+        "erp_locations", "control_sites", "control_generators", "ps_generators", "erg_generators", "ps_sites", "pre_erp_sites",
     )},
     "site_from_files": site_from_files,
-    # the table of states is fixed at 25 rows; control_sites covers it
-    **{f"raw_{name}": raw_query(name) for name in LANDING if name != "control_states"},
+    **{f"raw_{name}": raw_query(name) for name in LANDING},
+    **{f"stream_erp_{name}": erp_stream(name) for name in raw.ERP},
 }
