@@ -40,7 +40,7 @@ def staging() -> Iterator[Callable[[SparkSession], None]]:
     try:
         yield lambda spark: [delete(spark, path) for path in paths] and None
     finally:
-        _OPEN.remove(paths)
+        _OPEN.pop()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 from decimal import Decimal
 
 import duckdb
@@ -35,10 +38,36 @@ def rows(columns, data):
     return sorted((tuple(_plain(r[i]) for i in order) for r in data), key=repr)
 
 
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@contextmanager
+def staged_plans() -> Iterator[list[str]]:
+    """The plans of all frames that are staged inside the block."""
+    from siltstone.sources import stage as module
+
+    plain, plans = module.stage, []
+
+    def recording(df, label):
+        plans.append(plan_text(df))
+        return plain(df, label)
+
+    users = [m for name, m in list(sys.modules.items()) if name.startswith("siltstone") and getattr(m, "stage", None) is plain]
+    for user in users:
+        user.stage = recording
+    try:
+        yield plans
+    finally:
+        for user in users:
+            user.stage = plain
+
+
 def check(spark: SparkSession, con, query, sql: str, sf_dir: str) -> int:
-    df = query(spark, sf_dir)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert not any(node in plan for node in ALL_PAIRS), plan
+    with staged_plans() as plans:
+        df = query(spark, sf_dir)
+    for plan in [*plans, plan_text(df)]:
+        assert not any(node in plan for node in ALL_PAIRS), plan
     expected = con.execute(sql)
     names = [c[0] for c in expected.description]
     assert sorted(names) == sorted(df.columns), (sorted(names), sorted(df.columns))

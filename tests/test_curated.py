@@ -101,6 +101,48 @@ def test_site_kinds(spark, rows):
     assert rows(commercial.site(found, control_sites, bridge=stored)) == rows(merged)
 
 
+@pytest.mark.parametrize("hot_rows", [5, 1_000_000])
+def test_locations_with_many_addresses(spark, rows, hot_rows):
+    """Forty addresses of one location, on the right of the join, for each kind of site."""
+    sites = spark.createDataFrame([
+        location_row("ps", "700", "ERG"), location_row("opco", "600"), location_row("pre", "700", "PS", "2001"), location_row("gone", "700", "PS", "2", location="l9"),
+    ], CFV)
+    places = spark.createDataFrame([("l1", f"{i} Elm St", "Reno", "NV", "89501", "US", "TRUE", "TRUE" if i % 2 else "FALSE") for i in range(40)], LOCATIONS)
+    found = rows(commercial.erp_sites(sites, commercial.erp_locations(places), hot_rows).select("ifs_site_id", "street"))
+    odd = [f"{i} Elm St" for i in range(1, 40, 2)]
+    assert found == sorted([("opco", f"{i} Elm St") for i in range(40)] + [(s, x) for s in ("ps", "pre") for x in odd] + [("gone", None)], key=repr)
+
+
+@pytest.mark.parametrize("hot_rows", [5, 1_000_000])
+def test_person_with_many_records(spark, hot_rows):
+    users = spark.createDataFrame([("u1", "1", "p1", "n", None, "r", True), ("u2", "2", None, "n", "u1", "r", False)],
+        "user_id string, emp_no string, person_id string, full_name string, manager_id string, role_id string, active boolean")
+    persons = spark.createDataFrame([(f"e{i}", "p1", f"Person {i}", "org", "Active", "o", "1") for i in range(50)],
+        "employee_id string, person_id string, full_name string, org_code string, status string, _obj_id string, _obj_version string")
+    out = party.employee(users, persons, hot_rows)
+    assert out.count() == 51 and out.where("person_id = 'p1'").select("full_name").distinct().count() == 50
+
+
+def test_stored_datasets_leave_nothing_staged(spark, rows):
+    from siltstone.plans.curated import Curated
+    from siltstone.sources.files import exists
+    from siltstone.sources.stage import scratch_path, staging
+
+    users = [("u1", True, "1", "p1", "n", None, "r")]
+    raw = {
+        "crm.user": spark.createDataFrame(users, "user_id__c string, is_active boolean, employee_number string, ifs_person_id__c string, name string, manager_id string, role_id__c string"),
+        "erp.company_person_last_change": spark.createDataFrame([("e1", "p1", "P", "o", "A", "i", "1")], "employee_id string, person_id string, full_name string, org_code string, status string, _obj_id string, _obj_version string"),
+    }
+    curated, target = Curated(raw), scratch_path(spark, "curated")
+    with staging() as drop:
+        stored = curated.store("employee", target)
+        inside = scratch_path(spark, "kept")
+        spark.range(3).write.parquet(inside)
+        drop(spark)
+    assert stored.count() == 1 and curated.employee.count() == 1 and set(curated.__dict__) == {"raw", "employee"}
+    assert not exists(spark, inside)
+
+
 def test_generator_kinds(spark, rows):
     def gen(code, kind, project, status="Running"):
         return (code, "700", "780-GenSets", "L", kind, project, status, None, "g", f"o-{code}", None, None, 2.0)

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
@@ -37,6 +39,30 @@ def test_fuzzy_match_equals_all_pairs(spark, rules, left, right):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+@pytest.mark.parametrize("rules", [Rules(), Rules(neighbour_cost=0.01, hot_bucket=20)])
+def test_hundreds_of_names(spark, rules):
+    """Names of several words, and their misspellings, against all pairs."""
+    rng = random.Random(5)
+    words = ["north", "south", "wind", "trade", "labs", "works", "Inc", "GmbH", "é", "of", "the", "12"]
+
+    def misspelt(name):
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(name) + 1)
+            name = rng.choice([name[:at] + rng.choice("aeB ") + name[at:], name[:at] + name[at + 1 :], name[:at] + "x" + name[at + 1 :]])
+        return name
+
+    base = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 4))) for _ in range(150)]
+    left, right = ([misspelt(rng.choice(base)) for _ in range(250)] for _ in range(2))
+    got = fuzzy_match(*sides(spark, left, right), rules).select("aid", "bid", "levenshtein_distance").collect()
+    known = {}
+    for a in set(left):
+        for b in set(right):
+            if len(a) > 5 and len(b) > 5 and abs(len(a) - len(b)) <= 2 and (d := distance(a.lower(), b.lower())) <= 2:
+                known[a, b] = d
+    assert sorted(map(tuple, got)) == sorted((i, j, known[a, b]) for i, a in enumerate(left) for j, b in enumerate(right) if (a, b) in known)
+    assert len(got) > 100
+
+
 @pytest.mark.parametrize("threshold", [1, 3])
 def test_other_thresholds(spark, threshold):
     left = ["abcdefghij", "abcdefgh", "xbcdefghij", "jihgfedcba"]
