@@ -7,7 +7,7 @@ from siltstone.llm.licenses import OP4_SQL, op4_license_scan
 from siltstone.llm.neighbours import op2_nearest_neighbours
 from siltstone.llm.packing import op1_best_fit_packing
 from siltstone.llm.quality import op9_quality_classifier
-from siltstone.llm.secrets import op5_secret_scan
+from siltstone.llm.secrets import OP5_SQL, op5_secret_scan
 from siltstone.llm.simhash import op7_simhash_near_dedup
 from siltstone.llm.substrings import OP3_SQL, op3_substring_dedup
 from siltstone.llm.toxicity import op8_toxicity
@@ -29,6 +29,7 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": OP3_SQL,
     "op4_license_scan": OP4_SQL,
+    "op5_secret_scan": OP5_SQL,
     "op6_warc": OP6_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }

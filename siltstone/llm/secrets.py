@@ -157,3 +157,37 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = of([r.kind for r in BASE])
     counts = [F.size(of([r.kind])).cast("long").alias(f"n_{r.kind}") for r in BASE]
     return found.select(F.col("path").alias("doc_id"), *counts, F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
+
+
+def _sql() -> str:
+    """The same spans in SQL.  Letters in either case are spelt out, since case folding there goes beyond ASCII."""
+    cuts = []
+    for order, rule in enumerate(RULES):
+        pattern = rule.pattern
+        if "(?i:" in pattern:
+            inner, rest = pattern.removeprefix("(?i:(").split("))", 1)
+            pattern = "(" + "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in inner) + ")" + rest
+        quoted = pattern.replace("'", "''")
+        cuts.append(f"""SELECT doc_id, {order} AS kind_order, '{rule.kind}' AS kind, {rule.least} AS least, string_split_regex(t, '{quoted}') AS parts,
+        regexp_extract_all(t, '{quoted}', 0) AS whole, regexp_extract_all(t, '{quoted}', {rule.group}) AS judged FROM d WHERE regexp_matches(t, '{quoted}')""")
+    base = ", ".join(f"'{r.kind}'" for r in BASE)
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE)
+    zeros = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+cuts AS ({" UNION ALL ".join(cuts)}),
+each AS (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM cuts),
+placed AS (
+  SELECT doc_id, kind_order, kind, length(whole[i]) AS size, CAST(list_sum(list_transform(parts[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+  FROM each WHERE length(judged[i]) >= least
+), listed AS (SELECT *, kind || ':' || s || ':' || (s + size) AS span FROM placed),
+found AS (
+  SELECT doc_id, {counts}, string_agg(span, ',' ORDER BY s, kind_order) FILTER (kind IN ({base})) AS base_spans,
+    string_agg(span, ',' ORDER BY s, kind_order) AS spans FROM listed GROUP BY doc_id
+)
+SELECT doc_id, {zeros}, sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN found USING (doc_id)
+"""
+
+
+OP5_SQL = _sql()

@@ -6,7 +6,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from siltstone.llm.secrets import RULES, digest, op5_secret_scan, redacted, scan
+from compare import check, connect
+from siltstone.llm.secrets import OP5_SQL, RULES, digest, op5_secret_scan, redacted, scan
 from siltstone.sources.stage import scratch_path
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -59,6 +60,11 @@ def test_query(spark):
         assert r.spans == ",".join(spans)
 
 
+def test_sql(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    assert check(spark, connect(sf_dir), op5_secret_scan, OP5_SQL, sf_dir) == 1000
+
+
 def test_no_python(spark):
     plan = op5_secret_scan(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
