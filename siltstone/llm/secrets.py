@@ -109,9 +109,11 @@ def scan(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, path: st
     due.select("digest", F.col("due").alias("keys")).write.mode("append").parquet(f"{ledger}/seen")
 
     order = F.create_map(*[F.lit(x) for k, r in enumerate(rules) for x in (r.key, k)])
-    by_blob = (
+    # written, so that the join has an exchange on either side and partitions of contents with many paths can be split
+    by_blob = stage(
         spark.read.schema(placed.schema).parquet(f"{ledger}/findings").where(F.col("rule").isin([r.key for r in rules])).distinct()
-        .groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("start", order[F.col("rule")].alias("order"), "end"))).alias("found"))  # of one text
+        .groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("start", order[F.col("rule")].alias("order"), "end"))).alias("found")),  # of one text
+        "by-blob",
     )
     kinds = F.array(*[F.lit(r.kind) for r in rules])
     spans = F.transform("found", lambda s: F.struct(F.element_at(kinds, s["order"] + 1).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
@@ -127,6 +129,7 @@ def redacted(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, mark
     """`docs` with each stretch that spans cover replaced by `mark`, and `n_chars`, if there, set anew for
     those texts.  All rows stay."""
     found = scan(docs, ledger, rules, doc_id, text).where(F.size("spans") > 0).groupBy(F.col("digest").alias("found_digest")).agg(F.first("spans").alias("spans"))
+    found = stage(found, "found")  # small beside the texts; see by_blob in scan
     # spans come by start: one that begins before the reach of those before it goes on their stretch
     merged = F.aggregate(
         F.col("spans"), F.array().cast("array<struct<start:bigint,end:bigint>>"),
