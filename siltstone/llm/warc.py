@@ -1,8 +1,8 @@
 """Web archives: records written and read by Spark, and revisits of payloads that an earlier record has.
 
-An archive is a folder of WARC/1.1 files.  Tasks put records together to chunks of bounded size, and Spark's
-own writer commits each chunk as a file, so a lost executor leaves no half-written archive and any file system
-of the cluster will do.  A file is read as one row; records are found by their Content-Length.
+An archive is a folder of WARC/1.1 files, each record a gzip member of its own.  Tasks put records together to
+chunks of bounded size, and Spark's own writer commits each chunk as a file, so a lost executor leaves no
+half-written archive and any file system of the cluster will do.  A file is read as one row.
 
 Deduplication reads the headers of an archive, shuffles them by payload digest, and writes a second archive
 with fresh headers: the first record of a payload stays a response, the others become revisits that name it.
@@ -11,7 +11,9 @@ with fresh headers: the first record of a payload stays a response, the others b
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -21,8 +23,11 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import table
 from siltstone.sources.stage import scratch_path, stage
 
-#: Bytes of a file, about; a longer record is a file of its own.
+#: Bytes of a file before compression, at most; a longer record is a file of its own.
 CHUNK_BYTES = 8 << 20
+#: Of gzip; higher ones cost more time than they save room.
+LEVEL = 3
+_FED = 1 << 16  # bytes given to a decompressor at once
 #: Least payload that is worth a revisit.
 LEAST_BYTES = 100
 
@@ -86,10 +91,25 @@ def parse(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
         at = last + 2 * len(_BREAK)
 
 
+def members(data: bytes) -> Iterator[tuple[int, bytes]]:
+    """Place and content of each gzip member of a file.  Zero bytes may follow the last, as gzip allows."""
+    at = 0
+    while at < len(data) and data[at]:
+        start, content, inflate = at, [], zlib.decompressobj(31)
+        while not inflate.eof:
+            piece = data[at : at + _FED]
+            if not piece:
+                raise ValueError(f"the member at byte {start} has no end")
+            content.append(inflate.decompress(piece))
+            at += len(piece) - len(inflate.unused_data)
+        yield start, b"".join(content)
+
+
 def write(records: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> None:
-    """Write an archive of records with the columns of `RECORD`; payloads are text in UTF-8.
+    """Write an archive of records with the columns of `RECORD`.
 
-    A file has `chunk_bytes` at most, or one longer record.  No records make an archive without files.
+    A file has `chunk_bytes` at most before compression, or one longer record.  No records make an archive
+    without files.
     """
 
     def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,17 +121,19 @@ def write(records: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> None
                 if held and size + len(data) > chunk_bytes:
                     yield _chunk(held)
                     held, size = [], 0
-                held.append(data)
+                held.append(gzip.compress(data, LEVEL, mtime=0))
                 size += len(data)
         if held:
             yield _chunk(held)
 
     def _chunk(held: list[bytes]) -> pa.RecordBatch:
-        # the writer ends each row with its line separator, which is the last line break of the last record
-        return pa.RecordBatch.from_arrays([pa.array([b"".join(held)[: -len(_BREAK)].decode()], pa.string())], names=["value"])
+        return pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["value"])
 
     columns = [c.split()[0] for c in RECORD.split(", ")]
-    records.select(*columns).mapInArrow(put, "value string").write.option("lineSep", _BREAK.decode()).option("maxRecordsPerFile", 1).text(path)
+    chunks = records.select(*columns).mapInArrow(put, "value binary").select(F.col("value").cast("string"))
+    # the text writer puts bytes as they are and ends the one row of a file with its separator: a zero byte, which
+    # gzip takes for padding
+    chunks.write.option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path)
 
 
 def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
@@ -125,7 +147,7 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch.column("path"), batch.column("content"), strict=True):
                 rows = []
-                for at, headers, block in parse(content.as_py()):
+                for at, headers, block in ((at, h, b) for at, member in members(content.as_py()) for _, h, b in parse(member)):
                     full = headers["warc-type"] == "response"
                     rows.append({
                         "page_id": headers.get("warc-page-id"), "record_id": headers["warc-record-id"], "type": headers["warc-type"], "uri": headers.get("warc-target-uri"),

@@ -1,6 +1,7 @@
 """Archives: round trips, revisits against SQL, files that stand on their own."""
 
 import glob
+import gzip
 import hashlib
 
 import pytest
@@ -39,7 +40,10 @@ def test_round_trip(spark, rows, chunk_bytes):
     unique = warc.read(spark, f"{folder}/unique").collect()
     assert sum(r.type == "revisit" and r.payload is None and r.refers_to is not None for r in unique) == sum(r[3] == "revisit" for r in plain(data))
     for name in glob.glob(f"{folder.removeprefix('file:')}/unique/part-*"):
-        records = list(warc.parse(open(name, "rb").read()))
+        with gzip.open(name) as file:  # any gzip reader takes it
+            whole = file.read()
+        records = list(warc.parse(whole))
+        assert [r[1:] for r in records] == [r[1:] for _, member in warc.members(open(name, "rb").read()) for r in warc.parse(member)]
         assert records and (len(records) == 1 or sum(len(b) for _, _, b in records) <= chunk_bytes)
         assert all(h["warc-type"] in ("response", "revisit") and h["warc-record-id"].startswith("<urn:uuid:") for _, h, _ in records)
 
@@ -61,6 +65,10 @@ def test_missing_response(spark):
 def test_broken_files():
     good = warc.record_bytes({"page_id": "1", "record_id": "<r>", "type": "response", "uri": None, "payload": b"abc", "payload_digest": hashlib.sha256(b"abc").hexdigest(), "refers_to": None})
     assert [(h["content-length"], b) for _, h, b in warc.parse(good + good)] == [("3", b"abc")] * 2
+    packed = gzip.compress(good) + gzip.compress(good * 3)
+    assert list(warc.members(packed + b"\0")) == [(0, good), (len(gzip.compress(good)), good * 3)]
+    with pytest.raises(ValueError):
+        list(warc.members(packed[:-5]))
     for bad in (good[:-2], b"x" + good, good.replace(b"Content-Length: 3", b"Content-Length: 2")):
         with pytest.raises(ValueError):
             list(warc.parse(bad))
