@@ -15,7 +15,8 @@ def _hang(edges: DataFrame, larger: bool) -> DataFrame:
     rows, so a node with very many of them is split by the skew join.
     """
     both = edges if not larger else edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+    # written, so that the join has an exchange on either side and skewed partitions can be split
+    least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")), "least")
     joined = both.join(least, "a")
     if larger:
         hung = joined.where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
@@ -33,9 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
     logarithm of the largest component.  Runs jobs.
     """
     current = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a is not null and b is not null and a <> b").distinct()
-    seen = None
+    current, seen = stage(current, "edges"), None
     while True:
-        current = stage(_hang(_hang(current, True), False), "stars")
+        current = stage(_hang(stage(_hang(current, True), "stars"), False), "stars")
         state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state == seen:
             return current.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -184,7 +184,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BIT
     distinct = stage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "distinct-prints")
     roots = components(links(distinct.select("fingerprint"), most))
     rooted = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # written, so that the join has an exchange on either side and the partition of a large component can be split
+    ids = stage(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "component-ids")
     named = rooted.join(ids, "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
