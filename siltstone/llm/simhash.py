@@ -205,5 +205,6 @@ def keep_first(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs)
     kept = stage(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n")), "kept-ids")
     names = kept.select(F.col("doc_id").alias("kept_id"))
-    out = docs.join(names, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    # the ids grow with the documents, so they are never broadcast; hashing them spares sorting the texts
+    out = docs.join(names.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
     return out.dropDuplicates(["doc_id"]) if kept.where("n > 1").limit(1).count() else out
