@@ -1,19 +1,26 @@
 """Toxicity scores: votes of the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and their first four and five letters.  The terms that tell the labels apart are chosen on a
-bounded sample of labelled documents; how many documents hold each is counted over all.  The examples form an
-inverted index in blocks, with the largest weight of each term in each block.  A text visits blocks in the
-order of the bound these give, until no block left can hold a nearer example: the neighbours are exact.
-Votes weighted by similarity are calibrated on the examples' own votes, each without itself.
+Terms are words and their first four and five letters; how many documents hold each is counted over all.  A
+bounded sample of labelled documents are the examples, with all their terms, and a text's norm is taken over
+all of its own.  Products with every example are taken, of frequent terms as matrices and of others by inverted
+lists, and the best are computed again in full precision: the neighbours are exact.  In long prose a few telling
+words hardly move that cosine, so a second index has only the terms that tell the labels apart, and the nearest
+by these vote too.  Votes weighted by similarity are joined and calibrated on the examples' own votes, each
+without itself.
 """
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,14 +28,17 @@ from siltstone.llm.common import LOWER, MARKS, mix, range_sums, steps, sums_hash
 from siltstone.llm.labelled import examples, fold, known
 from siltstone.sources.stage import stage
 
-#: Labelled documents in the index, and terms, at most: the index has at most so many weights as their product.
+#: Labelled documents in the index, with all their terms, and telling terms, at most.
 MAX_EXAMPLES = 8192
 MAX_TERMS = 1024
 #: Letters of the prefixes that are terms beside whole words.
 PREFIXES = (4, 5)
 #: Least documents with a term, and least chi-square of its counts, for it to be chosen.
 LEAST_DOCS, LEAST_CHI2 = 4, 20.0
-BLOCK = 32
+#: Texts that are multiplied with the examples at once.
+TOGETHER = 128
+#: A term that one example in so many holds is a row of the matrix.
+FREQUENT = 16
 NEIGHBOURS = 15
 FOLDS, HELD = 5, 0
 
@@ -55,10 +65,11 @@ def term_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 def _counted(rows: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different (row, term) pairs in order, and how often each comes."""
-    order = np.lexsort((terms, rows))
-    rows, terms = rows[order], terms[order]
-    first = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]) | (terms[1:] != terms[:-1])])) if len(rows) else np.zeros(0, np.int64)
-    return rows[first], terms[first], np.diff(np.append(first, len(rows)))
+    if not len(rows):
+        return rows, terms, rows
+    different, at = np.unique(terms, return_inverse=True)
+    keys, counts = np.unique(rows * len(different) + at, return_counts=True)
+    return keys // len(different), different[keys % len(different)], counts
 
 
 def choose_terms(chosen: DataFrame, most: int = MAX_TERMS) -> np.ndarray:
@@ -89,105 +100,177 @@ def choose_terms(chosen: DataFrame, most: int = MAX_TERMS) -> np.ndarray:
     return np.sort(np.array([r["term"] for r in best], np.int64).view(np.uint64))
 
 
-def vectors(docs: DataFrame, terms: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`doc_id`, and `terms` (their numbers) with their `counts`, of every row."""
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    maybe = np.zeros(1 << 16, bool)
-    maybe[(terms & np.uint64(0xFFFF)).astype(np.int64)] = True
+def _lists(rows: np.ndarray, n: int, *columns: np.ndarray) -> list[pa.Array]:
+    bounds = pa.array(np.searchsorted(rows, np.arange(n + 1)).astype(np.int32))
+    return [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in columns]
+
+
+def hashed(texts: DataFrame) -> DataFrame:
+    """`doc_id`, `label`, and `hashes` of all terms with their `counts`, of every row of doc_id, text and label."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in steps(batch):
-                rows, hashes = term_hashes(data, offsets)
-                some = np.flatnonzero(maybe[(hashes & np.uint64(0xFFFF)).astype(np.int64)])
-                rows, hashes = rows[some], hashes[some]
-                at = np.searchsorted(terms, hashes)
-                known = np.flatnonzero(terms[np.minimum(at, len(terms) - 1)] == hashes) if len(terms) else at
-                rows, numbers, counts = _counted(rows[known], at[known])
-                bounds = pa.array(np.searchsorted(rows, np.arange(part.num_rows + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.ListArray.from_arrays(bounds, pa.array(numbers.astype(np.int32))), pa.ListArray.from_arrays(bounds, pa.array(counts.astype(np.int32)))],
-                    names=["doc_id", "terms", "counts"],
-                )
+                rows, hashes, counts = _counted(*term_hashes(data, offsets))
+                lists = _lists(rows, part.num_rows, hashes.view(np.int64), counts.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), *lists], names=["doc_id", "label", "hashes", "counts"])
+
+    return texts.select("doc_id", "text", "label").mapInArrow(count, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, label int, hashes array<long>, counts array<int>")
+
 
-    return narrow.mapInArrow(count, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, terms array<int>, counts array<int>")
+def _numbered(vocabulary: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places among the ascending hashes, and whether each is there."""
+    at = np.searchsorted(vocabulary, hashes)
+    return at, vocabulary[np.minimum(at, len(vocabulary) - 1)] == hashes if len(vocabulary) else np.zeros(len(at), bool)
+
+
+def holding(narrow: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarray]:
+    """Number of rows, and of the rows that hold each term; `narrow` has the column text."""
+    sent = narrow.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, total = sent.value, 0
+        held = np.zeros(len(vocabulary), np.int64)
+        for batch in batches:
+            for part, data, offsets in steps(batch):
+                total += part.num_rows
+                terms, counts = np.unique(_counted(*term_hashes(data, offsets))[1], return_counts=True)
+                at, known = _numbered(vocabulary, terms)
+                held[at[known]] += counts[known]
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1).astype(np.int32)), pa.array(np.append(held[some], total))], names=["term", "n"])
+
+    found = narrow.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(vocabulary) + 1)
+    out[found.column("term").to_numpy()] = found.column("n").to_numpy()  # the rows are last
+    return int(out[-1]), out[:-1]
+
+
+def rests(found: DataFrame, n_docs: int) -> DataFrame:
+    """`row` and `rest`, the sum of the squared weights of its `others`, of every row that has any."""
+    pairs = found.select("row", F.explode(F.arrays_zip("others", "other_counts")).alias("x")).select("row", F.col("x.others").alias("term"), F.col("x.other_counts").alias("count"))
+    # written, so that the join has an exchange on either side and the partition of a frequent term can be split
+    holding = stage(pairs.groupBy("term").agg(F.count("*").alias("holding")), "holding")
+    weight = (1 + F.log("count")) * (F.log(F.lit(n_docs + 1.0) / (F.col("holding") + 1)) + 1)
+    return pairs.join(holding, "term").groupBy("row").agg(F.sum(weight * weight).alias("rest"))
 
 
 # --- index
 
 
-class Index(NamedTuple):
-    """Examples in blocks.  Postings of term t in block b are those from at[t, b] to at[t, b + 1]."""
+def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after the other."""
+    return np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+@dataclass
+class Index:
+    """Vectors of the examples that have terms: those of example e are from start[e] to start[e + 1]."""
 
     idf: np.ndarray
-    at: np.ndarray
-    example: np.ndarray
-    weight: np.ndarray
-    largest: np.ndarray  # of each term in each block
+    start: np.ndarray
+    term: np.ndarray
+    count: np.ndarray
     label: np.ndarray
     number: np.ndarray  # of each example, as it was given
     blank: float  # share of 1 among examples without terms
 
-    def weigh(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        weights = (1 + np.log(counts)) * self.idf[terms]
-        return weights / np.sqrt((weights**2).sum())
+    def __getstate__(self) -> dict:
+        """Packed, as every executor writes what it is sent to its disk."""
+        plain = {k: x for k, x in self.__dict__.items() if k not in ("term", "count", "parts", "weight")}
+        return plain | {"packed": [zlib.compress(x.astype(np.int32).tobytes(), 1) for x in (np.diff(self.term, prepend=0), self.count)]}
+
+    def __setstate__(self, state: dict) -> None:
+        term, self.count = (np.frombuffer(zlib.decompress(x), np.int32) for x in state.pop("packed"))
+        self.term = np.cumsum(term, dtype=np.int64).astype(np.int32)
+        self.__dict__ |= state
+
+    @cached_property
+    def weight(self) -> np.ndarray:
+        weights = self.weights(self.term, self.count)
+        sizes = np.diff(self.start)
+        return weights / np.repeat(np.sqrt(np.add.reduceat(weights**2, self.start[:-1])), sizes) if len(sizes) else weights
+
+    @cached_property
+    def parts(self) -> tuple[np.ndarray, ...]:
+        """Rows of the matrix by term (-1: none), the matrix, and the lists of the other terms.  Built where it is used."""
+        example = np.repeat(np.arange(len(self.label)), np.diff(self.start))
+        frequent = np.bincount(self.term, minlength=len(self.idf)) * FREQUENT > len(self.label)
+        row = np.where(frequent, np.cumsum(frequent) - 1, -1)
+        matrix = np.zeros((int(frequent.sum()), len(self.label)), np.float32)
+        some = frequent[self.term]
+        matrix[row[self.term[some]], example[some]] = self.weight[some]
+        order = np.flatnonzero(~some)
+        order = order[np.argsort(self.term[order], kind="stable")]
+        at = np.searchsorted(self.term[order], np.arange(len(self.idf) + 1))
+        return row, matrix, at, example[order], self.weight[order]
+
+    def weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return (1 + np.log(counts)) * self.idf[terms]
+
+    def weigh(self, terms: np.ndarray, counts: np.ndarray, rest: float = 0.0) -> np.ndarray:
+        """Weights, in a vector whose other terms have the squared weights `rest`."""
+        weights = self.weights(terms, counts)
+        return weights / np.sqrt((weights**2).sum() + rest)
+
+    def nearest_all(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For every text of terms and counts, examples with the largest cosine above 0, and the cosines as if it had
+        no other terms; ties go to the example given first.  `without` are numbers of examples that take no part."""
+        none = np.zeros(0, np.int64), np.zeros(0)
+        n = len(self.label)
+        if not n or not texts:
+            return [none] * len(texts)
+        row, matrix, at, example, weight = self.parts
+        queries = [self.weigh(t, c) if len(t) else np.zeros(0) for t, c in texts]
+        dense = np.zeros((len(texts), len(matrix)), np.float32)
+        for j, (its_terms, _) in enumerate(texts):
+            some = row[its_terms] >= 0
+            dense[j, row[its_terms[some]]] = queries[j][some]
+        products = dense @ matrix
+        out, full = [], np.zeros(len(self.idf))
+        for j, (its_terms, _) in enumerate(texts):
+            if not len(its_terms):
+                out.append(none)
+                continue
+            some = row[its_terms] < 0
+            sizes = at[its_terms[some] + 1] - at[its_terms[some]]
+            postings = _ranges(at[its_terms[some]], sizes)
+            scores = np.bincount(example[postings], np.repeat(queries[j][some], sizes) * weight[postings], n) + products[j]
+            # what single precision may have moved is far below 1e-4; one more than k, as one may be left out
+            least = np.partition(scores, n - k - 1)[n - k - 1] - 1e-4 if n > k + 1 else 0
+            found = np.flatnonzero((scores >= least) & (scores > 0))
+            if without is not None:
+                found = found[self.number[found] != without[j]]
+            full[its_terms] = queries[j]
+            sizes = self.start[found + 1] - self.start[found]
+            entries = _ranges(self.start[found], sizes)
+            exact = np.round(np.bincount(np.repeat(np.arange(len(found)), sizes), full[self.term[entries]] * self.weight[entries], len(found)), 12)
+            full[its_terms] = 0
+            best = np.lexsort((self.number[found], -exact))[:k]
+            best = best[exact[best] > 0]
+            out.append((found[best], exact[best]))
+        return out
 
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Examples with the largest cosine above 0, and the cosines; ties go to the example given first.
-        `without` is the number of an example that takes no part."""
-        if not len(terms) or not len(self.label):
-            return np.zeros(0, np.int64), np.zeros(0)
-        query = self.weigh(terms, counts)
-        bounds = query @ self.largest[terms]
-        best_example, best_score = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(best_score) == k and bounds[block] < best_score[-1] - 1e-9):
-                break
-            scores = np.zeros(BLOCK)
-            for term, weight in zip(terms, query, strict=True):
-                first, end = self.at[term, block], self.at[term, block + 1]
-                if end > first:
-                    scores[self.example[first:end] - block * BLOCK] += weight * self.weight[first:end]
-            some = np.flatnonzero(scores > 0)
-            found = some + block * BLOCK
-            if without >= 0:
-                some, found = some[self.number[found] != without], found[self.number[found] != without]
-            best_example, best_score = np.concatenate([best_example, found]), np.concatenate([best_score, np.round(scores[some], 12)])
-            keep = np.lexsort((self.number[best_example], -best_score))[:k]
-            best_example, best_score = best_example[keep], best_score[keep]
-        return best_example, best_score
-
-    def vote(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
+        return self.nearest_all([(terms, counts)], k, [without])[0]
+
+    def vote(self, found: np.ndarray, similarity: np.ndarray) -> float:
         """Share of 1 among the nearest, weighted by squared similarity; with nothing near, that of examples without terms."""
-        found, similarity = self.nearest(terms, counts, k, without)
         weights = similarity**2
-        return float((weights @ self.label[found] + 0.1 * self.blank) / (weights.sum() + 0.1)), found, similarity
+        return float((weights @ self.label[found] + 0.1 * self.blank) / (weights.sum() + 0.1))
 
 
 def build(terms: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray, holding: np.ndarray, n_docs: int) -> Index:
     """`holding` is the number of documents, of `n_docs`, with each term."""
-    width = len(holding)
     idf = np.log((n_docs + 1) / (holding + 1)) + 1.0
     full = np.array([k for k, x in enumerate(terms) if len(x)], np.int64)
     blank = np.setdiff1d(np.arange(len(terms)), full)
     share = float((labels[blank].sum() + 1) / (len(blank) + 2)) if len(blank) else float((labels.sum() + 1) / (len(labels) + 2))
-    empty = Index(idf, None, None, None, None, labels[:0], full, share)
-    weights = {k: empty.weigh(terms[k], counts[k]) for k in full.tolist()}
-    # examples led by the same term share blocks, which keeps the bounds tight
-    leading = {k: int(terms[k][weights[k].argmax()]) for k in full.tolist()}
-    order = sorted(full.tolist(), key=lambda k: (leading[k], -weights[k].max(), k))
-    blocks = max(1, -(-len(order) // BLOCK))
-    term = np.concatenate([terms[k] for k in order]) if order else np.zeros(0, np.int64)
-    example = np.repeat(np.arange(len(order)), [len(terms[k]) for k in order]) if order else np.zeros(0, np.int64)
-    weight = np.concatenate([weights[k] for k in order]) if order else np.zeros(0)
-    sort = np.lexsort((example, term))
-    term, example, weight = term[sort], example[sort], weight[sort]
-    cell = term * blocks + example // BLOCK
-    ends = np.searchsorted(cell, np.arange(width * blocks + 1))
-    at = np.column_stack([ends[:-1].reshape(width, blocks), ends[blocks::blocks][:width]]) if width else np.zeros((0, blocks + 1), np.int64)
-    largest = np.zeros(width * blocks)
-    np.maximum.at(largest, cell, weight)
-    return Index(idf, at, example, weight, largest.reshape(width, blocks), labels[order] if order else labels[:0], np.array(order, np.int64), share)
+    index = Index(idf, np.cumsum([0, *(len(terms[k]) for k in full)]), np.zeros(0, np.int32), np.zeros(0, np.int32), labels[full], full, share)
+    if len(full):
+        index.term = np.concatenate([terms[k] for k in full]).astype(np.int32)
+        index.count = np.concatenate([counts[k] for k in full]).astype(np.int32)
+    return index
 
 
 def calibration(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,67 +290,171 @@ def calibration(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.n
     return pooled[:, 2] / pooled[:, 1], smooth
 
 
+def joint(votes: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Weights of the log odds of each column of votes, and a constant, by logistic regression; none is negative."""
+    x = np.column_stack([_log_odds(votes), np.ones(len(votes))])
+    free = np.ones(x.shape[1], bool)
+    while True:
+        weights = np.zeros(x.shape[1])
+        some, ridge = x[:, free], np.eye(free.sum())
+        for _ in range(25):
+            p = 1 / (1 + np.exp(-np.clip(some @ weights[free], -30, 30)))
+            weights[free] -= np.linalg.solve(some.T @ (some * (p * (1 - p))[:, None]) + ridge, some.T @ (p - labels) + ridge @ weights[free])
+        if (weights[:-1] >= 0).all():
+            return weights
+        free[:-1] &= weights[:-1] >= 0
+
+
+def _log_odds(votes: np.ndarray) -> np.ndarray:
+    votes = np.clip(votes, 1e-6, 1 - 1e-6)
+    return np.log(votes / (1 - votes))
+
+
 # --- on Spark
 
 
 class Model(NamedTuple):
-    index: Index
+    vocabulary: np.ndarray  # hashes of the examples' terms, ascending
+    whole: Index
+    telling: Index
+    place: np.ndarray  # of each term among the telling ones, or -1
     ids: list
-    votes: np.ndarray
-    shares: np.ndarray
+
+    def near(self, texts: list[tuple[np.ndarray, np.ndarray]], without: Iterable[int] | None = None) -> list[tuple[np.ndarray, np.ndarray, float]]:
+        """The nearest by all terms, their cosines as if a text had no other terms, and the vote of the nearest by
+        the telling ones."""
+        narrow = []
+        for terms, counts in texts:
+            told = self.place[terms] >= 0
+            narrow.append((self.place[terms[told]], counts[told]))
+        votes = [self.telling.vote(*x) for x in self.telling.nearest_all(narrow, NEIGHBOURS, without)]
+        return [(*x, vote) for x, vote in zip(self.whole.nearest_all(texts, NEIGHBOURS, without), votes, strict=True)]
+
+
+def _split(column: pa.ListArray) -> list[np.ndarray]:
+    bounds = column.offsets.to_numpy()
+    return np.split(column.flatten().to_numpy(), bounds[1:-1] - bounds[0]) if len(column) else []
+
+
+def _model(learned: pa.Table, labels: np.ndarray, vocabulary: np.ndarray, telling: np.ndarray, holding: np.ndarray, n_docs: int) -> Model:
+    terms = [np.searchsorted(vocabulary, x.view(np.uint64)) for x in _split(learned.column("hashes").combine_chunks())]
+    counts = [x.astype(float) for x in _split(learned.column("counts").combine_chunks())]
+    place = np.full(len(vocabulary), -1)
+    chosen = np.searchsorted(vocabulary, telling)
+    place[chosen] = np.arange(len(chosen))
+    told = [place[x] >= 0 for x in terms]
+    narrow = build([place[x[m]] for x, m in zip(terms, told, strict=True)], [x[m] for x, m in zip(counts, told, strict=True)], labels, holding[chosen], n_docs)
+    return Model(vocabulary, build(terms, counts, labels, holding, n_docs), narrow, place, learned.column("doc_id").to_pylist())
+
+
+def _own_votes(model):
+    """Of the examples in the index, their numbers and votes, each without itself."""
+
+    def vote(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learned = model.value
+        index = learned.whole
+        for batch in batches:
+            for first in range(0, batch.num_rows, TOGETHER):
+                some = batch.column("id").slice(first, TOGETHER).to_numpy()
+                spans = [slice(index.start[e], index.start[e + 1]) for e in some]
+                near = learned.near([(index.term[x], index.count[x].astype(float)) for x in spans], index.number[some])
+                votes = [index.vote(found, similarity) for found, similarity, _ in near]
+                yield pa.RecordBatch.from_arrays([pa.array(index.number[some]), pa.array(votes), pa.array([x[2] for x in near])], names=["number", "whole", "telling"])
+
+    return vote
+
+
+def _nearest(narrow: DataFrame, model) -> DataFrame:
+    """`doc_id`, the nearest examples (`near`) and `cosines` as if the text had only terms of theirs, the sum of these
+    terms' squared weights (`square`), the vote of the `telling` ones, and the `others` with `other_counts`."""
+
+    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learned = model.value
+        earlier: dict[bytes, tuple] = {}
+        for batch in batches:
+            for part, data, offsets in steps(batch):
+                rows, hashes, counts = _counted(*term_hashes(data, offsets))
+                at, known = _numbered(learned.vocabulary, hashes)
+                bounds = np.searchsorted(rows[known], np.arange(part.num_rows + 1))
+                terms, their_counts = np.split(at[known], bounds[1:-1]), np.split(counts[known], bounds[1:-1])
+                keys = [hashlib.blake2b(t.tobytes() + c.tobytes()).digest() for t, c in zip(terms, their_counts, strict=True)]
+                if len(earlier) > 20_000:
+                    earlier.clear()
+                new = list({key: k for k, key in enumerate(keys) if key not in earlier}.values())
+                for first in range(0, len(new), TOGETHER):
+                    some = new[first : first + TOGETHER]
+                    texts = [(terms[k], their_counts[k].astype(float)) for k in some]
+                    for k, text, x in zip(some, texts, learned.near(texts), strict=True):
+                        earlier[keys[k]] = (*x, (learned.whole.weights(*text) ** 2).sum())
+                near = [earlier[key] for key in keys]
+                sizes = pa.array(np.cumsum([0, *(len(x[0]) for x in near)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"), *[pa.ListArray.from_arrays(sizes, pa.array(np.concatenate([x[c] for x in near]), kind)) for c, kind in ((0, pa.int32()), (1, pa.float64()))],
+                        pa.array([x[3] for x in near], pa.float64()), pa.array([x[2] for x in near], pa.float64()),
+                        *_lists(rows[~known], part.num_rows, hashes[~known].view(np.int64), counts[~known].astype(np.int32)),
+                    ],
+                    names=["doc_id", "near", "cosines", "square", "telling", "others", "other_counts"],
+                )
+
+    kind = narrow.schema["doc_id"].dataType.simpleString()
+    return narrow.mapInArrow(search, f"doc_id {kind}, near array<int>, cosines array<double>, square double, telling double, others array<long>, other_counts array<int>")
 
 
 def toxicity(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, held: int = HELD, most: int = MAX_EXAMPLES, doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """`doc_id`, `score` from 0 to 1, and `evidence`: the nearest examples (doc_id, similarity, label), nearest
-    first, of every row of `docs`.
+    """`doc_id`, `score` from 0 to 1, and `evidence`: the nearest examples (doc_id, similarity, label) by the cosine
+    of all terms, nearest first, of every row of `docs`.
 
     Labels are learned outside the held-out fold only, from at most `most` labelled documents; null and
-    contradicting labels teach nothing.  A text without chosen terms, an empty or null one too, has the share
-    of 1 among examples without terms.  With no examples, or of one label, every score is the smoothed
-    share of 1.  Repeated rows are kept; other columns are ignored.  Runs jobs: the documents' vectors over
-    the chosen terms are written once to the shared folder.
+    contradicting labels teach nothing.  A text that shares no term with any example, an empty or null one too,
+    has the share of 1 among examples without terms.  With no examples, or of one label, every score is the
+    smoothed share of 1.  Repeated rows are kept; other columns are ignored.  Runs jobs: the examples' texts and
+    vectors, and narrow rows of all documents, are written once to the shared folder.
     """
     spark = docs.sparkSession
     chosen = known(labels, label, folds, held, most, doc_id)
-    terms = choose_terms(examples(docs, chosen, doc_id, text))
-    found = stage(vectors(docs, terms, doc_id, text), "vectors")
-    held_by = {r["term"]: r["n"] for r in found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}
-    holding = np.array([held_by.get(t, 0) for t in range(len(terms))], float)
-    learned = (
-        found.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("label", "terms", "counts")).alias("x"))
-        .select("doc_id", "x.*").orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
-    )
-    their_terms = [np.array(x, np.int64) for x in learned.column("terms").to_pylist()]
-    their_counts = [np.array(x, float) for x in learned.column("counts").to_pylist()]
+    texts = stage(examples(docs, chosen, doc_id, text), "example-texts")
+    telling = choose_terms(texts)
+    single = texts.groupBy("doc_id").agg(F.min(F.struct("label", "text")).alias("x")).select("doc_id", "x.*")
+    learned = hashed(single).withColumn("order", F.xxhash64("doc_id")).toArrow()
+    learned = learned.take(pa.compute.sort_indices(learned, [("order", "ascending"), ("doc_id", "ascending")])).combine_chunks()
+    vocabulary = np.unique(learned.column("hashes").combine_chunks().flatten().to_numpy().view(np.uint64))
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    n_docs, held_by = holding(narrow, vocabulary)
     their_labels = learned.column("label").to_numpy().astype(float)
-    index = build(their_terms, their_counts, their_labels, holding, found.count())
-    votes = np.array([index.vote(t, c, without=k)[0] for k, (t, c) in enumerate(zip(their_terms, their_counts, strict=True)) if len(t)])
-    points = calibration(votes, their_labels[[len(t) > 0 for t in their_terms]])
-    model = spark.sparkContext.broadcast(Model(index, learned.column("doc_id").to_pylist(), *points))
+    model = spark.sparkContext.broadcast(_model(learned, their_labels, vocabulary, telling, held_by, n_docs))
+    votes = spark.range(int((np.diff(learned.column("hashes").combine_chunks().offsets) > 0).sum())).mapInArrow(_own_votes(model), "number long, whole double, telling double").toArrow().sort_by("number")
+    own = their_labels[votes.column("number").to_numpy()]
+    votes = np.column_stack([votes.column(c).to_numpy() for c in ("whole", "telling")])
+    weights = joint(votes, own)
+    points = calibration(_log_odds(votes) @ weights[:-1] + weights[-1], own)
+    n, ones = len(their_labels), their_labels.sum()
+    if not 0 < ones < n:
+        points = np.array([0.0, 1.0]), np.full(2, (ones + 1) / (n + 2))
+    found = stage(_nearest(narrow, model).withColumn("row", F.monotonically_increasing_id()), "nearest")
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, ids, at, shares = model.value
-        earlier: dict[tuple, tuple] = {}
+        learned = model.value
+        index = learned.whole
         for batch in batches:
-            scores, evidence = [], []
-            for its_terms, its_counts in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                key = (*its_terms, *its_counts)
-                if key not in earlier:
-                    if len(earlier) > 20_000:
-                        earlier.clear()
-                    vote, near, similarity = index.vote(np.array(its_terms, np.int64), np.array(its_counts, float))
-                    value = float(np.interp(vote, at, shares)) if len(near) else index.blank
-                    earlier[key] = value, [{"doc_id": ids[index.number[e]], "similarity": float(s), "label": int(index.label[e])} for e, s in zip(near[:3], similarity[:3], strict=True)]
-                value, near = earlier[key]
-                scores.append(value)
-                evidence.append(near)
+            whole, evidence, any_near = [], [], []
+            shares = np.sqrt(batch.column("square").to_numpy() / np.maximum(batch.column("square").to_numpy() + batch.column("rest").to_numpy(), 1e-300))
+            for near, cosines, share in zip(_split(batch.column("near")), _split(batch.column("cosines")), shares, strict=True):
+                similarity = np.round(cosines * share, 12)
+                whole.append(index.vote(near, similarity))
+                any_near.append(len(near) > 0)
+                evidence.append([{"doc_id": learned.ids[index.number[e]], "similarity": float(s), "label": int(index.label[e])} for e, s in zip(near[:3], similarity[:3], strict=True)])
+            odds = _log_odds(np.column_stack([whole, batch.column("telling").to_numpy()]))
+            scores = np.interp(odds @ weights[:-1] + weights[-1], *points)
+            scores = np.where(any_near, scores, index.blank) if 0 < ones < n else scores
             kind = pa.list_(pa.struct([("doc_id", batch.schema.field("doc_id").type), ("similarity", pa.float64()), ("label", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, kind)], names=["doc_id", "score", "evidence"])
 
     kind = found.schema["doc_id"].dataType.simpleString()
-    return found.mapInArrow(score, f"doc_id {kind}, score double, evidence array<struct<doc_id:{kind},similarity:double,label:int>>")
+    whole = found.drop("others", "other_counts").join(rests(found, n_docs).hint("shuffle_hash"), "row", "left").withColumn("rest", F.coalesce("rest", F.lit(0.0)))
+    return whole.drop("row").mapInArrow(score, f"doc_id {kind}, score double, evidence array<struct<doc_id:{kind},similarity:double,label:int>>")
 
 
 # --- query

@@ -92,3 +92,23 @@ def test_edges(spark):
     assert len(got.collect()) == 5 and all(0 <= r.score <= 1 for r in got.collect())
     assert toxicity(docs.limit(0), labels).count() == 0
     assert {r.score for r in toxicity(docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_whole_texts(spark):
+    """Evidence by the cosine of all terms against plain counts, for texts of common or untelling words too."""
+    rng = random.Random(6)
+    vocabulary = [f"{a}{b}" for a in ("ab", "cd", "efgh", "ijklm", "nopqrs") for b in ("", "tu", "vwx", "yz")]
+    rows = [(i, " ".join(rng.choices(vocabulary, range(1, 21), k=rng.randint(1, 30)) + [f"only{i}"] * (i % 3))) for i in range(60)] + [(60, "!"), (None, "ab cd ab")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(40)], "doc_id long, toxic int")
+    counts = [Counter(hashed(t)) for _, t in rows]
+    holding = Counter(t for c in counts for t in c)
+    weights = [{t: (1 + np.log(n)) * (np.log((len(rows) + 1) / (holding[t] + 1)) + 1) for t, n in c.items()} for c in counts]
+    known = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    norm = lambda x: np.sqrt(sum(w * w for w in x.values()))
+    got = {r.doc_id: r for r in toxicity(docs, labels).collect()}
+    for k, (doc, _) in enumerate(rows):
+        cosines = sorted((sum(w * weights[e].get(t, 0) for t, w in weights[k].items()) / norm(weights[k]) / norm(weights[e]) for e in known if weights[k]), reverse=True)
+        assert np.allclose([e.similarity for e in got[doc].evidence], cosines[:3])
+        assert all(e.label == int(e.doc_id % 4 == 0) for e in got[doc].evidence)
+    assert len(got[None].evidence) == 3 and not got[60].evidence
