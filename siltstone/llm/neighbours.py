@@ -29,7 +29,7 @@ LIST_SIZE = 128
 #: Least sampled vectors of a list.
 LIST_SAMPLE = 8
 DEGREE, LONG_LINKS, ENTRIES = 20, 4, 64
-#: Lists kept while a vector or a query searches the graph.
+#: Lists kept while a vector or a query searches the graph; a query with more lists within its ratio measures all.
 REPLICA_BEAM, QUERY_BEAM = 32, 96
 REPLICAS = 8
 #: How much farther than the nearest centroid those of other lists may be: for a vector's replicas, for queries.
@@ -135,7 +135,14 @@ def _chosen(lists: Lists, vectors: np.ndarray, beam: int, ratio: float, most: in
             hidden = (take[:, :k] & (np.sqrt(np.maximum(2 - 2 * between, 0)) < distance[:, k, None])).any(axis=1)
             take[:, k] &= ~hidden & (take[:, :k].sum(axis=1) < (most or k + 1))
     row, at = np.nonzero(take)
-    return row, ids[row, at]
+    ids = ids[row, at]
+    if not spread and beam < len(lists.centroids):  # the beam ends within the ratio: all lists are measured
+        further = np.flatnonzero(take.all(axis=1))
+        every = np.sqrt(np.maximum(2 - 2 * (vectors[further] @ lists.centroids.T), 0))
+        more, number = np.nonzero(every <= ratio * every.min(axis=1, keepdims=True) + 1e-12)
+        kept = ~take.all(axis=1)[row]
+        row, ids = np.concatenate([row[kept], further[more]]), np.concatenate([ids[kept], number])
+    return row, ids
 
 
 # --- on Spark

@@ -97,3 +97,15 @@ def test_short_answers_look_everywhere(spark, monkeypatch):
     data = [(i, np.eye(8)[i % 8] + np.full(8, 0.001 * i)) for i in range(24)]
     got = found(nearest(spark.createDataFrame([(i, v.tolist()) for i, v in data], "vec_id long, embedding array<double>"), F.col("vec_id") % 5 == 0, query_ratio=1.0))
     assert all(len(x) == 5 for x in got.values()) and len(got) == 5
+
+
+def test_all_lists_within_ratio():
+    """However many lists lie within the ratio of a query, it visits all of them."""
+    rng = np.random.default_rng(11)
+    x = neighbours._unit(rng.normal(size=(40_000, 64)))
+    lists = lay_out(x, 40_000)
+    row, number = neighbours._chosen(lists, x[:50], neighbours.QUERY_BEAM, neighbours.QUERY_RATIO, None, False)
+    distance = np.sqrt(2 - 2 * (x[:50] @ lists.centroids.T))
+    want = set(zip(*map(np.ndarray.tolist, np.nonzero(distance <= neighbours.QUERY_RATIO * distance.min(axis=1, keepdims=True))), strict=True))
+    assert max(np.bincount(row)) > neighbours.QUERY_BEAM and len(row) == len(set(zip(row.tolist(), number.tolist(), strict=True)))
+    assert len(want & set(zip(row.tolist(), number.tolist(), strict=True))) >= 0.999 * len(want)
