@@ -198,13 +198,15 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group, with all its columns.
+    """The row with the smallest id of each near-duplicate group, with all its columns.
 
-    Where several rows have that id, one of them stays.
+    Null ids are the largest; where several rows of a group have the smallest id, one of them stays.  Ids say
+    nothing else: rows of one id in different groups all stay.  The rows are written once to the shared folder,
+    with keys of their own.
     """
-    found = near_duplicates(docs)
-    kept = stage(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n")), "kept-ids")
-    names = kept.select(F.col("doc_id").alias("kept_id"))
-    # the ids grow with the documents, so they are never broadcast; hashing them spares sorting the texts
-    out = docs.join(names.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return out.dropDuplicates(["doc_id"]) if kept.where("n > 1").limit(1).count() else out
+    keyed = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+    order = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
+    found = near_duplicates(keyed.withColumn("__key", order), doc_id="__key")
+    kept = stage(found.where("doc_id.row = component_id.row").select(F.col("doc_id.row").alias("__row")), "kept-rows")
+    # the rows grow with the documents, so they are never broadcast; hashing them spares sorting the texts
+    return keyed.join(kept.hint("shuffle_hash"), "__row", "left_semi").drop("__row")

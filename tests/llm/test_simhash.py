@@ -130,3 +130,14 @@ def test_empty_and_stage(spark, rows):
     docs = spark.createDataFrame([(1, "a b c d", "s"), (2, "a b c d", "s"), (1, "a b c d", "s"), (3, "other words of this", "s"), (None, "none at all", "t")], "doc_id long, text string, source string")
     assert [r[0] for r in rows(simhash.keep_first(docs))] == [1, 3, None]
     assert simhash.keep_first(docs).columns == docs.columns
+
+
+def test_keep_first_by_row(spark):
+    """Null and repeated ids: one row of each group of texts stays, whatever its id."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "pqrs")
+    data = [(None, a), (None, b), (None, b), (1, c), (None, c), (2, c), (2, d), (3, d), (5, a + " "), (7, b), (7, " ".join(f"t{i}" for i in range(60)))]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = sorted((r.doc_id, r.text[0]) for r in simhash.keep_first(docs).collect())
+    assert got == [(1, "r"), (2, "s"), (5, "p"), (7, "q"), (7, "t")]
+    got = sorted(r.text[0] for r in simhash.keep_first(docs.where("doc_id is null")).collect())
+    assert got == ["p", "q", "r"]
