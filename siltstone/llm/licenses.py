@@ -1,7 +1,7 @@
 """License notices: an exact set-similarity join of text blocks with license templates.
 
-A block is 64 words of a text, beginning at every 32nd, so any run of 33 words lies within one.  It meets a template
-when it holds at least the threshold share of the template's different words.  Tokens are ordered by how
+A block is 64 words of a text, beginning at every 32nd, so any run of 33 words lies within one; with longer templates
+both grow, so that any run as long as the longest does.  It meets a template when it holds at least the threshold share of the template's different words.  Tokens are ordered by how
 often they occur in all documents, rarest first.  Whoever meets a template shares one of its rarest tokens, as
 many as may be missing and one more: only blocks with one of those are built (prefix filter).  Blocks with
 too few template words are left out (length filter), and so are pairs whose remaining tokens in that order
@@ -98,9 +98,11 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", te
     1 with a phrase, else the largest containment, else 0.
 
     Null and empty texts have no words and no labels.  Repeated rows and null ids are kept.  Other columns are
-    ignored.  A template has at most 33 words.  Runs jobs: narrow rows are written once to the shared folder.
+    ignored.  Runs jobs: narrow rows are written once to the shared folder.
     """
     spark = docs.sparkSession
+    step = max([STEP, *(len(x.split()) - 1 for x, _ in templates)])
+    block = BLOCK // STEP * step
     vocabulary = sorted({t for x, _ in templates for t in x.split()})
     order = token_order(docs, vocabulary, text)
     ranked = _templates(order, templates, threshold)
@@ -110,8 +112,8 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", te
 
     ws = F.col("words")
     at = F.array_compact(F.transform(ws, lambda w, i: F.when(w.isin(prefixes), i)))
-    near = F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(F.floor(i / STEP).cast("int"), F.floor(i / STEP).cast("int") - 1))))
-    held = lambda b: F.array_sort(F.transform(F.array_intersect(F.slice(ws, b * STEP + 1, F.lit(BLOCK)), F.array(*map(F.lit, vocabulary))), lambda t: rank[t]))
+    near = F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(F.floor(i / step).cast("int"), F.floor(i / step).cast("int") - 1))))
+    held = lambda b: F.array_sort(F.transform(F.array_intersect(F.slice(ws, b * step + 1, F.lit(block)), F.array(*map(F.lit, vocabulary))), lambda t: rank[t]))
     blocks = F.transform(F.filter(near, lambda b: b >= 0), lambda b: F.struct(b.alias("block"), held(b).alias("tokens")))
     blocks = F.filter(blocks, lambda b: F.size(b["tokens"]) >= min(t.least for t in ranked))
     n_words = F.size(ws).cast("long")

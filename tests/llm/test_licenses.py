@@ -57,3 +57,11 @@ def test_no_python(spark):
 def test_sql(spark):
     sf_dir = "/root/testdata/sf0.01"
     assert check(spark, connect(sf_dir), op4_license_scan, OP4_SQL, sf_dir) == 1000
+
+
+def test_long_templates(spark):
+    """A template of any length is met wherever it stands."""
+    notices = [(" ".join(f"{x}{i}" for i in range(size)), x) for x, size in (("a", 5), ("b", 50), ("c", 200))]
+    docs = spark.createDataFrame([(f"{label} {first}", "x " * first + text + " y" * 20) for text, label in notices for first in range(0, 64, 7)], "doc_id string, text string")
+    got = license_scan(docs, templates=notices, phrases=PHRASES).collect()
+    assert len(got) == 30 and all(r.labels == [r.doc_id[0]] and r.score == 1.0 for r in got)
