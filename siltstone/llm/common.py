@@ -80,6 +80,27 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, sep: np.ndarray) -> tuple[
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
+def text_pieces(data: np.ndarray, sep: np.ndarray, carried: int = 0, piece_bytes: int = 4 * STEP_BYTES) -> Iterator[tuple[np.ndarray, int]]:
+    """One text in pieces that end between words, and how many of a piece's words the one before has had: the
+    last `carried`, or fewer where there are fewer.  A word longer than a piece makes its piece longer."""
+    first = begin = known = 0
+    while True:
+        end = begin + piece_bytes
+        while end < len(data):
+            window = np.flatnonzero(sep[data[end : end + piece_bytes]])
+            if len(window):
+                end += int(window[0])
+                break
+            end += piece_bytes
+        if end >= len(data):
+            yield data[first:], known
+            return
+        yield data[first:end], known
+        starts, _, _ = word_spans(data[first:end], np.array([0, end - first]), sep)
+        known = min(carried, len(starts))
+        first, begin = (first + int(starts[len(starts) - known]) if known else end), end
+
+
 def row_bounds(rows: np.ndarray, n: int) -> np.ndarray:
     """Of ascending row numbers, where each of the n rows starts; n + 1 entries."""
     return np.searchsorted(rows, np.arange(n + 1))

@@ -7,6 +7,7 @@ from siltstone.llm.licenses import OP4_SQL, op4_license_scan
 from siltstone.llm.neighbours import op2_nearest_neighbours
 from siltstone.llm.packing import op1_best_fit_packing
 from siltstone.llm.quality import op9_quality_classifier
+from siltstone.llm.resampling import OP13_SQL, op13_importance_resampling
 from siltstone.llm.secrets import OP5_SQL, op5_secret_scan
 from siltstone.llm.simhash import op7_simhash_near_dedup
 from siltstone.llm.substrings import OP3_SQL, op3_substring_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE: dict[str, str] = {
@@ -32,4 +34,5 @@ ORACLE: dict[str, str] = {
     "op5_secret_scan": OP5_SQL,
     "op6_warc": OP6_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
+    "op13_importance_resampling": OP13_SQL,
 }
