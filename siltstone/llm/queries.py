@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from siltstone.llm.audit import OP11_SQL, op11_filter_audit
 from siltstone.llm.decontaminate import OP10_SQL, op10_benchmark_decontamination
 from siltstone.llm.licenses import OP4_SQL, op4_license_scan
 from siltstone.llm.neighbours import op2_nearest_neighbours
@@ -12,6 +13,7 @@ from siltstone.llm.secrets import OP5_SQL, op5_secret_scan
 from siltstone.llm.simhash import op7_simhash_near_dedup
 from siltstone.llm.substrings import OP3_SQL, op3_substring_dedup
 from siltstone.llm.toxicity import op8_toxicity
+from siltstone.llm.urls import OP12_SQL, op12_url_filters
 from siltstone.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
@@ -25,6 +27,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_url_filters": op12_url_filters,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
@@ -34,5 +38,7 @@ ORACLE: dict[str, str] = {
     "op5_secret_scan": OP5_SQL,
     "op6_warc": OP6_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
+    "op11_filter_audit": OP11_SQL,
+    "op12_url_filters": OP12_SQL,
     "op13_importance_resampling": OP13_SQL,
 }
