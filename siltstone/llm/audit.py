@@ -1,9 +1,10 @@
 """How filters act on each other: what each removes, given which others came before it, over all orders.
 
 Words are counted in a sparse document-term matrix in compressed rows.  A task cuts its documents to shards of some
-megabytes of text and numbers the words of each shard; the shards' vocabularies, far smaller than the texts, are
-joined with one dictionary of all words, which gives each column of a shard its number in the whole matrix.  The
-sums of the matrix's rows are the numbers of words, their non-zero entries the numbers of different words.
+megabytes of text and numbers the words of each shard.  The shards' vocabularies, far smaller than the texts, are
+dealt by slices of a hash of the words; each slice numbers its words in one dictionary, and the numbers go back to
+the shards, whose columns they are in the whole matrix.  The sums of the matrix's rows are the numbers of words,
+their non-zero entries the numbers of different words.
 
 Which filters a document fails is a pattern of bits.  Documents are counted by pattern, part and label first; the
 effect of every filter in every order follows from these few counts.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from siltstone.llm.common import SPACES, table, text_bytes, text_pieces, word_spans
+from siltstone.llm.common import SPACES, byte_hash, table, text_bytes, text_pieces, word_spans
 from siltstone.sources.stage import stage
 
 FILTERS = "ABCDE"
@@ -40,8 +41,8 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.DictionaryArray, n
     return words.dictionary_encode(), rows
 
 
-def _shard(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """Row bounds, columns, counts and vocabulary of the texts of one shard."""
+def _shard(data: np.ndarray, offsets: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Row bounds, columns, counts and vocabulary of the texts of one shard; the vocabulary by slices, with their bounds."""
     n = len(offsets) - 1
     if n == 1:
         found = [_words(piece, np.array([0, len(piece)])) for piece, _ in text_pieces(data, SPACES)]
@@ -49,13 +50,20 @@ def _shard(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         found = [_words(data, offsets)]
     chunks = pa.chunked_array([w.cast(pa.dictionary(pa.int32(), pa.string())) for w, _ in found]).unify_dictionaries().chunks
     vocabulary = chunks[0].dictionary
-    cells = np.concatenate([np.zeros(0, np.int64), *[rows.astype(np.int64) * max(len(vocabulary), 1) + c.indices.to_numpy() for c, (_, rows) in zip(chunks, found, strict=True)]])
+    letters, bounds = text_bytes(vocabulary)
+    sliced = (byte_hash(letters, bounds[:-1], bounds[1:]) % np.uint64(slices)).astype(np.int64)
+    order = np.argsort(sliced, kind="stable")
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    width = max(len(order), 1)
+    cells = np.concatenate([np.zeros(0, np.int64), *[rows.astype(np.int64) * width + number[c.indices.to_numpy()] for c, (_, rows) in zip(chunks, found, strict=True)]])
     cells, counts = np.unique(cells, return_counts=True)
-    rows, columns = np.divmod(cells, max(len(vocabulary), 1))
-    return np.searchsorted(rows, np.arange(n + 1)), columns, counts, vocabulary
+    rows, columns = np.divmod(cells, width)
+    return np.searchsorted(rows, np.arange(n + 1)), columns, counts, vocabulary.take(pa.array(order)), np.searchsorted(sliced[order], np.arange(slices + 1))
 
 
-_SHARDS = {"indptr": T.ArrayType(T.IntegerType()), "indices": T.ArrayType(T.IntegerType()), "counts": T.ArrayType(T.IntegerType()), "words": T.ArrayType(T.StringType())}
+_INTS = T.ArrayType(T.IntegerType())
+_SHARDS = {"indptr": _INTS, "indices": _INTS, "counts": _INTS, "words": T.ArrayType(T.ArrayType(T.StringType()))}
 
 
 def _list(values: pa.Array) -> pa.ListArray:
@@ -68,8 +76,10 @@ Measure = Callable[[np.ndarray, np.ndarray], np.ndarray]
 def shards(docs: DataFrame, carry: list[str], text: str = "text", measures: dict[str, Measure] | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Compressed rows of the words (runs of anything but ASCII white space) of each shard: `shard`, `docs` (a struct
     a row, of the columns `carry` and of the `measures`, whole numbers a text), `indptr`, `indices`, `counts`
-    and `words`, the words that the indices number.  Null texts are empty rows.  No row of `docs` is left out."""
+    and `words`, the words that the indices number, in as many slices as shuffles have partitions.  Null texts are
+    empty rows.  No row of `docs` is left out."""
     measures = measures or {}
+    slices = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     narrow = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     kind = T.StructType([*narrow.schema["row"].dataType.fields, *[T.StructField(m, T.LongType()) for m in measures]])
     schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("docs", T.ArrayType(kind)), *[T.StructField(c, t) for c, t in _SHARDS.items()]])
@@ -77,11 +87,11 @@ def shards(docs: DataFrame, carry: list[str], text: str = "text", measures: dict
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         for part, data, offsets in _of_bytes(batches, shard_bytes):
-            indptr, indices, counts, words = _shard(data, offsets)
+            indptr, indices, counts, words, bounds = _shard(data, offsets, slices)
             row = part.column("row")
             values = [*row.flatten(), *[pa.array(measure(data, offsets).astype(np.int64)) for measure in measures.values()]]
             rows = pa.StructArray.from_arrays(values, fields=list(to_arrow_type(kind)))
-            columns = [pa.array([number]), _list(rows), *[_list(pa.array(x.astype(np.int32))) for x in (indptr, indices, counts)], _list(words)]
+            columns = [pa.array([number]), _list(rows), *[_list(pa.array(x.astype(np.int32))) for x in (indptr, indices, counts)], _list(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), words))]
             yield pa.RecordBatch.from_arrays([c.cast(to_arrow_type(f.dataType)) for c, f in zip(columns, schema, strict=True)], names=schema.names)
             number += 1
 
@@ -113,26 +123,38 @@ def _of_bytes(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[pa
         yield joined()
 
 
+def _numbered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers of the words of each row, from one dictionary a slice; rows come by slice."""
+    current, known = None, {}
+    for batch in batches:
+        out = {"shard": [], "slice": [], "numbers": [], "first": [], "new": []}
+        for shard, at, words in zip(*[batch.column(c).to_pylist() for c in ("shard", "slice", "words")], strict=True):
+            if at != current:
+                current, known = at, {}
+            first = len(known)
+            numbers = [known.setdefault(w, len(known)) for w in words]
+            new = [w for w, n in zip(words, numbers, strict=True) if n >= first]
+            for name, value in zip(out, (shard, at, numbers, first, new), strict=True):
+                out[name].append(value)
+        yield pa.RecordBatch.from_pydict(out, pa.schema([("shard", pa.int64()), ("slice", pa.int32()), ("numbers", pa.list_(pa.int64())), ("first", pa.int64()), ("new", pa.list_(pa.string()))]))
+
+
 def term_matrix(cut: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Written `shards` as shards of one matrix, and its dictionary.
 
-    The dictionary has each `word` of all texts once with its `id`, from 0 without gaps.  The matrix has `shard`,
-    `docs`, `indptr`, `indices` (ids) and `counts`.  A shard's vocabulary brings each word once however often it
-    stands there, so a word that is everywhere comes once a shard.  Runs jobs.
+    The dictionary has each `word` of all texts once with its `id`; slices are of about one size, so hardly any
+    numbers are left out.  The matrix has `shard`, `docs`, `indptr`, `indices` (ids) and `counts`.  A shard's
+    vocabulary brings each word once however often it stands there, so a word that is everywhere comes once a
+    shard.  A task holds the different words of one slice.
     """
-    spark = cut.sparkSession
-    words = cut.select("shard", F.posexplode("words").alias("at", "word"))
-    numbered = stage(words.select("word").distinct().withColumn("number", F.monotonically_increasing_id()), "words")
-    parts = numbered.groupBy(F.shiftright("number", 33).alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()  # as many as partitions
-    before, firsts = 0, []
-    for p in parts:
-        firsts.append((p["part"], before))
-        before += p["n"]
-    known = F.broadcast(spark.createDataFrame(firsts, "part long, before long"))
-    ids = numbered.withColumn("part", F.shiftright("number", 33)).join(known, "part")
-    dictionary = stage(ids.select("word", (F.col("before") + F.col("number").bitwiseAND(F.lit((1 << 33) - 1))).alias("id")), "dictionary")
-    renumbered = words.join(dictionary, "word").groupBy("shard").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "id"))), lambda x: x["id"]).alias("ids"))  # of one shard
-    joined = cut.drop("words").join(renumbered, "shard", "left")
+    words = cut.select("shard", F.posexplode("words").alias("slice", "words")).where(F.size("words") > 0)
+    slices = int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = words.repartition(slices, "slice").sortWithinPartitions("slice", "shard").mapInArrow(_numbered, "shard long, slice int, numbers array<long>, first long, new array<string>")
+    dictionary = numbered.select("slice", "first", F.posexplode("new").alias("at", "word")).select("word", ((F.col("first") + F.col("at")) * slices + F.col("slice")).alias("id"))
+    ids = F.transform("numbers", lambda n: n * slices + F.col("slice"))
+    renumbered = numbered.select("shard", "slice", ids.alias("ids")).groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("slice", "ids"))).alias("parts"))  # of one shard
+    renumbered = renumbered.select("shard", F.flatten("parts.ids").alias("ids"))
+    joined = cut.drop("words").join(renumbered.hint("shuffle_hash"), "shard", "left")  # which spares sorting the rows of the matrix
     matrix_type = T.StructType([cut.schema["shard"], cut.schema["docs"], cut.schema["indptr"], T.StructField("indices", T.ArrayType(T.LongType())), cut.schema["counts"]])
 
     def named(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,9 +248,9 @@ def audit(failed: DataFrame, labels: DataFrame, good: Column, toxic: Column, fil
         before = 0
         for k, letter in enumerate(order):
             bit = 1 << filters.index(letter)
-            steps.append(F.struct(F.lit("".join(order)).alias("filter_order"), F.lit(k + 1).alias("step"), F.lit(bit).alias("bit"), F.lit(before).alias("before")))
+            steps.append(f"struct('{''.join(order)}' AS filter_order, {k + 1} AS step, {bit} AS bit, {before} AS before)")
             before |= bit
-    each = patterns.select("part", "fails", "n", "n_good", "n_toxic", F.explode(F.array(*steps)).alias("s")).select("*", "s.*")
+    each = patterns.select("part", "fails", "n", "n_good", "n_toxic", F.expr(f"inline(array({', '.join(steps)}))"))
     earlier = F.col("fails").bitwiseAND(F.col("before")) != 0
     here = F.col("fails").bitwiseAND(F.col("bit")) != 0
 

@@ -87,7 +87,7 @@ def test_matrix(spark, data, shard_bytes):
     docs, _ = frames(spark, *data)
     matrix, dictionary = term_matrix(shards(docs, ["doc_id", "shard"], shard_bytes=shard_bytes))
     names = {r.id: r.word for r in dictionary.collect()}
-    assert sorted(names) == list(range(len(names))) and len(set(names.values())) == len(names)
+    assert dictionary.count() == len(names) == len(set(names.values()))
     got = []
     for s in matrix.collect():
         for k, row in enumerate(s.docs):
