@@ -17,6 +17,7 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,7 +64,7 @@ def _shard(data: np.ndarray, offsets: np.ndarray, slices: int) -> tuple[np.ndarr
 
 
 _INTS = T.ArrayType(T.IntegerType())
-_SHARDS = {"indptr": _INTS, "indices": _INTS, "counts": _INTS, "words": T.ArrayType(T.ArrayType(T.StringType()))}
+_SHARDS = {"indptr": _INTS, "gaps": _INTS, "counts": _INTS, "words": T.ArrayType(T.StringType())}
 
 
 def _list(values: pa.Array) -> pa.ListArray:
@@ -75,9 +76,9 @@ Measure = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 def shards(docs: DataFrame, carry: list[str], text: str = "text", measures: dict[str, Measure] | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Compressed rows of the words (runs of anything but ASCII white space) of each shard: `shard`, `docs` (a struct
-    a row, of the columns `carry` and of the `measures`, whole numbers a text), `indptr`, `indices`, `counts`
-    and `words`, the words that the indices number, in as many slices as shuffles have partitions.  Null texts are
-    empty rows.  No row of `docs` is left out."""
+    a row, of the columns `carry` and of the `measures`, whole numbers a text), `indptr`, `gaps` (each index less
+    the one before, small numbers that pack well), `counts` and `words`, the words that the indices number, one text of
+    words with a space between them for each of as many slices as shuffles have partitions.  Null texts are empty rows.  No row of `docs` is left out."""
     measures = measures or {}
     slices = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     narrow = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
@@ -91,7 +92,7 @@ def shards(docs: DataFrame, carry: list[str], text: str = "text", measures: dict
             row = part.column("row")
             values = [*row.flatten(), *[pa.array(measure(data, offsets).astype(np.int64)) for measure in measures.values()]]
             rows = pa.StructArray.from_arrays(values, fields=list(to_arrow_type(kind)))
-            columns = [pa.array([number]), _list(rows), *[_list(pa.array(x.astype(np.int32))) for x in (indptr, indices, counts)], _list(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), words))]
+            columns = [pa.array([number]), _list(rows), *[_list(pa.array(x.astype(np.int32))) for x in (indptr, np.diff(indices, prepend=0), counts)], _list(pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), words), " "))]
             yield pa.RecordBatch.from_arrays([c.cast(to_arrow_type(f.dataType)) for c, f in zip(columns, schema, strict=True)], names=schema.names)
             number += 1
 
@@ -123,20 +124,30 @@ def _of_bytes(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[pa
         yield joined()
 
 
-def _numbered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers of the words of each row, from one dictionary a slice; rows come by slice."""
-    current, known = None, {}
-    for batch in batches:
-        out = {"shard": [], "slice": [], "numbers": [], "first": [], "new": []}
-        for shard, at, words in zip(*[batch.column(c).to_pylist() for c in ("shard", "slice", "words")], strict=True):
-            if at != current:
-                current, known = at, {}
-            first = len(known)
-            numbers = [known.setdefault(w, len(known)) for w in words]
-            new = [w for w, n in zip(words, numbers, strict=True) if n >= first]
-            for name, value in zip(out, (shard, at, numbers, first, new), strict=True):
-                out[name].append(value)
-        yield pa.RecordBatch.from_pydict(out, pa.schema([("shard", pa.int64()), ("slice", pa.int32()), ("numbers", pa.list_(pa.int64())), ("first", pa.int64()), ("new", pa.list_(pa.string()))]))
+def _numbered(with_words: bool) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Numbers of the words of each row, from one dictionary a slice; rows come by slice.  Or, `with_words`, the words
+    that no row of the slice before has, and the number of the first."""
+
+    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, known = None, {}
+        for batch in batches:
+            numbers, firsts, new = [], [], []
+            for at, words in zip(batch.column("slice").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                if at != current:
+                    current, known = at, {}
+                firsts.append(len(known))
+                words = words.split(" ")
+                numbers.append(np.array([known.setdefault(w, len(known)) for w in words], np.int32))
+                if with_words:
+                    new.append([w for w, n in zip(words, numbers[-1].tolist(), strict=True) if n >= firsts[-1]])
+            if with_words:
+                yield pa.RecordBatch.from_arrays([batch.column("slice"), pa.array(firsts, pa.int64()), pa.array(new, pa.list_(pa.string()))], names=["slice", "first", "new"])
+            else:
+                bounds = pa.array(np.cumsum([0, *map(len, numbers)]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(bounds, pa.array(np.concatenate([np.zeros(0, np.int32), *numbers])))
+                yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("slice"), lists], names=["shard", "slice", "numbers"])
+
+    return number
 
 
 def term_matrix(cut: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -147,13 +158,15 @@ def term_matrix(cut: DataFrame) -> tuple[DataFrame, DataFrame]:
     vocabulary brings each word once however often it stands there, so a word that is everywhere comes once a
     shard.  A task holds the different words of one slice.
     """
-    words = cut.select("shard", F.posexplode("words").alias("slice", "words")).where(F.size("words") > 0)
+    words = cut.select("shard", F.posexplode("words").alias("slice", "words")).where("words <> ''")
     slices = int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbered = words.repartition(slices, "slice").sortWithinPartitions("slice", "shard").mapInArrow(_numbered, "shard long, slice int, numbers array<long>, first long, new array<string>")
-    dictionary = numbered.select("slice", "first", F.posexplode("new").alias("at", "word")).select("word", ((F.col("first") + F.col("at")) * slices + F.col("slice")).alias("id"))
-    ids = F.transform("numbers", lambda n: n * slices + F.col("slice"))
-    renumbered = numbered.select("shard", "slice", ids.alias("ids")).groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("slice", "ids"))).alias("parts"))  # of one shard
-    renumbered = renumbered.select("shard", F.flatten("parts.ids").alias("ids"))
+    dealt = words.repartition(slices, "slice").sortWithinPartitions("slice", "shard")
+    new = dealt.mapInArrow(_numbered(True), "slice int, first long, new array<string>").select("slice", "first", F.posexplode("new").alias("at", "word"))
+    dictionary = new.select("word", ((F.col("first") + F.col("at")) * slices + F.col("slice")).alias("id"))
+    numbered = dealt.mapInArrow(_numbered(False), "shard long, slice int, numbers array<int>")
+    parts = numbered.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("slice", "numbers"))).alias("parts"))  # of one shard
+    ids = F.transform("parts", lambda p: F.transform(p["numbers"], lambda n: n.cast("long") * slices + p["slice"]))
+    renumbered = parts.select("shard", F.flatten(ids).alias("ids"))
     joined = cut.drop("words").join(renumbered.hint("shuffle_hash"), "shard", "left")  # which spares sorting the rows of the matrix
     matrix_type = T.StructType([cut.schema["shard"], cut.schema["docs"], cut.schema["indptr"], T.StructField("indices", T.ArrayType(T.LongType())), cut.schema["counts"]])
 
@@ -162,7 +175,8 @@ def term_matrix(cut: DataFrame) -> tuple[DataFrame, DataFrame]:
             for k in range(batch.num_rows):
                 one = batch.slice(k, 1)
                 ids = one.column("ids").flatten()
-                indices = _list(ids.take(one.column("indices").flatten()) if len(ids) else pa.array([], pa.int64()))
+                at = np.cumsum(one.column("gaps").flatten().to_numpy(), dtype=np.int64)
+                indices = _list(pa.array(ids.to_numpy()[at] if len(at) else at))
                 columns = [one.column("shard"), one.column("docs"), one.column("indptr"), indices, one.column("counts")]
                 yield pa.RecordBatch.from_arrays([c.cast(to_arrow_type(f.dataType)) for c, f in zip(columns, matrix_type, strict=True)], names=matrix_type.names)
 
