@@ -8,52 +8,107 @@ join, so ``salted_join`` splits hot keys itself for these.
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql import types as T
 
 from siltstone.sources.stage import stage
 
 HOT_ROWS = 1_000_000  # rows of one key that fill a task
 BROADCAST_KEYS = 1_000_000  # hot keys to broadcast at most; more are joined
+TRACKED = 1 << 14  # keys that a sketch tracks at first: whole for 4.6 billion rows at a million rows a hot key
+MOST_TRACKED = 1_000_000
 
-
-def _keys_to_count(df: DataFrame, key: str, hot_rows: int, fraction: float) -> DataFrame:
-    """Keys with about ``hot_rows`` rows or more.  The sample decides only which keys are salted."""
-    seen = df.select(F.col(key).alias("__k")).where("__k is not null")
-    if fraction < 1.0:
-        seen = seen.sample(fraction, seed=11)
-    return seen.groupBy("__k").agg(F.count("*").alias("n")).where(F.col("n") >= hot_rows * fraction).select("__k")
+#: A sketch that tracks ``m`` keys of ``n`` rows misses no key with more than this times ``n / m`` rows.
+_MISSED = 3.5
+_SKETCHED = (T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_KEYS else df
 
 
-def hot_keys(left: DataFrame, right: DataFrame, left_on: str, right_on: str, hot_rows: int = HOT_ROWS,
-             fraction: float = 0.01) -> DataFrame:
-    """Hot keys of either side with their exact row counts on both: ``(__k, __nl, __nr)``, written once.
+class _Profile(NamedTuple):
+    """What one scan tells of a key column."""
 
-    There are at most ``rows / hot_rows`` of them a side, however many keys there are.
-    """
-    either = _keys_to_count(left, left_on, hot_rows, fraction).union(_keys_to_count(right, right_on, hot_rows, fraction))
-    keys = stage(either.distinct(), "hot_keys")
-    n = keys.count()
+    keys: DataFrame | None  # hot keys ``k`` with about their rows ``n``; None where there are none
+    n_keys: int
+    nulls: int
+
+
+def _counted(narrow: DataFrame, hot_rows: int) -> DataFrame:
+    """Counts of all keys, for types that no sketch takes."""
+    counts = narrow.groupBy("k").agg(F.count("*").alias("rows"))
+    items = F.collect_list(F.when(F.col("k").isNotNull() & (F.col("rows") >= hot_rows), F.struct(F.col("k").alias("item"), F.col("rows").alias("count"))))
+    return counts.agg(items.alias("items"), F.sum("rows").alias("n"), F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("rows"))), F.lit(0)).alias("nulls"))
 
-    def counted(df: DataFrame, key: str, name: str) -> DataFrame:
-        chosen = df.select(F.col(key).alias("__k")).join(_small(keys, n), "__k", "left_semi")
-        return chosen.groupBy("__k").agg(F.count("*").alias(name))
 
-    if not n:
-        return keys.select("__k", F.lit(0).cast("bigint").alias("__nl"), F.lit(0).cast("bigint").alias("__nr"))
-    both = counted(left, left_on, "__nl").join(counted(right, right_on, "__nr"), "__k", "full")
-    return stage(both.na.fill(0, ["__nl", "__nr"]), "hot_counts")
+def _sketched(narrow: DataFrame, hot_rows: int, tracked: int) -> DataFrame:
+    """Sketches of map tasks, merged in as many groups as shuffles have partitions, and these in one."""
+    spark = narrow.sparkSession
+    slices = spark.conf.get("spark.sql.shuffle.partitions")
+    parts = spark.sql(
+        f"SELECT approx_top_k_accumulate(k, {tracked}) FILTER (WHERE k IS NOT NULL) AS sketch, count(*) AS n, count_if(k IS NULL) AS nulls"
+        f" FROM {{keys}} GROUP BY spark_partition_id() % {slices}", keys=narrow)
+    # grouped by a constant, since an empty partition has no sketch to give
+    return spark.sql(
+        f"SELECT filter(approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {tracked}), x -> x.item IS NOT NULL AND x.count >= {hot_rows}) AS items,"
+        " sum(n) AS n, sum(nulls) AS nulls FROM {parts} GROUP BY n IS NULL", parts=parts)
 
 
-def _has_map(kind: DataType) -> bool:
-    if isinstance(kind, StructType):
+def _profile(df: DataFrame, key: str, hot_rows: int, tracked: int = TRACKED) -> _Profile:
+    """Hot keys and NULLs of a column, in one scan.
+
+    A frequent-items sketch combines map-side and merges to one row, so no key is shuffled.  It may count a key a
+    little too high, but reports only keys that are there.  Should the frame turn out too large for what is
+    tracked, the scan is repeated once with a sketch of the right size.
+    """
+    narrow = df.select(F.col(f"`{key}`").alias("k"))
+    if not isinstance(narrow.schema["k"].dataType, _SKETCHED):
+        found = stage(_counted(narrow, hot_rows), "key_counts")
+    else:
+        found = stage(_sketched(narrow, hot_rows, tracked), "key_sketch")
+    facts = found.select("n", "nulls", F.size("items").alias("n_keys")).first()
+    if facts is None or facts["n"] is None:
+        return _Profile(None, 0, 0)
+    needed = min(1 << math.ceil(math.log2(max(_MISSED * facts["n"] / hot_rows, 1))), MOST_TRACKED)
+    if needed > tracked and isinstance(narrow.schema["k"].dataType, _SKETCHED):
+        return _profile(df, key, hot_rows, needed)
+    keys = found.select(F.explode("items").alias("x")).select(F.col("x.item").alias("k"), F.col("x.count").alias("n")) if facts["n_keys"] else None
+    return _Profile(keys, facts["n_keys"], facts["nulls"])
+
+
+class Skew(NamedTuple):
+    """Hot keys of two sides, ``(__k, __nl, __nr)`` with about their rows on each side, 0 where a key is not hot
+    there; their number at most; and the NULL keys of each side."""
+
+    keys: DataFrame | None
+    n_keys: int
+    left_nulls: int
+    right_nulls: int
+
+
+def key_skew(left: DataFrame, right: DataFrame, left_on: str, right_on: str, hot_rows: int = HOT_ROWS) -> Skew:
+    """Keys with ``hot_rows`` rows or more on either side, from one scan of each side's key column."""
+    lhs, rhs = _profile(left, left_on, hot_rows), _profile(right, right_on, hot_rows)
+    zero = F.lit(0).cast("bigint")
+    sides = []
+    if lhs.keys is not None:
+        sides.append(lhs.keys.select(F.col("k").alias("__k"), F.col("n").alias("__nl"), zero.alias("__nr")))
+    if rhs.keys is not None:
+        sides.append(rhs.keys.select(F.col("k").alias("__k"), zero.alias("__nl"), F.col("n").alias("__nr")))
+    if not sides:
+        return Skew(None, 0, lhs.nulls, rhs.nulls)
+    either = sides[0] if len(sides) == 1 else sides[0].union(sides[1])
+    keys = stage(either.groupBy("__k").agg(F.max("__nl").alias("__nl"), F.max("__nr").alias("__nr")), "hot_keys")
+    return Skew(keys, lhs.n_keys + rhs.n_keys, lhs.nulls, rhs.nulls)
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
         return any(_has_map(f.dataType) for f in kind.fields)
-    return isinstance(kind, MapType) or isinstance(kind, ArrayType) and _has_map(kind.elementType)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
 
 
 def _slot(df: DataFrame, slices: Column) -> Column:
@@ -63,35 +118,33 @@ def _slot(df: DataFrame, slices: Column) -> Column:
     return F.pmod(F.xxhash64(*content, F.spark_partition_id()), slices)
 
 
-def _null_slices(df: DataFrame, key: str, hot_rows: int) -> int:
-    """NULL keys never match, so they may go anywhere: as many places as they fill."""
-    return math.ceil(df.where(F.col(f"`{key}`").isNull()).count() / hot_rows)
-
-
 def salted_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, how: str = "full",
-                hot_rows: int = HOT_ROWS, fraction: float = 0.01, hot: DataFrame | None = None) -> DataFrame:
+                hot_rows: int = HOT_ROWS, hot: DataFrame | None = None) -> DataFrame:
     """``left.join(right, left_on == right_on, how)`` for ``inner``, ``left`` and ``full``, with hot keys split.
 
     A key with ``n`` rows on one side is cut into ``ceil(n / hot_rows)`` slices, and the
     other side's rows of that key are copied to each slice, so every matching pair meets in one cell.
-    A copied row may find its own cell empty although the key matches in another; exact counts of the
-    hot keys tell these false outer rows from true ones.  NULL keys are spread likewise.  Without hot keys
-    this is one plain join.  ``hot`` gives hot keys and their counts, as ``hot_keys`` does, where they are
-    known.  Runs jobs that read the key columns of both sides, so pass written frames or cheap ones.
+    A copied row may find its own cell empty although the key matches in another.  Rows are copied only where
+    their key is hot on the other side, and such a key is surely there, so an unmatched copy is never a true outer
+    row.  NULL keys are spread over as many places as they fill.  Without hot keys this is one plain join.
+    ``hot`` gives hot keys with their rows, as ``key_skew`` does, where they are known.  Runs jobs that read the
+    key column of either side once.
     """
     if how not in ("inner", "left", "full"):
         raise ValueError(f"unsupported join type: {how}")
     if hot is None:
-        hot = hot_keys(left, right, left_on, right_on, hot_rows, fraction)
-    n_hot = hot.count()
+        hot, n_hot, left_nulls, right_nulls = key_skew(left, right, left_on, right_on, hot_rows)
+    else:
+        n_hot = hot.count()
+        left_nulls, right_nulls = (0 if how == "inner" else df.where(F.col(f"`{c}`").isNull()).count() for df, c in ((left, left_on), (right, right_on)))
     # only a full join keeps NULL keys of its right side; an inner join keeps none
-    left_nulls = _null_slices(left, left_on, hot_rows) if how != "inner" else 0
-    right_nulls = _null_slices(right, right_on, hot_rows) if how == "full" else 0
+    left_nulls = math.ceil(left_nulls / hot_rows) if how != "inner" else 0
+    right_nulls = math.ceil(right_nulls / hot_rows) if how == "full" else 0
     if not n_hot and max(left_nulls, right_nulls) <= 1:
         lhs, rhs = left.withColumn("__left_key", F.col(f"`{left_on}`")), right.withColumn("__right_key", F.col(f"`{right_on}`"))
         return lhs.join(rhs, F.col("__left_key") == F.col("__right_key"), how).drop("__left_key", "__right_key")
 
-    plan = hot.select(
+    plan = None if not n_hot else hot.select(
         "*",
         F.greatest(F.ceil(F.col("__nl") / hot_rows), F.lit(1)).alias("__sl"),
         F.greatest(F.ceil(F.col("__nr") / hot_rows), F.lit(1)).alias("__sr"),

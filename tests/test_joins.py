@@ -2,8 +2,11 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from compare import plan_text, staged_plans
+from siltstone.operators import joins
 from siltstone.operators.hierarchy import Hierarchy, hierarchy_rollup
 from siltstone.operators.joins import dimension_join, duplicate_keys, parent_lookup, salted_join
+from siltstone.sources.stage import scratch_path
 
 KEYS = st.lists(st.sampled_from([None, 1, 1, 1, 1, 2, 3, 4, 5]), max_size=30)
 
@@ -15,7 +18,7 @@ KEYS = st.lists(st.sampled_from([None, 1, 1, 1, 1, 2, 3, 4, 5]), max_size=30)
 def test_salted_join_equals_plain_join(spark, rows, how, hot_rows, left, right):
     a = spark.createDataFrame([(k, i) for i, k in enumerate(left)], "k int, a int")
     b = spark.createDataFrame([(k, i) for i, k in enumerate(right)], "r int, b int")
-    got = salted_join(a, b, "k", "r", how, hot_rows=hot_rows, fraction=1.0)
+    got = salted_join(a, b, "k", "r", how, hot_rows=hot_rows)
     assert rows(got) == rows(a.join(b, a["k"] == b["r"], how))
 
 
@@ -23,15 +26,50 @@ def test_salted_join_splits_copies_and_one_sided_hot_keys(spark, rows):
     a = spark.createDataFrame([("x", i % 40) for i in range(300)] + [("only left", 1)] * 20 + [("y", 0)], "k string, a int")
     b = spark.createDataFrame([("x", 1), ("x", 2), ("only right", 5), ("y", 7)] + [("z", i) for i in range(50)], "r string, b int")
     for how in ("inner", "left", "full"):
-        got = salted_join(a, b, "k", "r", how, hot_rows=10, fraction=1.0)
+        got = salted_join(a, b, "k", "r", how, hot_rows=10)
         assert rows(got) == rows(a.join(b, a["k"] == b["r"], how))
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "full"])
+def test_one_scan_a_side_finds_the_hot_keys(spark, rows, how):
+    """Besides the join itself, each source is scanned once: for hot keys, their rows and NULLs."""
+    left, right = scratch_path(spark, "left"), scratch_path(spark, "right")
+    spark.range(0, 3000, 1, 4).selectExpr("CASE WHEN id % 3 = 0 THEN 'x' WHEN id % 3 = 1 THEN concat('k', id) END AS k", "id AS a").write.parquet(left)
+    spark.range(0, 40, 1, 2).selectExpr("CASE WHEN id < 20 THEN 'x' WHEN id < 30 THEN concat('k', id * 3 + 1) END AS r", "id AS b").write.parquet(right)
+    a, b = spark.read.parquet(left), spark.read.parquet(right)
+    with staged_plans() as plans:
+        joined = salted_join(a, b, "k", "r", how, hot_rows=100)
+    for key, rest in (("k:string", "a:bigint"), ("r:string", "b:bigint")):
+        assert "".join(plans).count(f"ReadSchema: struct<{key}>") == 1 and "".join(plans).count(f"struct<{key},") == 0
+        assert plan_text(joined).count(f"ReadSchema: struct<{key},{rest}>") == 1
+    assert "sketch" in "".join(plans)
+    assert rows(joined) == rows(a.join(b, a["k"] == b["r"], how))
+
+
+def test_a_sketch_that_is_too_small_is_grown(spark, monkeypatch):
+    """No key of the given size stays hidden, however many others there are."""
+    many = spark.range(0, 60_000, 1, 4).selectExpr("CASE WHEN id % 60 < 2 THEN -(id % 6) ELSE id END AS k")
+    found = joins._profile(many, "k", 300, tracked=32)
+    counts = {r.k: r["count"] for r in many.groupBy("k").count().where("count >= 300").collect()}
+    assert counts and {r.k: r.n for r in found.keys.collect()} == counts
+    assert found.nulls == 0 and found.n_keys == len(counts)
+
+
+@pytest.mark.parametrize("kind", ["binary", "decimal(12,2)", "date", "boolean", "timestamp", "double", "struct<x:int>"])
+def test_hot_keys_of_any_type(spark, kind):
+    value = {"date": "date_add(DATE '2024-01-01', cast(id % 2 as int))", "boolean": "id % 2 = 0", "timestamp": "timestamp_seconds(id % 2)", "struct<x:int>": "struct(cast(id % 2 as int) AS x)", "binary": "cast(concat('b', id % 2) as binary)"}.get(kind, f"cast(id % 2 as {kind})")
+    df = spark.range(0, 101, 1, 3).selectExpr(f"CASE WHEN id < 100 THEN {value} END AS k", "id AS a")
+    other = df.selectExpr("k AS r", "a AS b")
+    assert joins._profile(df, "k", 50).n_keys == 2 and joins._profile(df, "k", 51).n_keys == 0
+    joined = salted_join(df, other.where("b < 2 OR b = 100"), "k", "r", "full", hot_rows=20)
+    assert joined.count() == 102 and joined.where("a IS NOT NULL AND b IS NOT NULL").count() == 100
+
+
 def test_copies_of_one_row_are_spread(spark):
     """Equal rows of a hot key do not all land in one partition."""
     copies = spark.range(0, 4000, 1, 8).select(F.lit("x").alias("k"), F.lit(1).alias("a"))
     one = spark.createDataFrame([("x", 7)], "r string, b int")
-    joined = salted_join(copies, one, "k", "r", "full", hot_rows=100, fraction=1.0)
+    joined = salted_join(copies, one, "k", "r", "full", hot_rows=100)
     assert joined.count() == 4000
     plan = joined.select("a", "b")._jdf.queryExecution().executedPlan().toString()
     assert "spark_partition_id" in plan.lower()
@@ -89,13 +127,13 @@ def test_every_hot_key_is_split(spark, rows):
     """Two hundred keys, all over the limit of a task: no partition gets a whole one."""
     many = spark.range(0, 200 * 60, 1, 8).select((F.col("id") % 200).alias("k"), F.col("id").alias("a"))
     other = spark.range(200).select(F.col("id").alias("r"), (F.col("id") * 2).alias("b"))
-    joined = salted_join(many, other, "k", "r", "full", hot_rows=10, fraction=1.0)
+    joined = salted_join(many, other, "k", "r", "full", hot_rows=10)
     assert rows(joined) == rows(many.join(other, many["k"] == other["r"], "full"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "64")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        split = salted_join(many, other, "k", "r", "full", hot_rows=10, fraction=1.0)
+        split = salted_join(many, other, "k", "r", "full", hot_rows=10)
         where = split.select("k", F.spark_partition_id().alias("part")).groupBy("k").agg(F.countDistinct("part").alias("places"))
         assert where.count() == 200 and where.where("places < 2").count() == 0
     finally:
@@ -107,7 +145,7 @@ def test_every_hot_key_is_split(spark, rows):
 def test_null_keys_are_spread_by_their_number(spark):
     nulls = spark.range(0, 1000, 1, 8).select(F.lit(None).cast("int").alias("k"), F.col("id").alias("a"))
     none = spark.createDataFrame([], "r int, b int")
-    split = salted_join(nulls, none, "k", "r", "full", hot_rows=100, fraction=1.0)
+    split = salted_join(nulls, none, "k", "r", "full", hot_rows=100)
     plan = split._jdf.queryExecution().optimizedPlan().toString()
     assert split.count() == 1000 and "__i" in plan
     assert "__i" not in salted_join(nulls, none, "k", "r", "full", hot_rows=1000)._jdf.queryExecution().optimizedPlan().toString()
@@ -118,7 +156,7 @@ def test_salted_join_with_maps_and_dotted_names(spark, hot_rows):
     a = spark.createDataFrame([(1, {"x": 1}, [{"y": 2}]), (1, None, None), (1, {}, []), (None, {"z": 3}, None)], "k int, m map<string,int>, l array<map<string,int>>").withColumnRenamed("m", "a.m")
     b = spark.createDataFrame([(1, 5), (2, 6), (None, 7)], "r int, v int").withColumnRenamed("v", "b.v")
     for how, n in (("inner", 3), ("left", 4), ("full", 6)):
-        joined = salted_join(a, b, "k", "r", how, hot_rows=hot_rows, fraction=1.0)
+        joined = salted_join(a, b, "k", "r", how, hot_rows=hot_rows)
         assert joined.columns == ["k", "a.m", "l", "r", "b.v"] and joined.count() == n
 
 
