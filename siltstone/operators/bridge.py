@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltstone.functions.address import COLUMNS, standardize
 from siltstone.operators.joins import HOT_ROWS, salted_join
+from siltstone.sources.files import exists
 from siltstone.sources.stage import stage
 
 
@@ -22,6 +23,51 @@ def address_table(column: str, *frames: DataFrame) -> DataFrame:
     return standardize(distinct_addresses(column, *frames), column).select(column, *COLUMNS)
 
 
+class AddressDictionary:
+    """Standard forms of all addresses met so far, kept under ``root``: each is parsed once, however many rows and
+    runs bring it.
+
+    One row per distinct address, with the MD5 of its text as ``address_key``.  A run looks its addresses up by
+    the key, sixteen bytes whatever the text, and appends those that are new.  One run at a time may add.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, address: str = "clean_address"):
+        self.spark, self.root, self.address = spark, root, address
+
+    def _key(self):
+        return F.unhex(F.md5(F.col(self.address).cast("binary"))).alias("address_key")
+
+    def add(self, *frames: DataFrame) -> int:
+        """Parse the addresses of the frames that are not known yet; how many these were."""
+        met = distinct_addresses(self.address, *frames).where(F.col(self.address).isNotNull()).select(self.address, self._key())
+        if exists(self.spark, f"{self.root}/_SUCCESS"):
+            met = met.join(self._rows().select("address_key"), "address_key", "left_anti")
+        unseen = stage(met, "unseen_addresses")
+        n = unseen.count()
+        if n:
+            parsed = standardize(unseen, self.address).select("address_key", self.address, *COLUMNS)
+            parsed.write.mode("append").parquet(self.root)
+        return n
+
+    def _rows(self) -> DataFrame:
+        return self.spark.read.parquet(self.root)
+
+    def read(self) -> DataFrame:
+        """All known addresses, as ``address_table`` gives them."""
+        return self._rows().select(self.address, *COLUMNS)
+
+    def of(self, *frames: DataFrame) -> DataFrame:
+        """The address table of the frames, as ``address_table`` gives it; what is not known yet is added first."""
+        self.add(*frames)
+        met = distinct_addresses(self.address, *frames).withColumnRenamed(self.address, "__met")
+        if not exists(self.spark, f"{self.root}/_SUCCESS"):  # nothing but NULLs so far
+            return address_table(self.address, *frames)
+        known = self._rows().drop(self.address)
+        found = met.join(known, F.unhex(F.md5(F.col("__met").cast("binary"))) == F.col("address_key"), "left")
+        standard = [F.coalesce(c, F.lit("")).alias(c) if c == "mapped_address" else F.col(c) for c in COLUMNS]
+        return found.select(F.col("__met").alias(self.address), *standard)
+
+
 def with_standard_address(df: DataFrame, address: str, bridge: DataFrame | None = None) -> DataFrame:
     """Replace the address column by ``mapped_address``.
 

@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
+from siltstone.operators.bridge import AddressDictionary
 from siltstone.operators.match import exact_match, fuzzy_match, unmatched
 from siltstone.plans import commercial, party
 from siltstone.sources.stage import staging
@@ -19,7 +20,8 @@ class Curated:
     ``raw`` maps ``"<system>.<raw table>"`` (see ``siltstone.plans.raw``) to DataFrames, plus
     ``landing.opportunityteammember`` and ``landing.user``.  A dataset is built when first asked for
     and reads its siblings as attributes, so the attribute accesses are the dependency graph and each
-    dataset is built once.
+    dataset is built once.  With ``addresses``, a dictionary kept from run to run, only addresses that no run has met
+    yet are parsed.
     """
 
     TABLES = {
@@ -33,8 +35,8 @@ class Curated:
         "opportunity_team_member": "Members of opportunity teams with names",
     }
 
-    def __init__(self, raw: Mapping[str, DataFrame]):
-        self.raw = raw
+    def __init__(self, raw: Mapping[str, DataFrame], addresses: AddressDictionary | None = None):
+        self.raw, self.addresses = raw, addresses
 
     def store(self, name: str, target: str, catalog_name: str | None = None) -> DataFrame:
         """Write one dataset; datasets built later read the stored form.
@@ -44,7 +46,8 @@ class Curated:
         before = set(self.__dict__)
         with staging() as drop:
             built = getattr(self, name)
-            stored = materialize(built, target, catalog_name, "curated", self.TABLES.get(name))
+            order = party.account_order() if name == "account" else ()
+            stored = materialize(built, target, catalog_name, "curated", self.TABLES.get(name), order_by=order)
             drop(built.sparkSession)
         for other in set(self.__dict__) - before:
             del self.__dict__[other]
@@ -134,6 +137,8 @@ class Curated:
 
     @cached_property
     def location(self) -> DataFrame:
+        if self.addresses is not None:
+            return self.addresses.of(self.control_sites, self.erp_locations)
         return commercial.location(self.control_sites, self.erp_locations)
 
     @cached_property
@@ -174,7 +179,8 @@ class Curated:
 
     @cached_property
     def site(self) -> DataFrame:
-        return commercial.site(self.erp_sites, self.control_sites)
+        bridge = None if self.addresses is None else self.addresses.of(self.control_sites, self.erp_locations)
+        return commercial.site(self.erp_sites, self.control_sites, bridge)
 
     @cached_property
     def opportunity_team_member(self) -> DataFrame:

@@ -103,8 +103,8 @@ def account(matched: DataFrame, erp: DataFrame, hot_rows: int = HOT_ROWS) -> Dat
     """Matched accounts joined to the ERP's customers, with one id and one name per row.
 
     An ERP customer without an account is dropped when its category is Prospect, and also when the
-    category is NULL: the negated condition is then NULL, not true.  Rows come in no order; ``ACCOUNT_ORDER``
-    is the order for writing them.
+    category is NULL: the negated condition is then NULL, not true.  Rows come in no order; ``account_order()``
+    is the order that ``Curated.store`` writes them in.
     """
     kept = matched.select(
         "sf_account_id", "sf_account_name", "pc_customer_id", "pc_customer_name", "ifs_customer_no", "parent_id",
