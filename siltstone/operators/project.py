@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 
+#: What a landed row that does not fit its columns brings along: its whole text, and the file it stands in.
+MALFORMED, FILE = "_malformed", "_file"
+
+
 class Field(NamedTuple):
     source: str
     target: str
@@ -41,8 +45,9 @@ def _value(field: Field) -> Column:
 
 
 def project(df: DataFrame, spec: str) -> DataFrame:
-    """Select, rename and cast the listed columns.  A value that does not fit its type becomes NULL."""
-    return df.select(*[_value(f).alias(f.target) for f in fields(spec)])
+    """Select, rename and cast the listed columns.  A value that does not fit its type becomes NULL.  What tells
+    malformed rows apart, if there, is kept beside them."""
+    return df.select(*[_value(f).alias(f.target) for f in fields(spec)], *[c for c in (MALFORMED, FILE) if c in df.columns])
 
 
 def rejected_cells(df: DataFrame, spec: str) -> DataFrame:

@@ -1,8 +1,10 @@
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from siltstone.functions.address import COLUMNS, standardize
 from siltstone.operators.bridge import address_bridge, address_table
+from siltstone.sources.stage import scratch_path
 
 
 def mapped(spark, texts):
@@ -84,3 +86,23 @@ def test_bridge_forms_agree(spark, rows):
             assert rows(address_bridge(left, right, "addr", bridge, True, hot_rows).select("mapped_address", "a", "b")) == want
     unblanked = rows(address_bridge(left, right, "addr").select("mapped_address", "a", "b"))
     assert [r for r in unblanked if r[0] == ""] == [("", 2, None), ("", None, 12)]
+
+
+def test_dictionary_parses_each_address_once(spark, rows, monkeypatch):
+    from siltstone.operators import bridge
+
+    left = spark.createDataFrame([("1 Main St, Dayton, OH 12345",), ("1 Main St, Dayton, OH 12345",), (None,), ("",)], "clean_address string")
+    right = spark.createDataFrame([("1 MAIN STREET, DAYTON, OH, 12345",), ("2 Oak Ave, Austin, TX 78701",), ("",)], "clean_address string")
+    known = bridge.AddressDictionary(spark, scratch_path(spark, "addresses"))
+    assert rows(known.of(left.where("clean_address is null"))) == rows(bridge.address_table("clean_address", left.where("clean_address is null")))
+    assert known.add(left) == 2 and known.add(left) == 0
+    assert known.add(left, right) == 2
+    assert known.read().count() == 4
+    parsed = []
+    monkeypatch.setattr(bridge, "standardize", lambda *a: parsed.append(a) or 1 / 0)
+    again = known.of(left, right)
+    assert not parsed
+    monkeypatch.undo()
+    assert rows(again) == rows(bridge.address_table("clean_address", left, right))
+    bridged = lambda *extra: bridge.address_bridge(left.withColumn("l", F.lit(1)), right.withColumn("r", F.lit(2)), "clean_address", *extra)
+    assert rows(bridged(known.read())) == rows(bridged())

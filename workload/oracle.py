@@ -73,7 +73,16 @@ ORACLE = {
             try_cast(CASE WHEN o_orderkey % 9 = 1 THEN 'one' ELSE CAST(o_orderkey % 100 AS VARCHAR) END AS INT) AS rank
         FROM orders""",
     "ingest_csv_stream": f"{CSV_ORDERS}, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS creation_date FROM orders",
+    "ingest_archived": f"{CSV_ORDERS}, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS creation_date FROM orders",
+    "csv_rejects": """
+        WITH cells AS (SELECT o_orderkey, o_totalprice, o_orderpriority, o_orderkey % 10 AS last,
+            concat_ws(',', o_orderkey, CAST(o_totalprice AS DECIMAL(12,2))) AS short FROM orders)
+        SELECT CASE WHEN last NOT IN (3, 7) THEN o_orderkey END AS order_key,
+            CASE WHEN last NOT IN (3, 7) THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) END AS cf_kw,
+            CASE WHEN last NOT IN (3, 7) THEN o_orderpriority END AS priority,
+            CASE last WHEN 3 THEN short WHEN 7 THEN concat_ws(',', short, o_orderpriority, 'more') END AS row FROM cells""",
     "refresh_full_vs_incremental": f"{CSV_ORDERS}, 'incremental' AS mode FROM orders UNION ALL {CSV_ORDERS}, 'full' AS mode FROM orders",
+    "materialize_ranges": "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders",
     "materialize_roundtrip": "SELECT s_suppkey AS supplier_id, s_name, s_nationkey, s_acctbal FROM supplier",
     "view_reuse": """
         WITH view AS (SELECT * FROM customer WHERE c_acctbal < 1000),
@@ -163,6 +172,8 @@ ORACLE = {
         r AS (SELECT site_id, mapped_address FROM right_streets JOIN std USING (clean_address))
         SELECT coalesce(l.mapped_address, r.mapped_address) AS mapped_address, location_id, site_id
         FROM l FULL JOIN r ON nullif(l.mapped_address, '') = r.mapped_address""",
+    "address_dictionary": f"""WITH {STREETS}, {EXPECTED}
+        SELECT clean_address, address_line_1, address_line_2, std_city AS city, std_state AS state, postal_code, mapped_address FROM std""",
     "map_extract": """
         WITH s AS (SELECT p_partkey, p_name, string_split(p_name, ' ') AS w FROM part)
         SELECT p_partkey, p_name, CASE WHEN w[1] <> 'old' THEN w[1] END AS size, CASE WHEN w[1] <> 'old' THEN w[2] ELSE p_name END AS noun,

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from siltstone.functions.columns import bool_text, hashed_id, joined_text, parse_bool, sentinel_to_null, surrogate_key, survivorship
 from siltstone.functions.udf import map_parser, parse_distinct
 from siltstone.operators import match
-from siltstone.operators.bridge import address_bridge, address_table
+from siltstone.operators.bridge import AddressDictionary, address_bridge, address_table
 from siltstone.operators.cdc import scd1_batch
 from siltstone.operators.hierarchy import Hierarchy, attach_owner, hierarchy_rollup, resolved_owner
 from siltstone.operators.joins import dimension_join, parent_lookup, salted_join
@@ -214,6 +214,14 @@ def materialize_roundtrip(spark, d):
     )
 
 
+def materialize_ranges(spark, d):
+    """Orders stored in ranges of their priority and price, twice; the second version is read by its path."""
+    path, orders = scratch_path(spark, "orders"), table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    for rows in (orders.where("o_orderkey % 2 = 0"), orders):
+        materialize(rows, path, order_by=[F.desc("o_orderpriority"), "o_totalprice"])
+    return read_table(spark, path)
+
+
 def _orders_as_csv(orders: DataFrame, path: str) -> None:
     orders.select(
         F.col("o_orderkey").alias("OrderKey"), F.col("o_totalprice").alias("CF$_KW"), F.col("o_orderpriority").alias("PRIORITY"),
@@ -239,6 +247,30 @@ def ingest_csv_stream(spark, d):
     return landing.read().withColumn("creation_date", F.col("creation_date").cast("string"))
 
 
+def ingest_archived(spark, d):
+    """As ``ingest_csv_stream``, in three drops; each run moves the files of the one before to an archive."""
+    drop, archive = scratch_path(spark, "orders-csv"), scratch_path(spark, "orders-archive")
+    orders, landing = table(spark, d, "orders"), LandingTable(spark, scratch_path(spark, "orders"))
+    for status in "FOP":
+        _orders_as_csv(orders.where(F.col("o_orderstatus") == status), drop)
+        landing.run(project(csv_stream(spark, drop, archive=archive), ORDER_FILE))
+    return landing.read().withColumn("creation_date", F.col("creation_date").cast("string"))
+
+
+def csv_rejects(spark, d):
+    """Orders as CSV files in which a tenth of the rows lacks a field and a tenth has one too many: good rows land
+    typed, the others whole among the rejects."""
+    drop, fields_ = scratch_path(spark, "orders-csv"), ["OrderKey", "CF$_KW", "PRIORITY"]
+    cells = [F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("decimal(12,2)").cast("string"), F.col("o_orderpriority")]
+    last = F.col("o_orderkey") % 10
+    line = F.when(last == 3, F.concat_ws(",", *cells[:2])).when(last == 7, F.concat_ws(",", *cells, F.lit("more"))).otherwise(F.concat_ws(",", *cells))
+    # a separator that no line has, so that lines are written as they are
+    table(spark, d, "orders").select(line.alias(",".join(fields_))).write.option("header", True).option("sep", "\u0001").csv(drop)
+    stream = csv_stream(spark, drop, ", ".join(f"`{c}` string" for c in fields_), keep_malformed=True)
+    landing = LandingTable(spark, scratch_path(spark, "orders")).run(project(stream, "OrderKey : bigint\nCF$_KW : double\nPRIORITY : string"))
+    return landing.read().unionByName(landing.rejects().select("row"), allowMissingColumns=True)
+
+
 def refresh_full_vs_incremental(spark, d):
     """Two file drops: an incremental run after each, against one full refresh at the end."""
     drop, orders = scratch_path(spark, "orders-csv"), table(spark, d, "orders")
@@ -390,6 +422,14 @@ def address_standardize(spark, d):
     return address_table("clean_address", *_streets(spark, d))
 
 
+def address_dictionary(spark, d):
+    """The address table out of a dictionary that has met the addresses of one side before."""
+    left, right = _streets(spark, d)
+    known = AddressDictionary(spark, scratch_path(spark, "addresses"))
+    known.add(left)
+    return known.of(left, right)
+
+
 def address_bridge_(spark, d):
     return address_bridge(*_streets(spark, d), "clean_address")
 
@@ -498,8 +538,11 @@ QUERIES = {
     "scan_project": scan_project,
     "typed_projection": typed_projection,
     "ingest_csv_stream": ingest_csv_stream,
+    "ingest_archived": ingest_archived,
+    "csv_rejects": csv_rejects,
     "refresh_full_vs_incremental": refresh_full_vs_incremental,
     "materialize_roundtrip": materialize_roundtrip,
+    "materialize_ranges": materialize_ranges,
     "view_reuse": view_reuse,
     "schema_contract": lambda spark, d: _as_text(schema_contract(spark, d)),
     "sql_over_dataframes": sql_over_dataframes,
@@ -529,6 +572,7 @@ QUERIES = {
     "ordered_output": ordered_output,
     "address_concat": address_concat,
     "address_standardize": address_standardize,
+    "address_dictionary": address_dictionary,
     "address_bridge": address_bridge_,
     "map_extract": map_extract,
     "parse_bool": parse_bool_,
