@@ -1,12 +1,13 @@
 """Toxicity scores: votes of the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and their first four and five letters; how many documents hold each is counted over all.  A
-bounded sample of labelled documents are the examples, with all their terms, and a text's norm is taken over
-all of its own.  Products with every example are taken, of frequent terms as matrices and of others by inverted
-lists, and the best are computed again in full precision: the neighbours are exact.  In long prose a few telling
-words hardly move that cosine, so a second index has only the terms that tell the labels apart, and the nearest
-by these vote too.  Votes weighted by similarity are joined and calibrated on the examples' own votes, each
-without itself.
+Terms are words; how many documents hold each is counted over all.  A bounded sample of labelled documents are the
+examples, with all their terms, and a text's norm is taken over all of its own.  Examples stand in blocks of similar
+ones.  Rare terms are looked up in inverted lists of the examples.  Of a frequent term each block has its largest
+weight; what these and the lists add up to at most decides which blocks of a text are visited, the most promising
+first, then all that may still hold one of the nearest.  The best are computed again in full precision: the
+neighbours are exact.  In long prose a few telling words hardly move that cosine, so a second index has only the
+terms that tell the labels apart, and the nearest by these vote too.  Votes weighted by similarity are joined and
+calibrated on the examples' own votes, each without itself.
 """
 
 from __future__ import annotations
@@ -23,22 +24,25 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from siltstone.llm.common import LOWER, MARKS, mix, range_sums, steps, sums_hash, table, word_spans
+from siltstone.llm.common import LOWER, MARKS, range_sums, steps, sums_hash, table, word_spans
 from siltstone.llm.labelled import examples, fold, known
 from siltstone.sources.stage import stage
 
 #: Labelled documents in the index, with all their terms, and telling terms, at most.
 MAX_EXAMPLES = 8192
 MAX_TERMS = 1024
-#: Letters of the prefixes that are terms beside whole words.
-PREFIXES = (4, 5)
+#: Different terms of all examples together, at most; what comes after in the order of the examples is left out.
+MAX_ENTRIES = 4_000_000
 #: Least documents with a term, and least chi-square of its counts, for it to be chosen.
 LEAST_DOCS, LEAST_CHI2 = 4, 20.0
 #: Texts that are multiplied with the examples at once.
-TOGETHER = 128
-#: A term that one example in so many holds is a row of the matrix.
+TOGETHER = 64
+#: A term that one example in so many holds is frequent, and a row of the blocks' matrices.
 FREQUENT = 16
+#: Examples of a block, and blocks that are visited before any is ruled out.
+BLOCK, FIRST_BLOCKS = 32, 4
 NEIGHBOURS = 15
 FOLDS, HELD = 5, 0
 
@@ -50,17 +54,7 @@ def term_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     """Row and hash of every term of every text, repetitions included."""
     data = LOWER[data]
     starts, ends, rows = word_spans(data, offsets, MARKS)
-    if not len(starts):
-        return rows, np.zeros(0, np.uint64)
-    sums = range_sums(data)
-    found = [(rows, sums_hash(sums, starts, ends))]
-    letters = np.flatnonzero((data & 0xC0) != 0x80)
-    first = np.searchsorted(letters, starts)
-    count = np.searchsorted(letters, ends) - first
-    for size in PREFIXES:
-        long = np.flatnonzero(count > size)
-        found.append((rows[long], mix(sums_hash(sums, starts[long], letters[first[long] + size]) ^ np.uint64(size))))
-    return np.concatenate([r for r, _ in found]), np.concatenate([h for _, h in found])
+    return rows, sums_hash(range_sums(data), starts, ends) if len(starts) else np.zeros(0, np.uint64)
 
 
 def _counted(rows: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,18 +186,21 @@ class Index:
         return weights / np.repeat(np.sqrt(np.add.reduceat(weights**2, self.start[:-1])), sizes) if len(sizes) else weights
 
     @cached_property
-    def parts(self) -> tuple[np.ndarray, ...]:
-        """Rows of the matrix by term (-1: none), the matrix, and the lists of the other terms.  Built where it is used."""
-        example = np.repeat(np.arange(len(self.label)), np.diff(self.start))
-        frequent = np.bincount(self.term, minlength=len(self.idf)) * FREQUENT > len(self.label)
+    def parts(self) -> tuple:
+        """Rows of the frequent terms by term (-1: none), their matrix, the largest weight of each in each block, and
+        the lists of the other terms.  Built where it is used."""
+        n = len(self.label)
+        example = np.repeat(np.arange(n), np.diff(self.start))
+        frequent = np.bincount(self.term, minlength=len(self.idf)) * FREQUENT > n
         row = np.where(frequent, np.cumsum(frequent) - 1, -1)
-        matrix = np.zeros((int(frequent.sum()), len(self.label)), np.float32)
+        matrix = np.zeros((int(frequent.sum()), n), np.float32)
         some = frequent[self.term]
         matrix[row[self.term[some]], example[some]] = self.weight[some]
+        largest = np.maximum.reduceat(matrix, np.arange(0, n, BLOCK), axis=1)
         order = np.flatnonzero(~some)
         order = order[np.argsort(self.term[order], kind="stable")]
         at = np.searchsorted(self.term[order], np.arange(len(self.idf) + 1))
-        return row, matrix, at, example[order], self.weight[order]
+        return row, matrix, largest, at, example[order], self.weight[order]
 
     def weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return (1 + np.log(counts)) * self.idf[terms]
@@ -213,32 +210,64 @@ class Index:
         weights = self.weights(terms, counts)
         return weights / np.sqrt((weights**2).sum() + rest)
 
+    def _scores(self, texts: list[tuple[np.ndarray, np.ndarray]], queries: list[np.ndarray], k: int) -> tuple[np.ndarray, float]:
+        """Cosines of every text with the examples of the blocks it visits, -1 for the others, in single precision; and
+        the share of blocks visited."""
+        n = len(self.label)
+        row, matrix, largest, at, example, weight = self.parts
+        which = np.repeat(np.arange(len(texts)), [len(t) for t, _ in texts])
+        terms = np.concatenate([t for t, _ in texts])
+        weights = np.concatenate(queries)
+        some = row[terms] >= 0
+        frequent = np.zeros((len(texts), len(matrix)), np.float32)
+        frequent[which[some], row[terms[some]]] = weights[some]
+        rare = ~some
+        sizes = at[terms[rare] + 1] - at[terms[rare]]
+        postings = _ranges(at[terms[rare]], sizes)
+        cells = np.repeat(which[rare] * n, sizes) + example[postings]
+        listed = np.bincount(cells, np.repeat(weights[rare], sizes) * weight[postings], len(texts) * n).reshape(len(texts), n)
+        firsts = np.arange(0, n, BLOCK)
+        bounds = frequent @ largest + np.maximum.reduceat(listed, firsts, axis=1)
+        scores = np.full((len(texts), n), -1.0)
+        visited = np.zeros(bounds.shape, bool)
+
+        def visit(wanted: np.ndarray) -> None:
+            for block in np.flatnonzero(wanted.any(axis=0)):
+                rows, its = np.flatnonzero(wanted[:, block]), slice(firsts[block], firsts[block] + BLOCK)
+                scores[rows, its] = frequent[rows] @ matrix[:, its] + listed[rows, its]
+            visited[wanted] = True
+
+        most = min(FIRST_BLOCKS, len(firsts))
+        best = np.argpartition(-bounds, most - 1, axis=1)[:, :most]
+        wanted = np.zeros(bounds.shape, bool)
+        np.put_along_axis(wanted, best, True, axis=1)
+        visit(wanted)
+        least = self._least(scores, k)
+        # no example of a block is better than its bound; what single precision moves is far below 1e-5
+        visit((bounds >= least[:, None] - 1e-5) & (bounds > 0) & ~visited)
+        return scores, visited.mean()
+
+    @staticmethod
+    def _least(scores: np.ndarray, k: int) -> np.ndarray:
+        """The score that one of the k nearest has at least; one more than k, as one may be left out."""
+        n = scores.shape[1]
+        return np.partition(scores, n - k - 1, axis=1)[:, n - k - 1] if n > k + 1 else np.full(len(scores), -1.0)
+
     def nearest_all(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For every text of terms and counts, examples with the largest cosine above 0, and the cosines as if it had
         no other terms; ties go to the example given first.  `without` are numbers of examples that take no part."""
         none = np.zeros(0, np.int64), np.zeros(0)
-        n = len(self.label)
-        if not n or not texts:
+        if not len(self.label) or not texts:
             return [none] * len(texts)
-        row, matrix, at, example, weight = self.parts
         queries = [self.weigh(t, c) if len(t) else np.zeros(0) for t, c in texts]
-        dense = np.zeros((len(texts), len(matrix)), np.float32)
-        for j, (its_terms, _) in enumerate(texts):
-            some = row[its_terms] >= 0
-            dense[j, row[its_terms[some]]] = queries[j][some]
-        products = dense @ matrix
+        scores, _ = self._scores(texts, queries, k)
+        least = self._least(scores, k) - 1e-5
         out, full = [], np.zeros(len(self.idf))
         for j, (its_terms, _) in enumerate(texts):
             if not len(its_terms):
                 out.append(none)
                 continue
-            some = row[its_terms] < 0
-            sizes = at[its_terms[some] + 1] - at[its_terms[some]]
-            postings = _ranges(at[its_terms[some]], sizes)
-            scores = np.bincount(example[postings], np.repeat(queries[j][some], sizes) * weight[postings], n) + products[j]
-            # what single precision may have moved is far below 1e-4; one more than k, as one may be left out
-            least = np.partition(scores, n - k - 1)[n - k - 1] - 1e-4 if n > k + 1 else 0
-            found = np.flatnonzero((scores >= least) & (scores > 0))
+            found = np.flatnonzero((scores[j] >= least[j]) & (scores[j] > 0))
             if without is not None:
                 found = found[self.number[found] != without[j]]
             full[its_terms] = queries[j]
@@ -260,11 +289,33 @@ class Index:
         return float((weights @ self.label[found] + 0.1 * self.blank) / (weights.sum() + 0.1))
 
 
+def _together(terms: list[np.ndarray], n_terms: int) -> np.ndarray:
+    """An order in which similar examples are neighbours: by the nearest of a few centres over frequent terms, found in
+    some rounds from examples spread over all, and within one by the number of terms."""
+    n = len(terms)
+    sizes = np.array([len(x) for x in terms])
+    rows, columns = np.repeat(np.arange(n), sizes), np.concatenate(terms)
+    frequent = np.bincount(columns, minlength=n_terms) * FREQUENT > n
+    some = frequent[columns]
+    matrix = np.zeros((n, int(frequent.sum())), np.float32)
+    matrix[rows[some], (np.cumsum(frequent) - 1)[columns[some]]] = 1
+    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
+    centres = matrix[np.linspace(0, n - 1, min(64, n)).astype(int)]
+    for _ in range(4):
+        nearest = np.argmax(matrix @ centres.T, axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, matrix)
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    return np.lexsort((sizes, nearest))
+
+
 def build(terms: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray, holding: np.ndarray, n_docs: int) -> Index:
     """`holding` is the number of documents, of `n_docs`, with each term."""
     idf = np.log((n_docs + 1) / (holding + 1)) + 1.0
     full = np.array([k for k, x in enumerate(terms) if len(x)], np.int64)
     blank = np.setdiff1d(np.arange(len(terms)), full)
+    if len(full):
+        full = full[_together([terms[k] for k in full], len(holding))]
     share = float((labels[blank].sum() + 1) / (len(blank) + 2)) if len(blank) else float((labels.sum() + 1) / (len(labels) + 2))
     index = Index(idf, np.cumsum([0, *(len(terms[k]) for k in full)]), np.zeros(0, np.int32), np.zeros(0, np.int32), labels[full], full, share)
     if len(full):
@@ -407,8 +458,8 @@ def toxicity(
     """`doc_id`, `score` from 0 to 1, and `evidence`: the nearest examples (doc_id, similarity, label) by the cosine
     of all terms, nearest first, of every row of `docs`.
 
-    Labels are learned outside the held-out fold only, from at most `most` labelled documents; null and
-    contradicting labels teach nothing.  A text that shares no term with any example, an empty or null one too,
+    Labels are learned outside the held-out fold only, from at most `most` labelled documents with at most
+    `MAX_ENTRIES` different terms together; null and contradicting labels teach nothing.  A text that shares no term with any example, an empty or null one too,
     has the share of 1 among examples without terms.  With no examples, or of one label, every score is the
     smoothed share of 1.  Repeated rows are kept; other columns are ignored.  Runs jobs: the examples' texts and
     vectors, and narrow rows of all documents, are written once to the shared folder.
@@ -418,7 +469,9 @@ def toxicity(
     texts = stage(examples(docs, chosen, doc_id, text), "example-texts")
     telling = choose_terms(texts)
     single = texts.groupBy("doc_id").agg(F.min(F.struct("label", "text")).alias("x")).select("doc_id", "x.*")
-    learned = hashed(single).withColumn("order", F.xxhash64("doc_id")).toArrow()
+    learned = stage(hashed(single).withColumn("order", F.xxhash64("doc_id")), "example-terms")
+    before = F.sum(F.size("hashes")).over(Window.orderBy("order", "doc_id"))  # of `most` rows
+    learned = learned.withColumn("before", before).where(F.col("before") <= MAX_ENTRIES).drop("before").toArrow()
     learned = learned.take(pa.compute.sort_indices(learned, [("order", "ascending"), ("doc_id", "ascending")])).combine_chunks()
     vocabulary = np.unique(learned.column("hashes").combine_chunks().flatten().to_numpy().view(np.uint64))
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))

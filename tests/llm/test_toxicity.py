@@ -18,9 +18,7 @@ def hashed(text):
 def test_terms():
     text = "Ab éèçàù-xyz ABCDE abcdefg  one"
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate({c: c + 32 for c in range(65, 91)}))
-    got = hashed(text)
-    assert len(got) == len(words) + sum(len(w) > 4 for w in words) + sum(len(w) > 5 for w in words)
-    assert hashed("abcdxx")[1] == hashed("abcdyyy")[1] and hashed("abcdx")[0] != hashed("abcd")[0]
+    assert len(hashed(text)) == len(words) == len(set(hashed(text)))
     assert hashed("ABCD é") == hashed("abcd é") and not hashed(" .;")
     whole = " ".join(["alpha beta", "gammas"])
     assert sorted(hashed(whole)) == sorted(hashed("alpha beta") + hashed("gammas"))
@@ -67,11 +65,10 @@ def test_chosen_terms(spark):
     for i in range(200):
         words = [rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(20)]
         if i % 4 == 0:
-            words.append(rng.choice(["nasty", "nastier"]))
+            words.append("nasty")
         rows.append((i, " ".join(words) + f" u{i}", int(i % 4 == 0)))
     chosen = choose_terms(spark.createDataFrame(rows, "doc_id long, text string, label int"))
-    prefix = (Counter(hashed("nasty")) & Counter(hashed("nastier"))).elements()
-    assert set(prefix) <= set(chosen.tolist())
+    assert set(hashed("nasty")) <= set(chosen.tolist())
     assert not set(hashed("alpha")) & set(chosen.tolist())
 
 
