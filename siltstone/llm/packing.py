@@ -9,37 +9,55 @@ from __future__ import annotations
 
 import bisect
 import os
-import struct
+import zlib
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.common import table, text_bytes
+from siltstone.llm.common import LOWER, SPACES, row_bounds, steps, table, text_pieces, word_spans
 from siltstone.sources.stage import stage
 
-#: Words and word pieces that a Python worker keeps with their ids; a full cache starts again.
-CACHE_WORDS = 300_000
 CAPACITY = 2048
+#: Bytes of text whose different word pieces are looked up together.
+TOGETHER_BYTES = 8 << 20
+#: Word pieces that a Python worker keeps with their ids; a full cache starts again.
+CACHE_PIECES = 500_000
 
 
 # --- tokens
 
+_SPACE, _LETTER, _DIGIT, _OTHER, _RARE = range(5)
 
-class WordIds(dict):
-    """Ids of each word between white space, packed as little-endian unsigned 32-bit numbers.
 
-    The vocabulary drops white space and its pieces never cross it, so the ids of a text are those of its
-    words in a row.  Words are encoded once and kept.  Words of the first 256 code points are cut into
-    pieces here; any other word goes through the tokenizer as a whole.
-    """
+def _kinds() -> np.ndarray:
+    """Kinds of bytes.  Rare ones are beyond ASCII, or white space to the vocabulary though not to `SPACES`."""
+    kinds = np.full(256, _RARE, np.uint8)
+    kinds[:0x80] = _OTHER
+    kinds[0x1C:0x20] = _RARE
+    kinds[SPACES] = _SPACE
+    kinds[ord("0") : ord("9") + 1] = _DIGIT
+    kinds[ord("a") : ord("z") + 1] = _LETTER
+    return kinds
+
+
+_KINDS = _kinds()
+#: What the vocabulary's split pattern takes off behind an apostrophe.
+_SHORT = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
+
 
-    # fixed values: the split pattern of the vocabulary file
-    PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+class WordIds:
+    """Ids of texts by a vocabulary that lower-cases, drops white space, and never crosses it with a piece.
+
+    Texts are cut as its split pattern does: runs of letters, single digits, runs of other characters, and the
+    short forms behind an apostrophe.  For letters of ASCII and Latin-1 that is done for all words at once; a word
+    with any other character, or with a special token, goes through the tokenizer whole.  Each different piece is
+    encoded once.
+    """
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -47,31 +65,76 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
         self.to_letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.pieces: dict[str, bytes] = {}
-
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode()
-        if "<|" in text or max(text) > "\xff":
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            packed = struct.pack(f"<{len(ids)}I", *ids)
-        else:
-            packed = b"".join([self.pieces.get(p) or self._piece(p) for p in self.PIECE.findall(text.lower())])
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = packed
-        return packed
+        self.known: dict[str, bytes] = {}
+        self.asked = self.missed = 0
 
     def _piece(self, piece: str) -> bytes:
         letters = piece if piece.isascii() and piece.isalnum() else self.to_letters.pre_tokenize_str(piece)[0][0]
-        ids = [token.id for token in self.model.tokenize(letters)]
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self.pieces) >= CACHE_WORDS:
-            self.pieces.clear()
-        self.pieces[piece] = packed
-        return packed
-
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        return np.array([token.id for token in self.model.tokenize(letters)], np.uint32).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def _cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """All pieces in a row, lower-cased; which are whole words of rare characters; and the row of each."""
+        low = LOWER[data]
+        kinds = _KINDS[low]
+        # two bytes of a letter of Latin-1, but for the signs of multiplication and division
+        lead = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)) if len(data) else np.zeros(0, np.int64)
+        capital = lead[data[lead + 1] < 0x9F]
+        low[capital + 1] += 0x20
+        kinds[lead] = kinds[lead + 1] = _LETTER
+        bars = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|"))) if len(data) else lead
+        kinds[bars] = _RARE
+        starts, ends, rows = word_spans(data, offsets, SPACES)
+        inside = kinds != _SPACE
+        place = np.cumsum(inside) - 1  # without the white space
+        low, kinds, plain = low[inside], kinds[inside], data[inside]
+        starts = place[starts] if len(starts) else starts
+        sizes = np.diff(starts, append=len(low))
+        rare = np.add.reduceat(kinds == _RARE, starts) > 0 if len(starts) else np.zeros(0, bool)
+        in_rare = np.repeat(rare, sizes)
+        first = np.ones(len(low), bool)
+        first[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)
+        first[starts] = True
+        last = np.repeat(starts + sizes, sizes)  # where the word of each byte ends
+        for mark in np.flatnonzero(first & (low == ord("'")) & ~in_rare):
+            size = next((len(x) for x in _SHORT if mark + len(x) < last[mark] and low[mark + 1 : mark + 1 + len(x)].tobytes() == x), 0)
+            if size:
+                first[mark + 1] = False
+                if mark + 1 + size < last[mark]:
+                    first[mark + 1 + size] = True
+        first[in_rare] = False
+        first[starts] = True
+        text = np.where(in_rare, plain, low)
+        at = np.flatnonzero(first)
+        bounds = np.append(at, len(text))
+        row = np.repeat(rows, sizes)[at] if len(at) else at
+        return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(text)]), in_rare[at], row
+
+    def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where those of each begin; one more bound than texts."""
+        pieces, rare, rows = self._cut(data, offsets)
+        pieces = pieces.dictionary_encode()
+        which = pieces.indices.to_numpy()
+        whole = np.zeros(len(pieces.dictionary), bool)
+        whole[which[rare]] = True
+        if len(self.known) + len(whole) > CACHE_PIECES:
+            self.known.clear()
+        found = []
+        for piece, is_word in zip(pieces.dictionary.to_pylist(), whole.tolist(), strict=True):
+            ids = self.known.get(piece)
+            if ids is None:
+                ids = self.known[piece] = self._word(piece) if is_word else self._piece(piece)
+                self.missed += 1
+            found.append(ids)
+        self.asked += len(which)
+        ids = np.frombuffer(b"".join(found), np.uint32)
+        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        sizes = n[which]
+        ends = np.cumsum(sizes)
+        places = np.repeat((np.cumsum(n) - n)[which] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return ids[places], np.concatenate([[0], ends])[row_bounds(rows, len(offsets) - 1)]
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -86,50 +149,50 @@ def _encoder(definition: str) -> WordIds:
     return _LOADED[key]
 
 
-def tokenize(docs: DataFrame, tokenizer: str, limit: int = CAPACITY, doc_id: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer: str, limit: int = CAPACITY, doc_id: str = "doc_id", text: str = "text", end_id: int = 0, with_ids: bool = True) -> DataFrame:
     """Pieces of at most `limit` tokens: `doc_id`, `piece` (from 0), `start` (the document's ids before it),
-    `length`, and `ids`, its token ids as little-endian unsigned 32-bit numbers.
+    `length`, `ids_crc32`, and `ids`, its token ids as little-endian unsigned 32-bit numbers, unless `with_ids` is
+    false.
 
     Every document ends with `end_id`, so a null or empty text is one piece of one token, and every row
     gives at least one piece.  Repeated rows and null ids are kept as they are.  Other columns of `docs` are
-    ignored.  An empty table gives no pieces.  `tokenizer` is the path of a vocabulary file on the driver;
-    its vocabulary must drop white space.
+    ignored.  An empty table gives no pieces.  A very long text is encoded in parts of some megabytes.
+    `tokenizer` is the path of a vocabulary file on the driver; its vocabulary must drop white space and have a
+    special token.
     """
     with open(tokenizer, encoding="utf-8") as file:
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    ending = struct.pack("<I", end_id)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(definition.value)
         for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            data = data.tobytes()
-            rows, pieces, starts, ids, held = [], [], [], [], 0
-
-            def flush():
-                return pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()),
-                     pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    names=["doc_id", "piece", "start", "length", "ids"],
-                )
-
-            for row in range(batch.num_rows):
-                packed = encoder.encode(data[offsets[row] : offsets[row + 1]]) + ending
-                for piece, at in enumerate(range(0, len(packed), 4 * limit)):
-                    rows.append(row)
-                    pieces.append(piece)
-                    starts.append(at // 4)
-                    ids.append(packed[at : at + 4 * limit])
-                held += len(packed)
-                if held > 1 << 22:
-                    yield flush()
-                    rows, pieces, starts, ids, held = [], [], [], [], 0
-            if rows:
-                yield flush()
-
-    return narrow.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids binary")
+            for part, data, offsets in steps(batch, step_bytes=TOGETHER_BYTES):
+                if part.num_rows == 1:
+                    ids = np.concatenate([encoder.texts(x, np.array([0, len(x)]))[0] for x, _ in text_pieces(data, SPACES)])
+                    bounds = np.array([0, len(ids)])
+                else:
+                    ids, bounds = encoder.texts(data, offsets)
+                # one more id at the end of each text
+                ids = np.insert(ids, bounds[1:], np.uint32(end_id)).astype("<u4")
+                bounds = bounds + np.arange(len(bounds))
+                pieces = -(-np.diff(bounds) // limit)
+                rows = np.repeat(np.arange(part.num_rows), pieces)
+                piece = np.arange(len(rows)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * limit
+                length = np.minimum(limit, np.diff(bounds)[rows] - start)
+                first = bounds[rows] + start
+                packed = memoryview(ids).cast("B")
+                parts = [packed[4 * a : 4 * b] for a, b in zip(first.tolist(), (first + length).tolist(), strict=True)]
+                columns = [part.column("doc_id").take(pa.array(rows)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array([zlib.crc32(x) for x in parts], pa.int64())]
+                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                if with_ids:
+                    held = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer((4 * np.append(first, len(ids))).astype(np.int32)), pa.py_buffer(ids)])
+                    columns, names = [*columns, held], [*names, "ids"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return narrow.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else ""))
 
 
 # --- plan
@@ -238,9 +301,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
-    """Digest of each piece and its place.  The ids themselves are `tokenize`'s; only narrow rows are packed."""
-    pieces = tokenize(docs, tokenizer, capacity)
-    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), capacity)
+    """Each piece with the CRC of its ids and its place.  The ids themselves are `tokenize`'s; only narrow rows are
+    packed.  Nulls, repeated rows, long texts and empty tables are as `tokenize` and `pack` have them."""
+    return pack(tokenize(docs, tokenizer, capacity, with_ids=False), capacity)
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

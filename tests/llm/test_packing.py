@@ -4,12 +4,14 @@ import struct
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from siltstone.llm.common import SPACES, text_pieces
 from siltstone.llm.packing import WordIds, best_fit, pack, pack_documents, tokenize
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -32,9 +34,27 @@ def direct(tokenizer, text):
 @settings(max_examples=20, deadline=None)
 def test_ids_of_any_text(words, texts):
     encoder, tokenizer = words
-    for text in texts:
-        packed = encoder.encode(text.encode())
-        assert list(struct.unpack(f"<{len(packed) // 4}I", packed)) == direct(tokenizer, text)[:-1]
+    data = "".join(texts).encode()
+    ids, bounds = encoder.texts(np.frombuffer(data, np.uint8), np.cumsum([0, *(len(t.encode()) for t in texts)]))
+    for k, text in enumerate(texts):
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == direct(tokenizer, text)[:-1]
+
+
+LETTERS = st.sampled_from([*"abstrevmldSTRÉéßñÀ×÷ÿ'.-,;:_<|> \n\x1c0129½ª日", "'s", "'ll", "'re", "<|endoftext|>", "<|ENDOFTEXT|>", "İ"])
+
+
+@given(st.lists(st.lists(LETTERS, max_size=60).map("".join), min_size=20, max_size=30))
+@settings(max_examples=60, deadline=None)
+def test_ids_of_pieces(words, texts):
+    test_ids_of_any_text.hypothesis.inner_test(words, texts)
+
+
+def test_texts_in_parts(words):
+    encoder, tokenizer = words
+    text = " ".join(f"Wörd{k}, isn't" for k in range(3000))
+    data = np.frombuffer(text.encode(), np.uint8)
+    parts = [encoder.texts(x, np.array([0, len(x)]))[0] for x, _ in text_pieces(data, SPACES, piece_bytes=500)]
+    assert len(parts) > 50 and np.concatenate(parts).tolist() == direct(tokenizer, text)[:-1]
 
 
 @given(st.dictionaries(st.integers(1, 50), st.integers(1, 400), max_size=50))
