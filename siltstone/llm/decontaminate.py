@@ -4,20 +4,23 @@ Benchmark items are normalised to word sequences.  Their windows are the automat
 numbers instead of characters, so a match always begins and ends with a word and the automaton has at most
 13 states a window.  Each text is read once; matched words are mapped back to places in the original text.
 
-Automata hold a bounded number of windows.  A benchmark beyond that is dealt to several, which scan one
-after the other; matches of all of them count together.
+Automata hold a bounded number of windows.  A benchmark beyond that is cut to blocks on Spark.  One block at a
+time reaches the driver and is sent to the executors, which scan the texts for it; only the narrow findings of
+the scans are brought together.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 from itertools import repeat
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +39,8 @@ MAX_WINDOWS = 100_000
 _NORMAL = np.where(MARKS, np.uint8(0x20), LOWER).astype(np.uint8).tobytes()
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
-_FOUND = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType()), T.StructField("item", T.StringType())]))
+#: An occurrence of a window: its words, its item, and its place in the text.
+_FOUND = T.ArrayType(T.StructType([*[T.StructField(c, T.LongType()) for c in ("first", "end", "start", "stop")], T.StructField("item", T.StringType())]))
 _RESULT = T.StructType([
     T.StructField("n_words", T.LongType()),
     T.StructField("n_hit", T.LongType()),
@@ -88,44 +92,59 @@ def _automaton(items: list[tuple[str | None, str]], window: int) -> Automaton:
     return _BUILT[key]
 
 
-def _joined(found: list[tuple[int, int, str | None]]) -> list[tuple[int, int]]:
-    """Union of word ranges."""
-    out: list[list[int]] = []
-    for first, end, _ in sorted(found, key=lambda x: x[:2]):
-        if out and first <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
+Found = tuple[int, int, int, int, "str | None"]  # as in _FOUND
+
+
+def _found(text: bytes, matches: list[tuple[int, int, str | None]]) -> list[Found]:
+    """Occurrences with their places as code points."""
+    if not matches:
+        return []
+    places = [m.span() for m in _WORD.finditer(text.decode())]
+    return [(first, end, places[first][0], places[end - 1][1], item) for first, end, item in matches]
+
+
+def _summary(n_words: int, found: list[Found], share: int) -> dict:
+    """Words hit, items, and spans, of the occurrences of all blocks."""
+    ranges: list[list[int]] = []  # unions of occurrences that overlap or touch
+    for first, end, start, stop, _ in sorted(found, key=lambda x: x[:2]):
+        if ranges and first <= ranges[-1][1]:
+            ranges[-1][1], ranges[-1][3] = max(ranges[-1][1], end), max(ranges[-1][3], stop)
         else:
-            out.append([first, end])
-    return [(a, b) for a, b in out]
-
-
-def _summary(text: bytes, n_words: int, found: list[tuple[int, int, str | None]], share: int) -> dict:
-    ranges = _joined(found)
-    n_hit = sum(b - a for a, b in ranges)
-    spans = []
-    if ranges:
-        places = [m.span() for m in _WORD.finditer(text.decode())]
-        spans = [{"start": places[a][0], "end": places[b - 1][1]} for a, b in ranges]
-    items = sorted({item for _, _, item in found if item is not None})
-    return {"n_words": n_words, "n_hit": n_hit, "items": items, "spans": spans, "contaminated": n_hit > 0 and share * n_hit >= n_words}
-
-
-def _blocks(benchmark: DataFrame, item_id: str, text: str, window: int, max_windows: int) -> list[list[tuple[str | None, str]]]:
-    """The items in blocks of bounded windows.  An item has fewer windows than bytes."""
-    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    blocks: list[list[tuple[str | None, str]]] = []
-    room = 0
-    for row in items.distinct().orderBy("item", "text").toLocalIterator():
-        words = normal_words(row["text"].encode())
-        for first in range(0, max(len(words) - window + 1, 1), max_windows):  # pieces that share no window but lose none
-            part = words[first : first + max_windows + window - 1]
-            need = max(len(part) - window + 1, 1)
-            if not blocks or need > room:
-                blocks.append([])
-                room = max_windows
-            blocks[-1].append((row["item"], b" ".join(part).decode()))
-            room -= need
-    return blocks or [[]]
+            ranges.append([first, end, start, stop])
+    n_hit = sum(end - first for first, end, _, _ in ranges)
+    items = sorted({x[4] for x in found if x[4] is not None})
+    return {"n_words": n_words, "n_hit": n_hit, "items": items, "spans": [{"start": x[2], "end": x[3]} for x in ranges], "contaminated": n_hit > 0 and share * n_hit >= n_words}
+
+
+def _blocks(benchmark: DataFrame, item_id: str, text: str, window: int, max_windows: int) -> DataFrame:
+    """Written rows `block`, `item`, `text`: the words of items, in parts that lose no window, dealt to blocks of at
+    most `max_windows` windows.  An item that stands there several times is taken once."""
+    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).distinct()
+
+    def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for item, content in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                words = normal_words(content.encode())
+                for first in range(0, max(len(words) - window + 1, 1) if words else 0, max_windows):
+                    some = words[first : first + max_windows + window - 1]
+                    rows.append({"item": item, "text": b" ".join(some).decode(), "n": max(len(some) - window + 1, 1)})
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([("item", pa.string()), ("text", pa.string()), ("n", pa.int64())]))
+
+    def dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, room = TaskContext.get().partitionId() << 33, max_windows
+        for batch in batches:
+            blocks = []
+            for n in batch.column("n").to_pylist():
+                if n > room:
+                    block, room = block + 1, max_windows
+                blocks.append(block)
+                room -= n
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), batch.column("item"), batch.column("text")], names=["block", "item", "text"])
+
+    cut = stage(items.mapInArrow(parts, "item string, text string, n long"), "benchmark-parts")
+    total = cut.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return stage(cut.repartition(max(1, -(-total // max_windows))).mapInArrow(dealt, "block long, item string, text string"), "benchmark-blocks")
 
 
 def contamination(
@@ -139,43 +158,73 @@ def contamination(
 
     Null and empty texts have no words and are clean; null, empty and wordless items have no windows.  An item
     with a null id hits words but is not listed; repeated items count once.  Every row of `docs` is returned,
-    repeated ones too.  A column of `docs` named `contamination` is replaced.  Reads the benchmark on the
-    driver, block by block; what is sent to the executors at once has at most `max_windows` windows.
+    repeated ones too; empty tables give none.  A long text is scanned as one.  A column of `docs` named
+    `contamination` is replaced.  The driver and the executors have one block of at most `max_windows` windows at a
+    time.  With one block texts are scanned as they are read; with more, rows are written once and each block
+    scans their texts.  Runs jobs.
     """
     spark = docs.sparkSession
     carry = [c for c in (docs.columns if carry is None else carry) if c.lower() != "contamination"]
     blocks = _blocks(benchmark, item_id, item_text, window, max_windows)
-    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("scanned"), F.array().cast(_FOUND).alias("found"))
-    for k, block in enumerate(blocks):
-        last = k == len(blocks) - 1
-        result = T.StructField("contamination", _RESULT) if last else T.StructField("found", _FOUND)
-        schema = T.StructType([frame.schema["row"], *([] if last else [frame.schema["scanned"]]), result])
+    numbers = [r["block"] for r in blocks.select("block").distinct().orderBy("block").collect()]  # one a block
+    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("scanned"))
+
+    def items(block: int) -> list[tuple[str | None, str]]:
+        return sorted(((r["item"], r["text"]) for r in blocks.where(F.col("block") == block).collect()), key=repr)
+
+    def scanned(block: list[tuple[str | None, str]]) -> Callable[[pa.RecordBatch], Iterator[tuple[int, list[Found]]]]:
         sent = spark.sparkContext.broadcast(block)
 
-        def scan(batches: Iterable[pa.RecordBatch], k=k, sent=sent, last=last) -> Iterator[pa.RecordBatch]:
+        def scan(batch: pa.RecordBatch) -> Iterator[tuple[int, list[Found]]]:
             automaton = _automaton(sent.value, window)
+            data, offsets = text_bytes(batch.column("scanned"))
+            data = data.tobytes()
+            for row in range(batch.num_rows):
+                content = data[offsets[row] : offsets[row + 1]]
+                words = normal_words(content)
+                yield len(words), _found(content, automaton.matches(words))
+
+        return scan
+
+    if len(numbers) <= 1:
+        scan = scanned(items(numbers[0]) if numbers else [])
+
+        def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = [_summary(n, found, share) for n, found in scan(batch)]
+                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, to_arrow_type(_RESULT))], names=["row", "contamination"])
+
+        return frame.mapInArrow(whole, T.StructType([frame.schema["row"], T.StructField("contamination", _RESULT)])).select("row.*", "contamination")
+
+    keyed = stage(frame.withColumn("key", F.monotonically_increasing_id()), "keyed")
+    narrow = T.StructType([T.StructField("key", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("found", _FOUND)])
+    scans = []
+    for k, number in enumerate(numbers):
+
+        def part(batches: Iterable[pa.RecordBatch], scan=scanned(items(number)), every=k == 0) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                data, offsets = text_bytes(batch.column("scanned"))
-                data = data.tobytes()
-                earlier = batch.column("found").to_pylist() if k else repeat(())
-                out = []
-                for row, before in zip(range(batch.num_rows), earlier, strict=False):
-                    content = data[offsets[row] : offsets[row + 1]]
-                    words = normal_words(content)
-                    found = [(x["first"], x["end"], x["item"]) for x in before] + automaton.matches(words)
-                    out.append(_summary(content, len(words), found, share) if last else [{"first": a, "end": b, "item": i} for a, b, i in found])
-                columns = [batch.column("row"), *([] if last else [batch.column("scanned")]), pa.array(out, to_arrow_type(_RESULT if last else _FOUND))]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "contamination"] if last else ["row", "scanned", "found"])
-
-        frame = frame.mapInArrow(scan, schema)
-        if not last:
-            frame = stage(frame, "scanned")
-    return frame.select("row.*", "contamination")
+                rows = [{"key": key, "n_words": n, "found": [dict(zip(("first", "end", "start", "stop", "item"), x, strict=True)) for x in found]}
+                        for key, (n, found) in zip(batch.column("key").to_pylist(), scan(batch), strict=True) if found or every]
+                yield pa.RecordBatch.from_pylist(rows, pa.schema([(f.name, to_arrow_type(f.dataType)) for f in narrow]))
+
+        scans.append(stage(keyed.select("key", "scanned").mapInArrow(part, narrow), "scan"))
+
+    def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[(x["first"], x["end"], x["start"], x["stop"], x["item"]) for x in xs] for xs in batch.column("found").to_pylist()]
+            out = [_summary(n, xs, share) for n, xs in zip(batch.column("n_words").to_pylist(), found, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, to_arrow_type(_RESULT))], names=["key", "contamination"])
+
+    together = reduce(DataFrame.union, scans).groupBy("key").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("found")).alias("found"))  # of one text
+    results = together.mapInArrow(summed, T.StructType([T.StructField("key", T.LongType()), T.StructField("contamination", _RESULT)]))
+    return keyed.select("key", "row").join(results.hint("shuffle_hash"), "key").select("row.*", "contamination")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, unchanged."""
-    return contamination(docs, benchmark).where(~F.col("contamination.contaminated")).select(*[f"`{c}`" for c in docs.columns])
+    """The documents that are not contaminated, unchanged and with all their columns, whatever their names; see
+    `contamination` for nulls, repeated rows, long texts and empty tables."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), F.col("text"))
+    return contamination(whole, benchmark, carry=["document"]).where(~F.col("contamination.contaminated")).select("document.*")
 
 
 # --- query

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from compare import check, connect
 from siltstone.llm.decontaminate import OP10_SQL, clean, contamination, op10_benchmark_decontamination
@@ -63,6 +64,34 @@ def test_small(spark, data, max_windows):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == [d for d, _, _, _, bad in plain(docs, items) if not bad]
 
 
+def test_blocks(spark, data, monkeypatch):
+    """With several blocks the driver has one at a time, and texts are written once."""
+    from siltstone.llm import decontaminate
+
+    docs, items = data
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    windows = sum(max(len(words_of(t)) - 12, 1) for _, t in set(items) if words_of(t))
+    staged, sizes, plain_stage, plain_automaton = [], [], decontaminate.stage, decontaminate.Automaton
+    monkeypatch.setattr(decontaminate, "stage", lambda df, label: staged.append((label, df.columns)) or plain_stage(df, label))
+    blocks = decontaminate._blocks(bench, "item_id", "text", 13, windows // 3 + 1)
+    for n in blocks.groupBy("block").count().collect():
+        rows = [(r["item"], r["text"]) for r in blocks.where(F.col("block") == n.block).collect()]
+        sizes.append(sum(max(len(words_of(t)) - 12, 1) for _, t in rows))
+    assert len(sizes) >= 3 and max(sizes) <= windows // 3 + 1
+    staged.clear()
+    got = contamination(frame, bench, max_windows=windows // 3 + 1).collect()
+    assert sorted(((r.doc_id, r.contamination.n_words, r.contamination.n_hit, r.contamination["items"], r.contamination.contaminated) for r in got), key=repr) == plain(docs, items)
+    assert [label for label, columns in staged if "scanned" in columns] == ["keyed"]
+
+
+def test_long_text(spark):
+    item = " ".join(f"w{i}" for i in range(13))
+    docs = [(1, "filler words " * 400_000 + item), (2, item.upper())]
+    got = {r.doc_id: r.contamination for r in contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string"), carry=["doc_id"]).collect()}
+    assert (got[1].n_words, got[1].n_hit, got[1].contaminated) == (800_013, 13, False) and got[2].contaminated
+    assert [tuple(s) for s in got[1].spans] == [(5_200_000, 5_200_000 + len(item))]
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     items = spark.createDataFrame([], "item_id long, text string")
