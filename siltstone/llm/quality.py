@@ -202,5 +202,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents that score `least` or more, unchanged."""
-    return scored(docs, fit(docs, labels)).where(F.col("quality_score") >= least).select(*[f"`{c}`" for c in docs.columns])
+    """The documents that score `least` or more, unchanged and with all their columns, whatever their names; see
+    `scored` for nulls and repeated rows.  An empty table stays empty."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), F.col("text"))
+    return scored(whole, fit(docs, labels), ["document"]).where(F.col("quality_score") >= least).select("document.*")

@@ -127,7 +127,9 @@ def _listed(spans: Column) -> Column:
 
 def redacted(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]", doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """`docs` with each stretch that spans cover replaced by `mark`, and `n_chars`, if there, set anew for
-    those texts.  All rows stay."""
+    those texts.  All rows stay, repeated ones and those with null ids too, and so do all other columns, whatever
+    their names; null and empty texts are unchanged, and an empty table gives one.  Long texts are cut and joined
+    as a whole, within one row.  Runs jobs."""
     found = scan(docs, ledger, rules, doc_id, text).where(F.size("spans") > 0).groupBy(F.col("digest").alias("found_digest")).agg(F.first("spans").alias("spans"))
     found = stage(found, "found")  # small beside the texts; see by_blob in scan
     # spans come by start: one that begins before the reach of those before it goes on their stretch
@@ -138,17 +140,20 @@ def redacted(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, mark
             F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end")))),
         ).otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))),
     )
-    content = F.col(f"`{text}`")
+    # the row travels as one struct, since its columns may have any names
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").cast("string").alias("content"))
+    with_spans = rows.join(found.withColumn("merged", merged).select("found_digest", "merged"), digest(F.col("content")) == F.col("found_digest"), "left")
     bounds = F.concat(F.array(F.lit(0).cast("long")), F.col("merged.end"))
-    nexts = F.concat(F.col("merged.start"), F.array(F.length(content).cast("long")))
-    kept = F.transform(bounds, lambda end, i: F.substring(content, (end + 1).cast("int"), (nexts[i] - end).cast("int")))
-    names = docs.columns
-    with_spans = docs.join(found.withColumn("merged", merged).select("found_digest", "merged"), digest(content) == F.col("found_digest"), "left")
-    out = with_spans.withColumn("clean_text", F.when(F.col("merged").isNotNull(), F.array_join(kept, mark)).otherwise(content))
-    changed = {text: F.col("clean_text")}
-    if n_chars in names:
-        changed[n_chars] = F.when(F.col("merged").isNotNull(), F.length("clean_text").cast(docs.schema[n_chars].dataType)).otherwise(F.col(f"`{n_chars}`"))
-    return out.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in names])
+    nexts = F.concat(F.col("merged.start"), F.array(F.length("content").cast("long")))
+    kept = F.transform(bounds, lambda end, i: F.substring(F.col("content"), (end + 1).cast("int"), (nexts[i] - end).cast("int")))
+    out = with_spans.select("row", F.when(F.col("merged").isNotNull(), F.array_join(kept, mark)).alias("clean"))
+
+    def column(c: str) -> Column:
+        old = F.col("row").getField(c)
+        new = F.col("clean") if c == text else F.length("clean").cast(docs.schema[c].dataType) if c == n_chars else None
+        return old.alias(c) if new is None else F.when(F.col("clean").isNotNull(), new).otherwise(old).alias(c)
+
+    return out.select(*[column(c) for c in docs.columns])
 
 
 # --- query

@@ -198,15 +198,18 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The row with the smallest id of each near-duplicate group, with all its columns.
+    """The row with the smallest id of each near-duplicate group, with all its columns, whatever their names.
 
-    Null ids are the largest; where several rows of a group have the smallest id, one of them stays.  Ids say
-    nothing else: rows of one id in different groups all stay.  The rows are written once to the shared folder,
-    with keys of their own.
+    Null ids are the largest; where several rows of a group have the smallest id, one of them stays, as of repeated
+    rows.  Ids say nothing else: rows of one id in different groups all stay.  Texts without words, null and empty
+    ones too, are one group.  An empty table stays empty.  The rows are written once to the shared folder, with
+    keys of their own.
     """
-    keyed = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
-    order = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
-    found = near_duplicates(keyed.withColumn("__key", order), doc_id="__key")
-    kept = stage(found.where("doc_id.row = component_id.row").select(F.col("doc_id.row").alias("__row")), "kept-rows")
+    # the row travels as one struct, since its columns may have any names
+    keyed = stage(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("key")), "keyed")
+    doc_id, text = F.col("row").getField("doc_id"), F.col("row").getField("text")
+    order = F.struct(doc_id.isNull().alias("absent"), doc_id.alias("id"), F.col("key").alias("row"))
+    found = near_duplicates(keyed.select(order.alias("doc_id"), text.alias("text")))
+    kept = stage(found.where("doc_id.row = component_id.row").select(F.col("doc_id.row").alias("key")), "kept-rows")
     # the rows grow with the documents, so they are never broadcast; hashing them spares sorting the texts
-    return keyed.join(kept.hint("shuffle_hash"), "__row", "left_semi").drop("__row")
+    return keyed.join(kept.hint("shuffle_hash"), "key", "left_semi").select("row.*")

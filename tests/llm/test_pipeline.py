@@ -83,6 +83,35 @@ def test_run(spark, written):
     assert found.columns == written[-1].columns and found.count() == written[-1].count()
 
 
+def test_odd_rows_through_all_stages(spark):
+    """Null ids, null, empty and very long texts, repeated rows, and columns with the names that stages use inside."""
+    good = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(40).collect()
+    long = " ".join(f"word{i} of a long text." for i in range(200_000))
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in good]
+    rows += [(None, None, "en", "s", 0), (None, "", "en", "s", 0), (None, good[0].text + " password = hunter22secret", None, None, None), (9_001, long, "en", "s", len(long)), rows[5], rows[5], (9_002, None, None, None, None)]
+    names = ["merged", "clean_text", "found_digest", "__row", "row", "key", "content", "scanned", "contamination", "x.y", "score", "digest", "document", "quality_score"]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame([(*r, *[f"{n} of {i}" for n in names]) for i, r in enumerate(rows)], kind)
+    stages = dict(corpus_pipeline.STAGES)
+    by_row = lambda df: {r["merged"]: r for r in df.collect()}
+    before = by_row(docs)
+    for name in ("quality_classifier", "simhash_near_dedup", "benchmark_decontamination", "secret_scans"):
+        out = stage(stages[name](spark, docs, SF_DIR), name)
+        assert out.schema.fieldNames() == docs.columns, name
+        after = by_row(out)
+        assert after and len(after) == out.count()
+        for key, row in after.items():
+            same = [c for c in docs.columns if c not in ("text", "n_chars")] if name == "secret_scans" else docs.columns
+            assert all(row[c] == before[key][c] for c in same), (name, key)
+        if name == "simhash_near_dedup":
+            # one row for the texts without words, and one for the three repeated
+            assert sum(r.text in (None, "") for r in after.values()) == 1 and sum(r.text == rows[5][1] for r in after.values()) == 1
+        if name == "secret_scans":
+            assert len(after) == len(rows) and sum("[secret]" in (r.text or "") for r in after.values()) >= 1
+    packed = stages["best_fit_packing"](spark, docs, SF_DIR).collect()
+    assert sum(r.piece == 0 for r in packed) == len(rows) and sum(r.doc_id == 9_001 for r in packed) > 300
+
+
 def test_empty(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for _, apply in corpus_pipeline.STAGES:
