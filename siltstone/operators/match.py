@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from siltstone.operators.joins import salted_join
+from siltstone.sources.files import children, exists
 from siltstone.sources.stage import stage
 
 NAMES_PER_TASK = 20_000  # when each grows to its deletion neighbourhood
@@ -178,12 +179,20 @@ def name_pairs(left: Side, right: Side, rules: Rules = Rules()) -> DataFrame:
     instead, where two names meet only if they are within ``2 * threshold`` edits of each other.
     A pair is found either way, so the result is whole.
     """
-    threshold, min_length = rules.threshold, rules.min_length
-    if min_length <= 2 * threshold:
+    _check(rules)
+    a_names, b_names = _names(left, "a", rules.min_length), _names(right, "b", rules.min_length)
+    index = _segment_keys(a_names, "a", rules.threshold, probing=False)
+    return _close(index, _segment_keys(b_names, "b", rules.threshold, probing=True), rules)
+
+
+def _check(rules: Rules) -> None:
+    if rules.min_length <= 2 * rules.threshold:
         raise ValueError("min_length must exceed twice the threshold, or segments could be empty")
-    a_names, b_names = _names(left, "a", min_length), _names(right, "b", min_length)
-    index = _segment_keys(a_names, "a", threshold, probing=False)
-    probe = _segment_keys(b_names, "b", threshold, probing=True)
+
+
+def _close(index: DataFrame, probe: DataFrame, rules: Rules) -> DataFrame:
+    """Distinct pairs ``(a, b, distance)`` of the names behind the segment keys ``(a, seg)`` and ``(b, seg)``."""
+    threshold = rules.threshold
     heavy = _heavy_segments(index, probe, rules)
     segments = _Segments(heavy)
 
@@ -204,6 +213,65 @@ def name_pairs(left: Side, right: Side, rules: Rules = Rules()) -> DataFrame:
     return pairs.withColumn("distance", F.levenshtein("a", "b", threshold))
 
 
+class NameIndex:
+    """Close names of two sources, kept from run to run under ``root``.
+
+    Stored are the distinct names of either side, cut to segments, and the pairs found.  A run cuts and probes only
+    names that no run has met: those of one side look up the other side's stored segments, and of these only the
+    ones that they share are joined.  ``pairs`` gives what one run over all names would.  Names are never taken
+    out; rows whose name is gone find nobody when pairs are joined back to them.  One run at a time may add, and a run
+    counts once its pairs are written, so an interrupted one is done again.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, rules: Rules = Rules()):
+        _check(rules)
+        self.spark, self.root, self.rules = spark, root, rules
+
+    def _runs(self) -> list[int]:
+        """Runs that have ended: those with pairs."""
+        done = (n for n in children(self.spark, f"{self.root}/pairs") if n.isdigit() and exists(self.spark, f"{self.root}/pairs/{n}/_SUCCESS"))
+        return sorted(map(int, done))
+
+    def _stored(self, kind: str, schema: str) -> DataFrame:
+        paths = [f"{self.root}/{kind}/{n}" for n in self._runs()]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def pairs(self) -> DataFrame:
+        """``(a, b, distance)`` of all names so far, as ``name_pairs`` gives them."""
+        return self._stored("pairs", "a string, b string, distance int")
+
+    def add(self, left: Side, right: Side) -> tuple[int, int]:
+        """Take in the names of both sides; how many of each were new."""
+        run = max(self._runs(), default=-1) + 1
+        known = {c: self._stored(c, f"{c} string, seg bigint") for c in "ab"}
+        counts = []
+        for side, c in ((left, "a"), (right, "b")):
+            names = _names(side, c, self.rules.min_length).where(F.col(c).isNotNull())
+            new = _segment_keys(names.join(known[c].select(c).distinct(), c, "left_anti"), c, self.rules.threshold, probing=False)
+            new.write.mode("overwrite").parquet(f"{self.root}/{c}/{run}")
+            counts.append(self._new(c, run).select(c).distinct().count())
+        # new names of the left against all of the right, then new ones of the right against the old of the left
+        found = self._met("a", run, known["b"].unionByName(self._new("b", run))) if counts[0] else None
+        if counts[1]:
+            others = self._met("b", run, known["a"])
+            found = others if found is None else found.unionByName(others)
+        if found is None:
+            found = self.spark.createDataFrame([], "a string, b string, distance int")
+        found.write.mode("overwrite").parquet(f"{self.root}/pairs/{run}")
+        return counts[0], counts[1]
+
+    def _new(self, c: str, run: int) -> DataFrame:
+        return self.spark.read.schema(f"{c} string, seg bigint").parquet(f"{self.root}/{c}/{run}")
+
+    def _met(self, c: str, run: int, other: DataFrame) -> DataFrame:
+        """Pairs of the run's new names of one side with the stored names of the other."""
+        o = "b" if c == "a" else "a"
+        names = self._new(c, run).select(F.col(c).alias("b")).distinct()
+        probe = stage(_segment_keys(names, "b", self.rules.threshold, probing=True), "probe")
+        index = stage(other.join(probe.select("seg").distinct(), "seg", "left_semi").select(F.col(o).alias("a"), "seg"), "met_segments")
+        return _close(index, probe, self.rules).select(F.col("b").alias(c), F.col("a").alias(o), "distance").select("a", "b", "distance")
+
+
 def _expand(left: Side, right: Side, pairs: DataFrame, min_length: int) -> DataFrame:
     """Rows of both sides for every name pair, duplicates of a name included."""
     lhs = left.rows.where(_long_enough(left.name, min_length))
@@ -233,7 +301,7 @@ class _Cascade(NamedTuple):
     right: DataFrame
 
 
-def _cascade(left: Side, right: Side, rules: Rules) -> _Cascade:
+def _cascade(left: Side, right: Side, rules: Rules, index: NameIndex | None = None) -> _Cascade:
     """Each source is read once, for its ids and names."""
     def narrow(side: Side) -> DataFrame:
         return stage(side.rows.select(F.col(side.id).alias("__id"), F.col(side.name).alias("__name")), "names")
@@ -249,7 +317,12 @@ def _cascade(left: Side, right: Side, rules: Rules) -> _Cascade:
     exact_a, exact_b = stage(ids(a, exact), "exact_ids"), stage(ids(b, exact), "exact_ids")
     # a NULL id never counts as matched
     rest_a, rest_b = stage(a.join(exact_a, "__id", "left_anti"), "rest"), stage(b.join(exact_b, "__id", "left_anti"), "rest")
-    pairs = stage(name_pairs(Side(rest_a, "__id", "__name"), Side(rest_b, "__id", "__name"), rules), "name_pairs")
+    if index is None:
+        pairs = name_pairs(Side(rest_a, "__id", "__name"), Side(rest_b, "__id", "__name"), rules)
+    else:  # of all names; those of the rest are what is asked for
+        index.add(Side(a, "__id", "__name"), Side(b, "__id", "__name"))
+        pairs = index.pairs().join(names(rest_a).withColumnRenamed("name", "a"), "a", "left_semi").join(names(rest_b).withColumnRenamed("name", "b"), "b", "left_semi").select("a", "b", "distance")
+    pairs = stage(pairs, "name_pairs")
 
     def matched(exact_ids: DataFrame, rest: DataFrame, c: str) -> DataFrame:
         guarded = rest.where(_long_enough("__name", rules.min_length))
@@ -268,14 +341,18 @@ def remaining(left: Side, right: Side, rules: Rules = Rules()) -> tuple[DataFram
     return without_ids(left, known.left), without_ids(right, known.right)
 
 
-def match_cascade(left: Side, right: Side, rules: Rules = Rules()) -> DataFrame:
+def match_cascade(left: Side, right: Side, rules: Rules = Rules(), index: NameIndex | None = None) -> DataFrame:
     """Exact pairs, then close pairs of the rest, then the unmatched rows of each side.
 
+    With ``index``, kept from run to run, close names are looked up there, and only names that it has not met are
+    compared; its own rules hold.
+
     ``match_quality`` is 0, the distance, or NULL.  Ids and names decide everything beforehand and are written;
     then each side's rows are read once for the pairs of both kinds, and once for those left over.  Runs
     jobs.
     """
-    known = _cascade(left, right, rules)
+    rules = rules if index is None else index.rules
+    known = _cascade(left, right, rules, index)
     none = F.lit(None).cast("int")
 
     def linked(side: Side, ids: DataFrame, c: str) -> tuple[DataFrame, Column]:

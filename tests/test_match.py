@@ -2,8 +2,11 @@ import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
+from siltstone.operators import match
 from siltstone.operators.match import Rules, Side, exact_match, fuzzy_match, match_cascade, name_pairs, unmatched
+from siltstone.sources.stage import scratch_path
 
 NAMES = st.lists(st.one_of(st.none(), st.text(alphabet="abB", min_size=3, max_size=11)), min_size=1, max_size=25)
 SLOW = settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
@@ -136,3 +139,47 @@ def test_cascade_places_every_row_once(spark, left, right):
     assert len(kind) == len(left) + len(right)
     assert {i for s, i in kind if s == "a" and kind[s, i] != {"exact"}} == {r.aid for r in unmatched(a, b).collect()}
     assert exact_match(a, b).count() == sum(r.match_quality == 0 for r in found)
+
+
+def test_name_index_in_runs_equals_one_run(spark, rows):
+    """Names that come in three runs, with dense segments among them, give the pairs of all at once."""
+    rng = random.Random(3)
+    alphabet = "abc"
+    def name():
+        head = rng.choice(["", "", "customer#00", "thegroup "])
+        return head + "".join(rng.choice(alphabet) for _ in range(rng.randint(5, 9)))
+    a, b = ([name() for _ in range(300)] + [None, "short", "SameName", "samename"] for _ in "ab")
+    side = lambda names, c: match.Side(spark.createDataFrame(list(enumerate(names)), f"{c}_id long, {c}_name string"), f"{c}_id", f"{c}_name")
+    want = rows(match.name_pairs(side(a, "a"), side(b, "b")))
+    index = match.NameIndex(spark, scratch_path(spark, "names"))
+    assert index.pairs().count() == 0
+    for part in (slice(0, 100), slice(50, 200), slice(0, None)):
+        index.add(side(a[part], "a"), side(b[part], "b"))
+    assert rows(index.pairs()) == want and len(want) > 50
+    assert index.add(side(a, "a"), side(b, "b")) == (0, 0) and rows(index.pairs()) == want
+    both = match.match_cascade(side(a, "a"), side(b, "b"), index=index)
+    assert rows(both) == rows(match.match_cascade(side(a, "a"), side(b, "b")))
+
+
+def test_name_index_probes_new_names_only(spark, monkeypatch):
+    """What is cut and compared grows with the increment, not with what is stored."""
+    side = lambda first, n, c: match.Side(spark.range(first, first + n).select(F.col("id").alias(f"{c}_id"), F.substring(F.md5(F.col("id").cast("string")), 1, 14).alias(f"{c}_name")), f"{c}_id", f"{c}_name")
+    index = match.NameIndex(spark, scratch_path(spark, "names"))
+    assert index.add(side(0, 3000, "a"), side(2000, 3000, "b")) == (3000, 3000)
+    probed, plain = [], match._close
+    monkeypatch.setattr(match, "_close", lambda i, p, rules: probed.append((i.count(), p.select("b").distinct().count())) or plain(i, p, rules))
+    assert index.add(side(2990, 20, "a"), side(4990, 20, "b")) == (10, 10)
+    assert [p for _, p in probed] == [10, 10] and all(i < 300 for i, _ in probed)
+    assert index.pairs().where("distance = 0").count() == 1010
+
+
+def test_an_interrupted_run_of_the_name_index_is_done_again(spark, rows, monkeypatch):
+    side = lambda names, c: match.Side(spark.createDataFrame(list(enumerate(names)), f"{c}_id long, {c}_name string"), f"{c}_id", f"{c}_name")
+    index = match.NameIndex(spark, scratch_path(spark, "names"))
+    with monkeypatch.context() as m:
+        m.setattr(match, "_close", lambda *x: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            index.add(side(["alphabet"], "a"), side(["alphabets"], "b"))
+    assert index.pairs().count() == 0
+    assert index.add(side(["alphabet"], "a"), side(["alphabets"], "b")) == (1, 1)
+    assert rows(index.pairs()) == [("alphabet", "alphabets", 1)]

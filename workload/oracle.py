@@ -197,6 +197,8 @@ ORACLE = {
         FROM (SELECT *, row_number() OVER (PARTITION BY OBJID ORDER BY OBJVERSION DESC) AS rn FROM erp_company_person) WHERE rn = 1""",
 }
 
+ORACLE["match_cascade_incremental"] = ORACLE["match_cascade"]
+
 # --- whole datasets ---------------------------------------------------------------------------------
 
 STAMP = "CAST({0} AS VARCHAR) AS {1}"

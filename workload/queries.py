@@ -408,6 +408,14 @@ def match_cascade(spark, d):
     return match.match_cascade(*_sides(spark, d)).drop("levenshtein_distance")
 
 
+def match_cascade_incremental(spark, d):
+    """The cascade over a name index that has met half of either side's rows before."""
+    left, right = _sides(spark, d)
+    index = match.NameIndex(spark, scratch_path(spark, "names"))
+    index.add(left.with_rows(left.rows.where("c_custkey % 2 = 0")), right.with_rows(right.rows.where("s_suppkey % 2 = 1")))
+    return match.match_cascade(left, right, index=index).drop("levenshtein_distance")
+
+
 def _streets(spark, d) -> tuple[DataFrame, DataFrame]:
     """Addresses of customers and suppliers in two spellings."""
     left = landed(spark, d, "erp_location_party_address_pub").select(
@@ -567,6 +575,7 @@ QUERIES = {
     "unmatched_right": unmatched_right,
     "fuzzy_match_blocked": fuzzy_match_blocked,
     "match_cascade": match_cascade,
+    "match_cascade_incremental": match_cascade_incremental,
     "surrogate_keys": surrogate_keys,
     "union_distinct": union_distinct,
     "ordered_output": ordered_output,
