@@ -139,7 +139,7 @@ def test_stored_datasets_leave_nothing_staged(spark, rows):
         inside = scratch_path(spark, "kept")
         spark.range(3).write.parquet(inside)
         drop(spark)
-    assert stored.count() == 1 and curated.employee.count() == 1 and set(curated.__dict__) == {"raw", "employee"}
+    assert stored.count() == 1 and curated.employee.count() == 1 and set(curated.__dict__) == {"raw", "addresses", "employee"}
     assert not exists(spark, inside)
 
 
