@@ -15,6 +15,7 @@ import gzip
 import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -64,7 +65,7 @@ def record_bytes(record: dict) -> bytes:
         ("WARC-Type", record["type"]), ("WARC-Record-ID", record["record_id"]), ("WARC-Date", _DATE),
         ("WARC-Target-URI", _clean(record["uri"]) if record["uri"] else None), ("WARC-Payload-Digest", _base32(record["payload_digest"])),
         ("WARC-Profile", _SAME_PAYLOAD if record["type"] == "revisit" else None), ("WARC-Refers-To", record["refers_to"]),
-        ("WARC-Page-ID", _clean(record["page_id"]) if record["page_id"] is not None else None),
+        ("WARC-Page-ID", quote(record["page_id"], safe="") if record["page_id"] is not None else None),
         ("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(block))),
     ]
     lines = [_VERSION, *[f"{name}: {value}".encode() for name, value in headers if value is not None], b"", b""]
@@ -150,7 +151,7 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
                 for at, headers, block in ((at, h, b) for at, member in members(content.as_py()) for _, h, b in parse(member)):
                     full = headers["warc-type"] == "response"
                     rows.append({
-                        "page_id": headers.get("warc-page-id"), "record_id": headers["warc-record-id"], "type": headers["warc-type"], "uri": headers.get("warc-target-uri"),
+                        "page_id": unquote(headers["warc-page-id"]) if "warc-page-id" in headers else None, "record_id": headers["warc-record-id"], "type": headers["warc-type"], "uri": headers.get("warc-target-uri"),
                         "payload": block if full and payloads else None, "payload_bytes": len(block) if full else None,
                         "payload_digest": hashlib.sha256(block).hexdigest() if full else _hex(headers["warc-payload-digest"]),
                         "refers_to": headers.get("warc-refers-to"), "file": name.as_py(), "at": at,

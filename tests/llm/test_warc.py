@@ -82,3 +82,13 @@ def test_empty(spark):
 def test_sql(spark):
     sf_dir = "/root/testdata/sf0.01"
     assert check(spark, connect(sf_dir), warc.op6_warc, warc.OP6_SQL, sf_dir) == 250
+
+
+def test_ids_of_any_text(spark):
+    """Ids come back as they were, with blanks, line breaks and signs."""
+    ids = [" a\nb ", "a b", "a%20b", "", "é日 ", "x: y\r\n\r\nWARC/1.1", None]
+    pages = spark.createDataFrame([(i, "http://x/", "same payload " * 20) for i in ids], "page_id string, url string, html string")
+    found = warc.archived(pages, scratch_path(spark, "archive")).collect()
+    assert sorted((r.page_id for r in found), key=repr) == sorted(ids, key=repr)
+    first = next(r.page_id for r in found if r.record_type == "response")
+    assert {r.refers_to for r in found if r.record_type == "revisit"} == {first}
