@@ -104,7 +104,7 @@ def test_all_lists_within_ratio():
     rng = np.random.default_rng(11)
     x = neighbours._unit(rng.normal(size=(40_000, 64)))
     lists = lay_out(x, 40_000)
-    row, number = neighbours._chosen(lists, x[:50], neighbours.QUERY_BEAM, neighbours.QUERY_RATIO, None, False)
+    row, number, _ = neighbours._chosen(lists, x[:50], neighbours.QUERY_BEAM, neighbours.QUERY_RATIO, None, False)
     distance = np.sqrt(2 - 2 * (x[:50] @ lists.centroids.T))
     want = set(zip(*map(np.ndarray.tolist, np.nonzero(distance <= neighbours.QUERY_RATIO * distance.min(axis=1, keepdims=True))), strict=True))
     assert max(np.bincount(row)) > neighbours.QUERY_BEAM and len(row) == len(set(zip(row.tolist(), number.tolist(), strict=True)))
