@@ -175,7 +175,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
 def scored(docs: DataFrame, model: Trees, carry: list[str] | None = None, text: str = "text") -> DataFrame:
     """The `carry` columns of `docs` (all by default), and `quality_score`, from 0 to 1, by the text alone.
 
-    Null texts are empty; empty texts are scored like any other.  Repeated rows are kept.  A column of `docs`
+    Null texts are empty; empty texts are scored like any other.  A long text is taken whole, which needs some ten
+    bytes for each of its own in the worker.  Repeated rows are kept.  A column of `docs`
     named `quality_score` is replaced.
     """
     carry = [c for c in (docs.columns if carry is None else carry) if c.lower() != "quality_score"]

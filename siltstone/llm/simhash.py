@@ -73,7 +73,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id"
     """`doc_id` and `fingerprint`, a long of 64 bits, of every row of `docs`.
 
     A-Z are lower-cased and words are runs of anything but ASCII white space.  A text of fewer words than
-    a shingle is one shingle; a null text or one without words has fingerprint 0.
+    a shingle is one shingle; a null text or one without words has fingerprint 0.  A long text is taken whole, which
+    needs about a hundred bytes for each of its shingles in the worker.
     """
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
 
