@@ -5,7 +5,8 @@ both grow, so that any run as long as the longest does.  It meets a template whe
 often they occur in all documents, rarest first.  Whoever meets a template shares one of its rarest tokens, as
 many as may be missing and one more: only blocks with one of those are built (prefix filter).  Blocks with
 too few template words are left out (length filter), and so are pairs whose remaining tokens in that order
-cannot reach the threshold any more (positional filter).  The rest is counted exactly.
+cannot reach the threshold any more (positional filter).  The rest is counted exactly.  Words that tell a license
+from others have to be there whatever the share, and words that make it another one must not be.
 
 Everything is DataFrame functions; texts are never shuffled.
 """
@@ -31,17 +32,43 @@ PHRASES = (
     ("cc by nc", "cc-by-nc"),
 )
 
+class Notice(NamedTuple):
+    """Words of a license notice, its label, the words it takes to be that license, and those that make it another."""
+
+    text: str
+    label: str
+    needs: str = ""
+    bars: str = ""
+
+
 # Words of public license notices.
 TEMPLATES = (
-    ("released under the mit license", "mit"),
-    ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit"),
-    ("licensed under the apache license version 2 0", "apache-2"),
-    ("licensed under cc by nc 4 0", "cc-by-nc"),
-    ("licensed under a creative commons attribution noncommercial 4 0 international license", "cc-by-nc"),
-    ("licensed under the gnu general public license version 3", "gpl-3"),
-    ("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
-    ("subject to the terms of the mozilla public license v 2 0", "mpl-2"),
-)
+    Notice("released under the mit license", "mit", "mit license"),
+    Notice(
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in "
+        "the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software",
+        "mit", "permission granted free charge person obtaining copy software", "font",
+    ),
+    Notice("licensed under the apache license version 2 0", "apache-2", "apache 2"),
+    Notice(
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at",
+        "apache-2", "apache 2",
+    ),
+    Notice("licensed under cc by nc 4 0", "cc-by-nc", "cc by nc", "sa nd"),
+    Notice("licensed under a creative commons attribution noncommercial 4 0 international license", "cc-by-nc", "creative commons attribution noncommercial", "sharealike noderivatives noderivs"),
+    Notice("licensed under the gnu general public license version 3", "gpl-3", "gnu general public 3", "lesser library affero"),
+    Notice(
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation "
+        "either version 3 of the license or at your option any later version",
+        "gpl-3", "gnu general public 3", "lesser library affero",
+    ),
+    Notice("released under the bsd license", "bsd", "bsd license"),
+    Notice(
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+        "bsd", "redistribution source binary forms modification permitted conditions",
+    ),
+    Notice("subject to the terms of the mozilla public license v 2 0", "mpl-2", "mozilla public 2"),
+)
 
 #: Everything that parts words, once A-Z are lower-cased
 _PARTS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -53,6 +80,8 @@ class Template(NamedTuple):
     label: str
     tokens: list[int]  # ranks in the global order, ascending
     least: int  # tokens to share
+    needs: list[int]  # of these, and of words that must not be there, the ranks
+    bars: list[int]
 
 
 def words(text: Column) -> Column:
@@ -69,14 +98,20 @@ def token_order(docs: DataFrame, tokens: list[str], text: str = "text") -> dict[
     return {t: k for k, t in enumerate(sorted(tokens, key=lambda t: (counts.get(t, 0), t.encode())))}
 
 
-def _templates(order: dict[str, int], templates, threshold: float) -> list[Template]:
+def _templates(order: dict[str, int], templates: tuple[Notice, ...], threshold: float) -> list[Template]:
     out = []
-    for number, (text, label) in enumerate(templates):
-        ranks = sorted(order[t] for t in set(text.split()))
-        out.append(Template(number, label, ranks, math.ceil(round(threshold * len(ranks), 9))))
+    for number, t in enumerate(templates):
+        ranks, needs, bars = (sorted(order[w] for w in set(x.split())) for x in (t.text, t.needs, t.bars))
+        out.append(Template(number, t.label, ranks, math.ceil(round(threshold * len(ranks), 9)), needs, bars))
     return out
 
 
+def _shape(templates: tuple[Notice, ...]) -> tuple[int, int]:
+    """Words of a block, and from one to the next."""
+    step = max([STEP, *(len(t.text.split()) - 1 for t in templates)])
+    return BLOCK // STEP * step, step
+
+
 def _places(spaced: Column, n_words: Column, phrase: str) -> tuple[Column, Column, Column]:
     """Number of places, and first and last start.  Each word of `spaced` has a space of its own on both sides,
     so neighbouring places share nothing and words are half the spaces."""
@@ -95,15 +130,16 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", te
     """For every row of `docs`: `doc_id`, `n_words`, `n_base` (places of the phrases), `first_word` and
     `last_word` (their smallest and largest start), `base_labels`, `labels` (those of phrases and of templates
     met, distinct and sorted), `blocks` (block, template and containment of every template met) and `score`,
-    1 with a phrase, else the largest containment, else 0.
+    1 with a phrase, else the largest containment, else 0.  A template is met by a block with the threshold share of
+    its different words, among them all that it needs, and none that it bars.
 
-    Null and empty texts have no words and no labels.  Repeated rows and null ids are kept.  Other columns are
+    Null and empty texts have no words and no labels; long texts are taken apart within their row.  Repeated rows and null ids are kept.  Other columns are
     ignored.  Runs jobs: narrow rows are written once to the shared folder.
     """
     spark = docs.sparkSession
-    step = max([STEP, *(len(x.split()) - 1 for x, _ in templates)])
-    block = BLOCK // STEP * step
-    vocabulary = sorted({t for x, _ in templates for t in x.split()})
+    templates = tuple(Notice(*t) for t in templates)
+    block, step = _shape(templates)
+    vocabulary = sorted({w for t in templates for x in (t.text, t.needs, t.bars) for w in x.split()})
     order = token_order(docs, vocabulary, text)
     ranked = _templates(order, templates, threshold)
     token = {k: t for t, k in order.items()}
@@ -131,15 +167,15 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", te
     )
     # one row for each template and prefix token: as many as the templates have words, at most
     postings = spark.createDataFrame(
-        [(k, p, t.number, t.label, t.tokens, t.least) for t in ranked for p, k in enumerate(t.tokens[: len(t.tokens) - t.least + 1])],
-        "token int, place int, template int, label string, template_tokens array<int>, least int",
+        [(k, p, *t) for t in ranked for p, k in enumerate(t.tokens[: len(t.tokens) - t.least + 1])],
+        "token int, place int, template int, label string, template_tokens array<int>, least int, needs array<int>, bars array<int>",
     )
     pairs = (
         written.select("row", F.explode("candidates").alias("b")).select("row", "b.block", "b.tokens", F.posexplode("b.tokens").alias("block_place", "token"))
         .join(F.broadcast(postings), "token")
         .where((F.size("tokens") >= F.col("least")) & (1 + F.least(F.size("template_tokens") - 1 - F.col("place"), F.size("tokens") - 1 - F.col("block_place")) >= F.col("least")))
         .withColumn("shared", F.size(F.array_intersect("tokens", "template_tokens")))
-        .where("shared >= least")
+        .where((F.col("shared") >= F.col("least")) & (F.size(F.array_except("needs", "tokens")) == 0) & ~F.arrays_overlap("bars", "tokens"))
         .select("row", "block", "template", "label", (F.col("shared") / F.size("template_tokens")).alias("containment"))
         .distinct()
     )
@@ -167,11 +203,12 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     """All blocks with all templates, without filters; places from the words themselves."""
-    rows = ", ".join(f"({k}, '{text}', '{label}')" for k, (text, label) in enumerate(TEMPLATES))
+    rows = ", ".join(f"('{t.label}', '{t.text}', '{t.needs}', '{t.bars}')" for t in TEMPLATES)
+    block, step = _shape(TEMPLATES)
     phrases = ", ".join(f"('{text}', '{label}', {len(text.split())})" for text, label in PHRASES)
     return rf"""
 WITH templates AS (
-  SELECT label, list_distinct(string_split(words, ' ')) AS tokens FROM (VALUES {rows}) t(number, words, label)
+  SELECT label, list_distinct(string_split(words, ' ')) AS tokens, string_split(needs, ' ') AS needs, string_split(bars, ' ') AS bars FROM (VALUES {rows}) t(label, words, needs, bars)
 ), phrases AS (SELECT * FROM (VALUES {phrases}) p(phrase, label, size)),
 d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -180,9 +217,10 @@ d AS (
 ), base AS (
   SELECT doc_id, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY doc_id
 ), blocks AS (
-  SELECT doc_id, list_distinct(w[s + 1:s + {BLOCK}]) AS b FROM (SELECT doc_id, w, unnest(range(0, len(w), {STEP})) AS s FROM d)
+  SELECT doc_id, list_distinct(w[s + 1:s + {block}]) AS b FROM (SELECT doc_id, w, unnest(range(0, len(w), {step})) AS s FROM d)
 ), met AS (
-  SELECT doc_id, label, len(list_intersect(b, tokens)) / len(tokens) AS c FROM blocks, templates WHERE len(list_intersect(b, tokens)) >= ceil({THRESHOLD} * len(tokens))
+  SELECT doc_id, label, len(list_intersect(b, tokens)) / len(tokens) AS c FROM blocks, templates
+  WHERE len(list_intersect(b, tokens)) >= ceil({THRESHOLD} * len(tokens)) AND list_has_all(b, needs) AND NOT list_has_any(b, bars)
 ), every_label AS (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM met),
 labels AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM every_label GROUP BY doc_id),
 best AS (SELECT doc_id, max(c) AS c FROM met GROUP BY doc_id)
