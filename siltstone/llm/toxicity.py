@@ -210,9 +210,9 @@ class Index:
         weights = self.weights(terms, counts)
         return weights / np.sqrt((weights**2).sum() + rest)
 
-    def _scores(self, texts: list[tuple[np.ndarray, np.ndarray]], queries: list[np.ndarray], k: int) -> tuple[np.ndarray, float]:
-        """Cosines of every text with the examples of the blocks it visits, -1 for the others, in single precision; and
-        the share of blocks visited."""
+    def _scores(self, texts: list[tuple[np.ndarray, np.ndarray]], queries: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, float]:
+        """Cosines of every text with the examples of the blocks it visits, -1 for the others, in single precision; what
+        one of the k nearest has at least; and the share of blocks visited."""
         n = len(self.label)
         row, matrix, largest, at, example, weight = self.parts
         which = np.repeat(np.arange(len(texts)), [len(t) for t, _ in texts])
@@ -242,42 +242,41 @@ class Index:
         wanted = np.zeros(bounds.shape, bool)
         np.put_along_axis(wanted, best, True, axis=1)
         visit(wanted)
-        least = self._least(scores, k)
+        # one more than k, as one may be left out
+        seen = firsts[best][:, :, None] + np.arange(BLOCK)
+        seen = np.where(seen < n, np.take_along_axis(scores, np.minimum(seen, n - 1).reshape(len(texts), -1), axis=1).reshape(seen.shape), -1.0).reshape(len(texts), -1)
+        least = np.partition(seen, -k - 1, axis=1)[:, -k - 1] if seen.shape[1] > k else np.full(len(texts), -1.0)
         # no example of a block is better than its bound; what single precision moves is far below 1e-5
-        visit((bounds >= least[:, None] - 1e-5) & (bounds > 0) & ~visited)
-        return scores, visited.mean()
-
-    @staticmethod
-    def _least(scores: np.ndarray, k: int) -> np.ndarray:
-        """The score that one of the k nearest has at least; one more than k, as one may be left out."""
-        n = scores.shape[1]
-        return np.partition(scores, n - k - 1, axis=1)[:, n - k - 1] if n > k + 1 else np.full(len(scores), -1.0)
+        least = least - 1e-5
+        visit((bounds >= least[:, None]) & (bounds > 0) & ~visited)
+        return scores, least, visited.mean()
 
     def nearest_all(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For every text of terms and counts, examples with the largest cosine above 0, and the cosines as if it had
         no other terms; ties go to the example given first.  `without` are numbers of examples that take no part."""
         none = np.zeros(0, np.int64), np.zeros(0)
-        if not len(self.label) or not texts:
-            return [none] * len(texts)
-        queries = [self.weigh(t, c) if len(t) else np.zeros(0) for t, c in texts]
-        scores, _ = self._scores(texts, queries, k)
-        least = self._least(scores, k) - 1e-5
-        out, full = [], np.zeros(len(self.idf))
-        for j, (its_terms, _) in enumerate(texts):
-            if not len(its_terms):
-                out.append(none)
-                continue
-            found = np.flatnonzero((scores[j] >= least[j]) & (scores[j] > 0))
+        out, full = [none] * len(texts), np.zeros(len(self.idf))
+        some = [j for j, (t, _) in enumerate(texts) if len(t)] if len(self.label) else []
+        if not some:
+            return out
+        queries = [self.weigh(*texts[j]) for j in some]
+        scores, least, _ = self._scores([texts[j] for j in some], queries, k)
+        for at, j in enumerate(some):
+            its_terms = texts[j][0]
+            found = np.flatnonzero(scores[at] >= max(least[at], 1e-12))
+            if len(found) > k + 1:
+                its = scores[at, found]
+                found = found[its >= np.partition(its, -k - 1)[-k - 1] - 1e-5]
             if without is not None:
                 found = found[self.number[found] != without[j]]
-            full[its_terms] = queries[j]
+            full[its_terms] = queries[at]
             sizes = self.start[found + 1] - self.start[found]
             entries = _ranges(self.start[found], sizes)
             exact = np.round(np.bincount(np.repeat(np.arange(len(found)), sizes), full[self.term[entries]] * self.weight[entries], len(found)), 12)
             full[its_terms] = 0
             best = np.lexsort((self.number[found], -exact))[:k]
             best = best[exact[best] > 0]
-            out.append((found[best], exact[best]))
+            out[j] = found[best], exact[best]
         return out
 
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
@@ -461,7 +460,8 @@ def toxicity(
     Labels are learned outside the held-out fold only, from at most `most` labelled documents with at most
     `MAX_ENTRIES` different terms together; null and contradicting labels teach nothing.  A text that shares no term with any example, an empty or null one too,
     has the share of 1 among examples without terms.  With no examples, or of one label, every score is the
-    smoothed share of 1.  Repeated rows are kept; other columns are ignored.  Runs jobs: the examples' texts and
+    smoothed share of 1.  A long text is taken whole, which needs some ten bytes for each of its own in the worker.
+    Repeated rows are kept; other columns are ignored.  Runs jobs: the examples' texts and
     vectors, and narrow rows of all documents, are written once to the shared folder.
     """
     spark = docs.sparkSession
