@@ -24,7 +24,7 @@ from siltstone.sources.stage import stage
 
 CAPACITY = 2048
 #: Bytes of text whose different word pieces are looked up together.
-TOGETHER_BYTES = 8 << 20
+TOGETHER_BYTES = 2 << 20
 #: Word pieces that a Python worker keeps with their ids; a full cache starts again.
 CACHE_PIECES = 500_000
 
@@ -88,7 +88,7 @@ class WordIds:
         kinds[bars] = _RARE
         starts, ends, rows = word_spans(data, offsets, SPACES)
         inside = kinds != _SPACE
-        place = np.cumsum(inside) - 1  # without the white space
+        place = np.cumsum(inside, dtype=np.int32 if len(inside) < 1 << 31 else np.int64) - 1  # without the white space
         low, kinds, plain = low[inside], kinds[inside], data[inside]
         starts = place[starts] if len(starts) else starts
         sizes = np.diff(starts, append=len(low))
@@ -97,12 +97,13 @@ class WordIds:
         first = np.ones(len(low), bool)
         first[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)
         first[starts] = True
-        last = np.repeat(starts + sizes, sizes)  # where the word of each byte ends
-        for mark in np.flatnonzero(first & (low == ord("'")) & ~in_rare):
-            size = next((len(x) for x in _SHORT if mark + len(x) < last[mark] and low[mark + 1 : mark + 1 + len(x)].tobytes() == x), 0)
+        marks = np.flatnonzero(first & (low == ord("'")) & ~in_rare)
+        words = np.searchsorted(starts, marks, side="right") - 1
+        for mark, end in zip(marks.tolist(), (starts[words] + sizes[words]).tolist(), strict=True):
+            size = next((len(x) for x in _SHORT if mark + len(x) < end and low[mark + 1 : mark + 1 + len(x)].tobytes() == x), 0)
             if size:
                 first[mark + 1] = False
-                if mark + 1 + size < last[mark]:
+                if mark + 1 + size < end:
                     first[mark + 1 + size] = True
         first[in_rare] = False
         first[starts] = True
