@@ -199,8 +199,10 @@ def _close(index: DataFrame, probe: DataFrame, rules: Rules) -> DataFrame:
     # giants that are not dense have few partners on the other side: slice them
     giants = heavy.where("giant AND NOT dense AND na > 0 AND nb > 0").select(
         F.col("seg").alias("__k"), F.col("na").alias("__nl"), F.col("nb").alias("__nr"))
+    # Keys are many times the names that they are cut from, so files of names that look small enough to broadcast would
+    # bring all keys to the driver; both joins are sorted on either side instead.
     by_segment = salted_join(
-        segments.joinable(index), segments.joinable(probe).withColumnRenamed("seg", "probe_seg"), "seg", "probe_seg",
+        segments.joinable(index).hint("merge"), segments.joinable(probe).withColumnRenamed("seg", "probe_seg"), "seg", "probe_seg",
         "inner", rules.hot_bucket,
         hot=giants,
     )
@@ -208,7 +210,7 @@ def _close(index: DataFrame, probe: DataFrame, rules: Rules) -> DataFrame:
     if segments.dense:
         a_near = _neighbours(segments.dense_only(index), "a", threshold)
         b_near = _neighbours(segments.dense_only(probe), "b", threshold)
-        candidates = candidates.unionByName(a_near.join(b_near, "rest").select("a", "b"))
+        candidates = candidates.unionByName(a_near.hint("merge").join(b_near, "rest").select("a", "b"))
     pairs = candidates.where(F.levenshtein("a", "b", threshold) >= 0).distinct()
     return pairs.withColumn("distance", F.levenshtein("a", "b", threshold))
 

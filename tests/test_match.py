@@ -96,6 +96,16 @@ def test_giant_segment_with_few_partners(spark):
     assert {r.a for r in pairs.collect()} == {a for a in left if distance(a, "warehouse 0007") <= 2}
 
 
+@pytest.mark.parametrize("rules", [Rules(), Rules(neighbour_cost=0)])
+def test_keys_cut_from_names_are_not_broadcast(spark, tmp_path, rules):
+    """Files of names are small, the keys cut from them many: the driver must not gather these."""
+    for c in "ab":
+        spark.range(200).select(F.format_string("%06d company", "id").alias("name"), "id").write.parquet(f"{tmp_path}/{c}")
+    plan = name_pairs(*(Side(spark.read.parquet(f"{tmp_path}/{c}"), "id", "name") for c in "ab"), rules)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "Inner" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 def test_guard_counts_the_original_length(spark):
     got = fuzzy_match(*sides(spark, ["Acme1", "Acme12", None], ["ACME12", "Acme1"]))
     assert [(r.aid, r.bid) for r in got.collect()] == [(1, 0)]
