@@ -8,6 +8,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+ROWS_PER_TASK = 100_000  # of a roll-up, where every row may be a group
+
+
 class Hierarchy(NamedTuple):
     """Column names of the table and the level at which the owner of a subtree sits."""
 
@@ -59,9 +62,17 @@ def hierarchy_rollup(children: DataFrame, nodes: DataFrame, h: Hierarchy, group_
 
     The measures run after the join, so a repeated parent code multiplies them; the weights reproduce
     that without building the repeated rows.
+
+    Most groups are a single row with all its texts, many times what its compressed size in a shuffle tells.  So the
+    groups are dealt to tasks by the number of children, which a job counts, and a task's memory does not grow with it.
+    Where one group has more than a task's share, rows are combined before the shuffle instead.
     """
-    joined = attach_owner(children, nodes, h)
     owner = ["parent_code", "parent_level", "parent_name", "owner_code", "owner_name"]
+    joined = attach_owner(children, nodes, h)
+    sizes = children.groupBy(F.xxhash64(*group_by).alias("group")).agg(F.count("*").alias("n"))
+    found = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
+    if found["most"] <= ROWS_PER_TASK:
+        joined = joined.repartition(found["n"] // ROWS_PER_TASK + 1, *group_by, *owner)
     return joined.groupBy(*group_by, *owner).agg(
         F.sum(F.col(amount) * F.col("copies")).alias(total_as),
         F.sum(F.when(F.col(counted).isNotNull(), F.col("copies")).otherwise(F.lit(0))).alias(count_as),

@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from compare import plan_text, staged_plans
-from siltstone.operators import joins
+from siltstone.operators import hierarchy, joins
 from siltstone.operators.hierarchy import Hierarchy, hierarchy_rollup
 from siltstone.operators.joins import dimension_join, duplicate_keys, parent_lookup, salted_join
 from siltstone.sources.stage import scratch_path
@@ -123,6 +123,20 @@ def test_rollup_does_not_build_the_rows_of_a_repeated_code(spark):
     assert [(r.kw, r.n) for r in total] == [(250_000.0, 250_000)]
 
 
+def test_rollup_deals_its_groups_by_their_number(spark, rows, monkeypatch):
+    """Ten times the children are dealt to ten times the tasks; one large group is combined first."""
+    def rolled(n, group_by):
+        nodes = spark.range(n).selectExpr("concat('c', id) AS code", "concat('c', id div 10) AS sup", "'GRP' AS level", "'x' AS name", "1D AS kw")
+        return hierarchy_rollup(nodes, nodes, TREE, group_by, "kw", "code", "kw", "n")
+
+    want = rows(rolled(1000, ["code"]).select("code", "parent_code", "kw", "n"))
+    monkeypatch.setattr(hierarchy, "ROWS_PER_TASK", 20)
+    assert [rolled(n, ["code"]).rdd.getNumPartitions() for n in (100, 1000)] == [6, 51]
+    assert rows(rolled(1000, ["code"]).select("code", "parent_code", "kw", "n")) == want and len(want) == 1000
+    whole = rolled(1000, ["level"])
+    assert "REPARTITION_BY_NUM" not in plan_text(whole) and whole.agg(F.sum("n")).first()[0] == 1000
+
+
 def test_every_hot_key_is_split(spark, rows):
     """Two hundred keys, all over the limit of a task: no partition gets a whole one."""
     many = spark.range(0, 200 * 60, 1, 8).select((F.col("id") % 200).alias("k"), F.col("id").alias("a"))
