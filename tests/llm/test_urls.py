@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import check, connect
-from siltstone.llm.urls import OP12_SQL, RULES, Mining, Rule, matched, mine, op12_url_filters, url_parts, url_tokens, url_verdicts, written_rule
+from siltstone.llm import urls
+from siltstone.llm.urls import GROWN_ITEMS, OP12_SQL, RULES, Mining, Rule, matched, mine, op12_url_filters, url_parts, url_tokens, url_verdicts, written_rule
 
 ODD = [
     (None, "", ""), ("", "", ""), ("example.org/es/", "", ""), ("://", "", ""), ("http://", "", ""), ("HTTP://A.Example.ORG", "a.example.org", ""),
@@ -78,6 +79,30 @@ def test_mined(spark, mining):
         assert found.get(row) == next((place for needed, _, _, _, _, place in want if set(needed) <= set(tokens)), None)
 
 
+@pytest.mark.parametrize("mining", [Mining(), Mining(least_rows=3, percent=2, least_confidence=0.7, longest=2)])
+def test_mined_of_urls_with_many_frequent_tokens(spark, mining):
+    """What tells a URL's label may be any of its tokens, however many are frequent."""
+    rng = random.Random(8)
+    labelled = []
+    for _ in range(120):
+        tokens = sorted(set(rng.choices([f"t{i:02d}" for i in range(24)], k=rng.randint(0, 22))))
+        bad = {"t01", "t02", "t03"} <= set(tokens) or "t04" in tokens and rng.random() < 0.8
+        labelled.append((tokens, "block" if bad else rng.choice(["allow", "allow", None])))
+    assert max(len(t) for t, _ in labelled) > GROWN_ITEMS
+    rules = mine(spark.createDataFrame(labelled, "tokens array<string>, label string"), mining)
+    want = plain_mine(labelled, mining)
+    assert [tuple(r) for r in rules.orderBy("place").collect()] == want and len(want) > 20
+
+
+def test_counting_tells_what_fp_growth_does(spark, monkeypatch):
+    rng = random.Random(9)
+    labelled = spark.createDataFrame([(sorted(set(rng.choices("abcdefgh", k=rng.randint(0, 8)))), rng.choice(["allow", "block", "block"])) for _ in range(150)], "tokens array<string>, label string")
+    loose = Mining(least_confidence=0.6)
+    grown = [tuple(r) for r in mine(labelled, loose).orderBy("place").collect()]
+    monkeypatch.setattr(urls, "GROWN_ITEMS", 0)
+    assert [tuple(r) for r in mine(labelled, loose).orderBy("place").collect()] == grown and grown
+
+
 PAGES = "page_id long, url string, host string, row string, tokens int, mined int"
 
 
