@@ -224,8 +224,12 @@ class Index:
         rare = ~some
         sizes = at[terms[rare] + 1] - at[terms[rare]]
         postings = _ranges(at[terms[rare]], sizes)
-        cells = np.repeat(which[rare] * n, sizes) + example[postings]
-        listed = np.bincount(cells, np.repeat(weights[rare], sizes) * weight[postings], len(texts) * n).reshape(len(texts), n)
+        example, weight = example[postings], weight[postings]
+        weight *= np.repeat(weights[rare], sizes)
+        ends = np.cumsum(np.bincount(which[rare], sizes, len(texts))).astype(np.int64).tolist()
+        listed = np.empty((len(texts), n))
+        for text, (first, end) in enumerate(zip([0, *ends], ends)):  # a text's scores stay in the processor's cache
+            listed[text] = np.bincount(example[first:end], weight[first:end], n)
         firsts = np.arange(0, n, BLOCK)
         bounds = frequent @ largest + np.maximum.reduceat(listed, firsts, axis=1)
         scores = np.full((len(texts), n), -1.0)
@@ -270,9 +274,10 @@ class Index:
             if without is not None:
                 found = found[self.number[found] != without[j]]
             full[its_terms] = queries[at]
-            sizes = self.start[found + 1] - self.start[found]
-            entries = _ranges(self.start[found], sizes)
-            exact = np.round(np.bincount(np.repeat(np.arange(len(found)), sizes), full[self.term[entries]] * self.weight[entries], len(found)), 12)
+            spans = [slice(a, b) for a, b in zip(self.start[found].tolist(), self.start[found + 1].tolist(), strict=True)]
+            sizes = [x.stop - x.start for x in spans]
+            its, weights = (np.concatenate([column[x] for x in spans]) if spans else column[:0] for column in (self.term, self.weight))
+            exact = np.round(np.bincount(np.repeat(np.arange(len(found)), sizes), full[its] * weights, len(found)), 12)
             full[its_terms] = 0
             best = np.lexsort((self.number[found], -exact))[:k]
             best = best[exact[best] > 0]
