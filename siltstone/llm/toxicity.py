@@ -157,6 +157,22 @@ def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
 
+class Parts(NamedTuple):
+    """What is searched.  Of the frequent terms: their rows by term (-1: none), a matrix of rows and examples for each
+    block, the largest weight of each row in each block, and each example's rows and weights, those of example e from
+    own_at[e].  Of the other terms: lists of examples and weights, those of term t from at[t]."""
+
+    row: np.ndarray
+    blocks: np.ndarray
+    largest: np.ndarray
+    own_at: np.ndarray
+    own_row: np.ndarray
+    own_weight: np.ndarray
+    at: np.ndarray
+    example: np.ndarray
+    weight: np.ndarray
+
+
 @dataclass
 class Index:
     """Vectors of the examples that have terms: those of example e are from start[e] to start[e + 1]."""
@@ -171,7 +187,7 @@ class Index:
 
     def __getstate__(self) -> dict:
         """Packed, as every executor writes what it is sent to its disk."""
-        plain = {k: x for k, x in self.__dict__.items() if k not in ("term", "count", "parts", "weight")}
+        plain = {k: x for k, x in self.__dict__.items() if k not in ("term", "count", "parts")}
         return plain | {"packed": [zlib.compress(x.astype(np.int32).tobytes(), 1) for x in (np.diff(self.term, prepend=0), self.count)]}
 
     def __setstate__(self, state: dict) -> None:
@@ -180,27 +196,23 @@ class Index:
         self.__dict__ |= state
 
     @cached_property
-    def weight(self) -> np.ndarray:
-        weights = self.weights(self.term, self.count)
-        sizes = np.diff(self.start)
-        return weights / np.repeat(np.sqrt(np.add.reduceat(weights**2, self.start[:-1])), sizes) if len(sizes) else weights
-
-    @cached_property
-    def parts(self) -> tuple:
-        """Rows of the frequent terms by term (-1: none), their matrix, the largest weight of each in each block, and
-        the lists of the other terms.  Built where it is used."""
-        n = len(self.label)
-        example = np.repeat(np.arange(n), np.diff(self.start))
+    def parts(self) -> Parts:
+        """Built where it is used."""
+        n, sizes = len(self.label), np.diff(self.start)
+        weight = self.weights(self.term, self.count)
+        weight /= np.repeat(np.sqrt(np.add.reduceat(weight**2, self.start[:-1])), sizes)
+        example = np.repeat(np.arange(n, dtype=np.int32), sizes)
         frequent = np.bincount(self.term, minlength=len(self.idf)) * FREQUENT > n
-        row = np.where(frequent, np.cumsum(frequent) - 1, -1)
-        matrix = np.zeros((int(frequent.sum()), n), np.float32)
-        some = frequent[self.term]
-        matrix[row[self.term[some]], example[some]] = self.weight[some]
-        largest = np.maximum.reduceat(matrix, np.arange(0, n, BLOCK), axis=1)
+        row = np.where(frequent, np.cumsum(frequent) - 1, -1).astype(np.int32)
+        some = row[self.term] >= 0
+        its, own_row, own_weight = example[some], row[self.term[some]], weight[some]
+        blocks = np.zeros((-(-n // BLOCK), int(frequent.sum()), BLOCK), np.float32)
+        blocks[its // BLOCK, own_row, its % BLOCK] = own_weight
+        own_at = np.searchsorted(its, np.arange(n + 1))
         order = np.flatnonzero(~some)
         order = order[np.argsort(self.term[order], kind="stable")]
-        at = np.searchsorted(self.term[order], np.arange(len(self.idf) + 1))
-        return row, matrix, largest, at, example[order], self.weight[order]
+        at = np.searchsorted(self.term[order], np.arange(len(self.idf) + 1, dtype=np.int32))
+        return Parts(row, blocks, np.ascontiguousarray(blocks.max(axis=2).T), own_at, own_row, own_weight, at, example[order], weight[order])
 
     def weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return (1 + np.log(counts)) * self.idf[terms]
@@ -210,75 +222,67 @@ class Index:
         weights = self.weights(terms, counts)
         return weights / np.sqrt((weights**2).sum() + rest)
 
-    def _scores(self, texts: list[tuple[np.ndarray, np.ndarray]], queries: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, float]:
-        """Cosines of every text with the examples of the blocks it visits, -1 for the others, in single precision; what
-        one of the k nearest has at least; and the share of blocks visited."""
-        n = len(self.label)
-        row, matrix, largest, at, example, weight = self.parts
-        which = np.repeat(np.arange(len(texts)), [len(t) for t, _ in texts])
-        terms = np.concatenate([t for t, _ in texts])
-        weights = np.concatenate(queries)
-        some = row[terms] >= 0
-        frequent = np.zeros((len(texts), len(matrix)), np.float32)
-        frequent[which[some], row[terms[some]]] = weights[some]
-        rare = ~some
-        sizes = at[terms[rare] + 1] - at[terms[rare]]
-        postings = _ranges(at[terms[rare]], sizes)
-        example, weight = example[postings], weight[postings]
-        weight *= np.repeat(weights[rare], sizes)
-        ends = np.cumsum(np.bincount(which[rare], sizes, len(texts))).astype(np.int64).tolist()
-        listed = np.empty((len(texts), n))
-        for text, (first, end) in enumerate(zip([0, *ends], ends)):  # a text's scores stay in the processor's cache
-            listed[text] = np.bincount(example[first:end], weight[first:end], n)
-        firsts = np.arange(0, n, BLOCK)
-        bounds = frequent @ largest + np.maximum.reduceat(listed, firsts, axis=1)
-        scores = np.full((len(texts), n), -1.0)
-        visited = np.zeros(bounds.shape, bool)
+    def _scores(self, texts: list[tuple[np.ndarray, np.ndarray]], queries: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By block, text and place in the block: cosines of every text with the examples of the blocks it visits, -1 for
+        the others, in single precision; and what rare terms add to them, in full.  What one of the k nearest has at least."""
+        row, blocks, largest, _, _, _, at, example, weight = self.parts
+        frequent = np.zeros((len(texts), len(largest)), np.float32)
+        listed = np.empty((len(blocks), len(texts), BLOCK))
+        for text, ((terms, _), weights) in enumerate(zip(texts, queries, strict=True)):  # what one text needs stays in the processor's cache
+            rows = row[terms]
+            frequent[text, rows[rows >= 0]] = weights[rows >= 0]
+            rare = terms[rows < 0]
+            first = at[rare]
+            sizes = at[rare + 1] - first
+            postings = _ranges(first, sizes)
+            listed[:, text] = np.bincount(example[postings], weight[postings] * np.repeat(weights[rows < 0], sizes), listed[:, text].size).reshape(-1, BLOCK)
+        bounds = frequent @ largest + listed.max(axis=2).T
+        scores = np.full(listed.shape, -1.0, np.float32)
 
         def visit(wanted: np.ndarray) -> None:
             for block in np.flatnonzero(wanted.any(axis=0)):
-                rows, its = np.flatnonzero(wanted[:, block]), slice(firsts[block], firsts[block] + BLOCK)
-                scores[rows, its] = frequent[rows] @ matrix[:, its] + listed[rows, its]
-            visited[wanted] = True
+                rows = np.flatnonzero(wanted[:, block])
+                rows = rows if 2 * len(rows) < len(texts) else slice(None)  # picking most texts takes longer than all
+                scores[block, rows] = frequent[rows] @ blocks[block] + listed[block, rows]
 
-        most = min(FIRST_BLOCKS, len(firsts))
-        best = np.argpartition(-bounds, most - 1, axis=1)[:, :most]
+        best = np.argpartition(-bounds, min(FIRST_BLOCKS, len(blocks)) - 1, axis=1)[:, :FIRST_BLOCKS]
         wanted = np.zeros(bounds.shape, bool)
         np.put_along_axis(wanted, best, True, axis=1)
         visit(wanted)
         # one more than k, as one may be left out
-        seen = firsts[best][:, :, None] + np.arange(BLOCK)
-        seen = np.where(seen < n, np.take_along_axis(scores, np.minimum(seen, n - 1).reshape(len(texts), -1), axis=1).reshape(seen.shape), -1.0).reshape(len(texts), -1)
+        seen = scores[best, np.arange(len(texts))[:, None]].reshape(len(texts), -1)
         least = np.partition(seen, -k - 1, axis=1)[:, -k - 1] if seen.shape[1] > k else np.full(len(texts), -1.0)
         # no example of a block is better than its bound; what single precision moves is far below 1e-5
         least = least - 1e-5
-        visit((bounds >= least[:, None]) & (bounds > 0) & ~visited)
-        return scores, least, visited.mean()
+        visit((bounds >= least[:, None]) & (bounds > 0) & ~wanted)
+        return scores, listed, least
 
     def nearest_all(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For every text of terms and counts, examples with the largest cosine above 0, and the cosines as if it had
         no other terms; ties go to the example given first.  `without` are numbers of examples that take no part."""
         none = np.zeros(0, np.int64), np.zeros(0)
-        out, full = [none] * len(texts), np.zeros(len(self.idf))
+        out = [none] * len(texts)
         some = [j for j, (t, _) in enumerate(texts) if len(t)] if len(self.label) else []
         if not some:
             return out
         queries = [self.weigh(*texts[j]) for j in some]
-        scores, least, _ = self._scores([texts[j] for j in some], queries, k)
+        scores, listed, least = self._scores([texts[j] for j in some], queries, k)
+        row, _, largest, own_at, own_row, own_weight, *_ = self.parts
         for at, j in enumerate(some):
-            its_terms = texts[j][0]
-            found = np.flatnonzero(scores[at] >= max(least[at], 1e-12))
+            its = scores[:, at].ravel()
+            found = np.flatnonzero(its >= max(least[at], 1e-12))
             if len(found) > k + 1:
-                its = scores[at, found]
+                its = its[found]
                 found = found[its >= np.partition(its, -k - 1)[-k - 1] - 1e-5]
             if without is not None:
                 found = found[self.number[found] != without[j]]
-            full[its_terms] = queries[at]
-            spans = [slice(a, b) for a, b in zip(self.start[found].tolist(), self.start[found + 1].tolist(), strict=True)]
-            sizes = [x.stop - x.start for x in spans]
-            its, weights = (np.concatenate([column[x] for x in spans]) if spans else column[:0] for column in (self.term, self.weight))
-            exact = np.round(np.bincount(np.repeat(np.arange(len(found)), sizes), full[its] * weights, len(found)), 12)
-            full[its_terms] = 0
+            # the frequent terms again, in full
+            full, rows = np.zeros(len(largest)), row[texts[j][0]]
+            full[rows[rows >= 0]] = queries[at][rows >= 0]
+            sizes = own_at[found + 1] - own_at[found]
+            own = _ranges(own_at[found], sizes)
+            frequent = np.bincount(np.repeat(np.arange(len(found)), sizes), full[own_row[own]] * own_weight[own], len(found))
+            exact = np.round(frequent + listed[found // BLOCK, at, found % BLOCK], 12)
             best = np.lexsort((self.number[found], -exact))[:k]
             best = best[exact[best] > 0]
             out[j] = found[best], exact[best]

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -109,3 +110,19 @@ def test_whole_texts(spark):
         assert np.allclose([e.similarity for e in got[doc].evidence], cosines[:3])
         assert all(e.label == int(e.doc_id % 4 == 0) for e in got[doc].evidence)
     assert len(got[None].evidence) == 3 and not got[60].evidence
+
+
+def test_long_texts_together():
+    """What long texts of many listed terms need at once does not grow with how many are searched together."""
+    rng = np.random.default_rng(8)
+    terms = [np.sort(rng.choice(6000, 150, replace=False)) for _ in range(1500)]  # a term in about 38 examples
+    counts = [np.ones(len(x)) for x in terms]
+    index = build(terms, counts, (rng.random(1500) < 0.3).astype(float), np.bincount(np.concatenate(terms), minlength=6000).astype(float), 1500)
+    texts = [(np.sort(rng.choice(6000, 2000, replace=False)), np.ones(2000)) for _ in range(64)]
+    alone = [index.nearest(*x, 15) for x in texts]
+    tracemalloc.start()
+    together = index.nearest_all(texts, 15)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20
+    assert all(np.array_equal(a, b) and np.array_equal(x, y) for (a, x), (b, y) in zip(alone, together, strict=True))
