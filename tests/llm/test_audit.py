@@ -2,13 +2,18 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 from itertools import permutations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from compare import check, connect
+from siltstone.llm import audit as module
 from siltstone.llm.audit import OP11_SQL, audit, failures, op11_filter_audit, shards, term_matrix
 
 COLUMNS = ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
@@ -102,6 +107,61 @@ def test_long_text(spark):
     assert sorted(map(tuple, found.collect())) == [(1, "en", 2), (2, "en", 18), (3, "en", 5)]
 
 
+def test_memory_of_a_task(spark, monkeypatch):
+    """However much text a task has, shards are read one by one and rows go to Python some megabytes at a time."""
+    keys, used, staged = ("spark.sql.execution.arrow.maxBytesPerBatch", "parquet.block.row.count.limit"), [], []
+
+    def stage(df, label):
+        used.append(int(spark.conf.get(keys[0]).rstrip("b")))
+        staged.append(module_stage(df, label))
+        return staged[-1]
+
+    module_stage, before = module.stage, [spark.conf.get(k, None) for k in keys]
+    monkeypatch.setattr(module, "stage", stage)
+    texts = spark.range(0, 12, 1, 1).selectExpr("id doc_id", "repeat(concat('word', id, ' of many '), 100000) text", "'en' lang")
+    assert sorted(map(tuple, failures(texts).collect())) == [(i, "en", 2) for i in range(12)]
+    assert max(used[:2]) <= 4 << 20 and [spark.conf.get(k, None) for k in keys] == before
+    (file,) = (pq.ParquetFile(f.removeprefix("file://")) for f in staged[0].inputFiles())
+    assert [file.metadata.row_group(k).num_rows for k in range(file.num_row_groups)] == [1] * staged[0].count() and staged[0].count() > 3
+
+
+def test_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    rows = spark.range(0, 1000, 1, 1).selectExpr("repeat('x', 10000) text")
+    with module.settings(spark, module.SMALL_BATCHES):
+        found = [r.n for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert max(found) < 5 << 20 < sum(found)
+    assert rows.mapInArrow(sizes, "n long").count() == 1
+
+
+def test_pieces(monkeypatch):
+    """A shard is the same whatever is handled together, and its flags are counted in little memory."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(["a", "B ", "é", "\n", "日本", " Word#", "zz" * 30, " "]) for _ in range(rng.choice([0, 1, 60]))).encode() for _ in range(40)]
+    for some in (texts, texts[2:3], [b"".join(texts)], [b""], [b"", b""]):
+        data, offsets = np.frombuffer(b"".join(some), np.uint8), np.cumsum([0, *map(len, some)])
+        found = []
+        for together in (1, 7, 100, 1 << 20):
+            monkeypatch.setattr(module, "WORDS_BYTES", together)
+            monkeypatch.setattr(module, "HASHED_WORDS", together)
+            *shard, words, bounds = module._shard(data, offsets, 5)
+            found.append([*map(list, shard), words.to_pylist(), list(bounds), *[list(f(data, offsets)) for f in module.MEASURES.values()]])
+        assert all(x == found[0] for x in found)
+        assert found[0][-3] == [sum(65 <= b <= 90 for b in t) for t in some] and found[0][-2] == [len(t.decode()) for t in some]
+    monkeypatch.undo()
+    data, offsets = np.frombuffer(b"Some Words. " * 400_000, np.uint8), np.array([0, 1_000_000, 4_800_000])
+    tracemalloc.start()
+    try:
+        for measure in module.MEASURES.values():
+            measure(data, offsets)
+        assert tracemalloc.get_traced_memory()[1] < 4 * len(data)
+    finally:
+        tracemalloc.stop()
+
+
 def test_sql(spark):
     sf_dir = "/root/testdata/sf0.001"
     assert check(spark, connect(sf_dir), op11_filter_audit, OP11_SQL, sf_dir) % 600 == 0
